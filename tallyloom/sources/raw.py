@@ -55,7 +55,7 @@ def parse_raw_lines(found: DataFrame) -> DataFrame:
     fields = ", ".join(f"c{i} string" for i in range(width))
     rows = lookup(lines.filter(~is_header), headers, ["path"], measure=True)
     values = rows.select(
-        "path", "header", F.from_csv("value", fields).alias("r")
+        "path", "header", F.from_csv("value", fields, {"escape": '"'}).alias("r")
     ).select("path", "header", F.array(*[f"r.c{i}" for i in range(width)]).alias("cells"))
     entries = F.filter(
         F.arrays_zip("header", F.slice("cells", F.lit(1), F.size("header")).alias("cells")),

@@ -1 +1,310 @@
+"""Queries of readers, sinks, routing and planning of work."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tallyloom.functions.labels import is_variable
+from tallyloom.session import work_folder
+from tallyloom.sources import raw as W
+from tallyloom.sources import tables as T
+from workload import query, table
+from workload.relations import YEARS, year_frames
+from workload.scalars import PART_ID
+
+
+@query("s1_read_raw_acs", """
+    select 'S1810' as table_id, 2011 as year, 'county' as level, c_name || ', Land "' || c_mktsegment || '"' as name,
+        cast(c_nationkey as varchar) as state, cast(c_custkey as varchar) as county, v.var_id, v.value
+        from customer, (values ('S1810_C01_001E'), ('S1810_C02_001E')) k(id),
+        lateral (select k.id as var_id, case when k.id like '%C01%' then cast(c_acctbal as varchar)
+            else case when c_custkey % 3 = 0 then null else c_mktsegment end end as value) v
+    union all select 'S1810', 2011, 'state', n_name, cast(n_nationkey as varchar), null, 'S1810_C02_001E',
+        cast(n_regionkey as varchar) from nation
+    union all select 'B18120', 2012, 'county', s_name, cast(s_nationkey as varchar), cast(s_suppkey as varchar),
+        'B18120_001PE', cast(s_acctbal as varchar) from supplier""")
+def s1(spark, sf):
+    folder = work_folder(spark, "raw")
+    customers = table(spark, sf, "customer").select(
+        F.concat(F.col("c_name"), F.lit(', Land "'), F.col("c_mktsegment"), F.lit('"')).alias("NAME"),
+        F.col("c_acctbal").cast("string").alias("S1810_C01_001E"),
+        F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")).alias("S1810_C02_001E"),
+        F.lit("stale").alias("NAME.1"), F.col("c_nationkey").alias("state"), F.col("c_custkey").alias("county"),
+    )
+    nations = table(spark, sf, "nation").select(
+        F.col("n_name").alias("NAME"), F.col("n_nationkey").alias("state"), F.col("n_regionkey").alias("S1810_C02_001E")
+    )
+    suppliers = table(spark, sf, "supplier").select(
+        F.col("s_name").alias("NAME"), F.col("s_acctbal").cast("string").alias("B18120_001PE"),
+        F.col("s_nationkey").alias("state"), F.col("s_suppkey").alias("county"),
+    )
+    landed = {"acs_S1810_2011_raw.csv": customers, "acs_S1810_2011_state_raw.csv": nations,
+              "acs_B18120_2012_raw.csv": suppliers}
+    for name, df in landed.items():
+        df.write.csv(f"{folder}/{name}", header=True, escape='"')
+    rows = W.read_raw_acs(spark, [f"{folder}/{name}" for name in landed])
+    return rows.select("table_id", "year", "level", "name", "state", "county", F.explode("vars").alias("var_id", "value"))
+
+
+@query("s2_read_acs_meta", """
+    select p_type as table_id, 2000 + p_size as year, v.* from part, lateral (
+        select 'B' || p_partkey || '_001E' as var_id, 'Estimate!!' || p_name as label, p_brand as concept,
+            null as pe_parent, false as has_parent_entry
+        union all select 'B' || p_partkey || '_001PE', 'Percent!!' || p_name, p_brand,
+            case when p_partkey % 2 = 0 then 'B' || p_partkey || '_001E' end, true) v""")
+def s2(spark, sf):
+    part = table(spark, sf, "part")
+    stem = F.concat(F.lit("B"), F.col("p_partkey").cast("string"))
+    estimate, percent = F.concat(stem, F.lit("_001E")), F.concat(stem, F.lit("_001PE"))
+
+    def described(word):
+        return F.struct(F.concat(F.lit(f"{word}!!"), "p_name").alias("label"), F.col("p_brand").alias("concept"))
+
+    docs = part.select(F.to_json(F.struct(
+        F.col("p_type").alias("table_id"), (F.col("p_size") + 2000).alias("year"), F.lit("detailed").alias("table_type"),
+        F.create_map(estimate, described("Estimate"), percent, described("Percent")).alias("variables"),
+        F.create_map(percent, F.when(F.col("p_partkey") % 2 == 0, estimate)).alias("pe_parents"),
+    ), {"ignoreNullFields": "false"}).alias("value"))
+    path = f"{work_folder(spark, 'meta')}/variables"
+    docs.write.text(path)
+    return W.read_acs_meta(spark, path, lines=True)
+
+
+@query("s3_explode_matrix", """
+    select p_partkey, v.* from part, lateral (
+        select 0 as row_number, p_name as name, cast(p_size as varchar) as state
+        union all select 1, null, p_brand where p_partkey % 2 = 0) v""")
+def s3(spark, sf):
+    header = F.array(F.lit("NAME"), F.lit("state"))
+    first = F.array(F.col("p_name"), F.col("p_size").cast("string"))
+    second = F.array(F.lit(None).cast("string"), F.col("p_brand"))
+    matrix = F.when(F.col("p_partkey") % 2 == 0, F.array(header, first, second)).otherwise(F.array(header, first))
+    payload = table(spark, sf, "part").select("p_partkey", F.to_json(matrix).alias("payload"))
+    return W.explode_matrix(payload, "payload", ["p_partkey"]).select(
+        "p_partkey", "row_number", F.try_element_at("record", F.lit("NAME")).alias("name"),
+        F.try_element_at("record", F.lit("state")).alias("state"),
+    )
+
+
+@query("s4_flatten_series", """
+    with e as (select * from events where event_id % 7 <> 0)
+    select 'LNU0' || user_id as series_id, coalesce(c_name, '') as series_description, cast(year(ts) as varchar) as year,
+        v.period, v.value, v.footnotes from e left join customer on c_custkey = user_id and c_custkey % 4 <> 0,
+        lateral (select 'M01' as period, cast(event_id as varchar) as value, event_type || '; b' as footnotes
+                 union all select 'A01', '', '') v""")
+def s4(spark, sf):
+    events = table(spark, sf, "events")
+    year = F.year("ts").cast("string").alias("year")
+
+    def note(text):
+        return F.struct(text.alias("text"))
+
+    first = F.struct(
+        year, F.lit("M01").alias("period"), F.col("event_id").cast("string").alias("value"),
+        F.array(note(F.col("event_type")), note(F.lit(None).cast("string")), note(F.lit("b"))).alias("footnotes"),
+    )
+    second = F.struct(
+        year, F.lit("A01").alias("period"), F.lit(None).cast("string").alias("value"),
+        F.array().cast("array<struct<text:string>>").alias("footnotes"),
+    )
+    payload = F.to_json(F.struct(
+        F.when(F.col("event_id") % 7 != 0, "REQUEST_SUCCEEDED").otherwise("REQUEST_FAILED").alias("status"),
+        F.struct(F.array(F.struct(
+            F.concat(F.lit("LNU0"), F.col("user_id").cast("string")).alias("seriesID"), F.array(first, second).alias("data"),
+        )).alias("series")).alias("Results"),
+    ))
+    catalogue = table(spark, sf, "customer").filter("c_custkey % 4 <> 0").select(
+        F.concat(F.lit("LNU0"), F.col("c_custkey").cast("string")).alias("series_id"), F.col("c_name").alias("title")
+    )
+    return W.flatten_series(events.select(payload.alias("payload")), "payload", catalogue)
+
+
+@query("s5_read_catalogue", """
+    select case when p_partkey % 2 = 0 then 'LNU0' else 'LNS1' end || p_partkey as series_id, p_name as title,
+        case when p_partkey % 2 = 0 then 'M' end as periodicity,
+        case when p_partkey % 2 = 0 then p_size end as disa_code from part""")
+def s5(spark, sf):
+    key = F.col("p_partkey").cast("string")
+    flat = F.to_json(F.struct(F.create_map(F.concat(F.lit("LNU0"), key), F.struct(
+        F.col("p_name").alias("title"), F.lit("M").alias("periodicity"), F.col("p_size").alias("disa_code")
+    )).alias("series")))
+    older = F.to_json(F.struct(
+        F.struct(F.create_map(F.lit("LNX"), F.lit("no series")).alias("series")).alias("_note"),
+        F.struct(F.create_map(F.concat(F.lit("LNS1"), key), F.col("p_name")).alias("series")).alias("employment"),
+    ))
+    path = f"{work_folder(spark, 'catalogue')}/series"
+    table(spark, sf, "part").select(F.when(F.col("p_partkey") % 2 == 0, flat).otherwise(older)).write.text(path)
+    return W.read_catalogue(spark, path, lines=True).select("series_id", "title", "periodicity", "disa_code")
+
+
+@query("s6_variable_columns", f"""
+    with v as (select p_partkey, {PART_ID} as name from part)
+    select p_partkey, name from v where regexp_matches(name, '^[A-Z][0-9]+(_C[0-9]+)?_[0-9]+(E|M|PE|PM)$')""")
+def s6(spark, sf):
+    return table(spark, sf, "part").select("p_partkey", F.expr(PART_ID).alias("name")).filter(is_variable(F.col("name")))
+
+
+_TOKEN = """case c_custkey % 9 when 0 then '' when 1 then 'NA' when 2 then 'N/A' when 3 then 'NaN' when 4 then 'nan'
+    when 5 then 'NULL' when 6 then 'null' else {} end"""
+
+
+@query("s7_read_cleaned", f"""
+    select case when c_custkey % 9 < 7 then null else c_name end as state, '0' || c_custkey as fips,
+        2000 + c_nationkey as year, case when c_custkey % 9 < 7 then null else c_acctbal end as dis_employed from customer""")
+def s7(spark, sf):
+    path = f"{work_folder(spark, 'cleaned')}/acs_S1811_cleaned.csv"
+    table(spark, sf, "customer").select(
+        F.expr(_TOKEN.format("c_name")).alias("state"), F.concat(F.lit("0"), F.col("c_custkey").cast("string")).alias("fips"),
+        (F.col("c_nationkey") + 2000).alias("year"),
+        F.expr(_TOKEN.format("cast(c_acctbal as varchar(30))")).alias("dis_employed"),
+    ).write.csv(path, header=True)
+    return T.read_cleaned(spark, path)
+
+
+def orders_by_table(spark, sf):
+    return table(spark, sf, "orders").withColumns({
+        "table_id": F.concat(F.lit("T"), F.col("o_orderstatus")), "year": F.year("o_orderdate")
+    })
+
+
+@query("s8_write_cleaned", """
+    with o as (select 'T' || o_orderstatus as table_id, cast(year(o_orderdate) as integer) as year, * from orders)
+    select table_id, year, count(*) as row_count, cast(sum(cast(round(o_totalprice * 100) as bigint)) as bigint) as cents,
+        cast(case when table_id = 'TF' and year = 1996 then 2 else 1 end as integer) as version from o group by 1, 2""")
+def s8(spark, sf):
+    path = f"{work_folder(spark, 'cleaned')}/acs"
+    rows = orders_by_table(spark, sf).withColumn("version", F.lit(1))
+    T.write_cleaned(rows, path)
+    again = rows.filter("table_id = 'TF' and year = 1996").withColumn("version", F.lit(2))
+    T.write_cleaned(again, path)
+    return spark.read.parquet(path).groupBy("table_id", F.col("year").cast("int").alias("year")).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents"),
+        F.max("version").alias("version"),
+    )
+
+
+def _published(spark, name, frames):
+    T.ensure_database(spark, "published")
+    return T.publish(frames, f"published.{name}", f"{work_folder(spark, 'published')}/{name}")
+
+
+@query("s9_publish", f"""with {YEARS}
+    select year, count(*) as row_count, count(o_totalprice) as total_price, count(o_orderstatus) as o_orderstatus,
+        count(o_orderpriority) as o_orderpriority from combined group by year""")
+def s9(spark, sf):
+    frames = [
+        f.withColumnRenamed("o_totalprice", "Total | price") for f in year_frames(spark, sf)
+    ]
+    _published(spark, "orders_by_year", frames)
+    return spark.table("published.orders_by_year").groupBy("year").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        *[F.count(c).alias(c) for c in ("total_price", "o_orderstatus", "o_orderpriority")],
+    )
+
+
+_FILE = """
+    case p_partkey % 4
+        when 0 then 'acs_S' || p_size || '_' || lpad(cast(p_partkey % 10000 as varchar(20)), 4, '0') || '_cleaned.csv'
+        when 1 then 'bls_' || replace(p_name, ' ', '-') || '_cleaned.csv'
+        when 2 then 'acs_B' || p_size || '_201_cleaned.csv'
+        else 'bls_cps_' || p_type || '.csv'
+    end
+"""
+_PUBLISH = """regexp_replace(regexp_replace(replace(lower(regexp_replace(file_name, '\\.[^.]*$', '')), '_cleaned', ''),
+    '_\\d{4}$', ''), '[^a-z0-9_]', '_', 'g')"""
+
+
+@query("s11_route_files", f"""
+    with f as (select p_partkey, {_FILE} as file_name from part)
+    select p_partkey, nullif(regexp_extract(file_name, '^acs_([A-Za-z0-9]+)_(\\d{{4}})_cleaned\\.csv$', 1), '') as table_id,
+        try_cast(nullif(regexp_extract(file_name, '^acs_([A-Za-z0-9]+)_(\\d{{4}})_cleaned\\.csv$', 2), '') as integer) as year,
+        {_PUBLISH} as publish_name from f""")
+def s11(spark, sf):
+    files = table(spark, sf, "part").select("p_partkey", F.expr(_FILE).alias("file_name"))
+    return W.route_files(files).select("p_partkey", "table_id", "year", "publish_name")
+
+
+@query("s12_backlog", """
+    with o as (select 'C' || o_custkey as table_id, cast(year(o_orderdate) as integer) as year, * from orders),
+    wanted as (select distinct table_id, year, level from o, (values ('county'), ('state')) l(level)),
+    landed as (select distinct table_id, year, case when o_orderpriority like '1%' then 'state' else 'county' end as level
+               from o where o_orderstatus = 'F'),
+    flags as (select distinct table_id, year from landed where level = 'county')
+    select w.table_id, w.year, w.level, case when f.year is not null and w.level = 'state' then 'state only' else 'full' end as work
+    from wanted w anti join landed l on l.table_id = w.table_id and l.year = w.year and l.level = w.level
+    left join flags f on f.table_id = w.table_id and f.year = w.year""")
+def s12(spark, sf):
+    orders = table(spark, sf, "orders").withColumns({
+        "table_id": F.concat(F.lit("C"), F.col("o_custkey").cast("string")), "year": F.year("o_orderdate")
+    })
+    wanted = orders.select("table_id", "year").distinct().select(
+        "*", F.explode(F.array(F.lit("county"), F.lit("state"))).alias("level")
+    )
+    level = F.when(F.col("o_orderpriority").startswith("1"), "state").otherwise("county")
+    landed = orders.filter("o_orderstatus = 'F'").select("table_id", "year", level.alias("level")).distinct()
+    return T.backlog(wanted, landed)
+
+
+@query("s13_table_inventory", """
+    select 'nations' as table_name, count(*) as row_count from nation
+    union all select 'orders_of_customers', count(*) from orders join customer on o_custkey = c_custkey""")
+def s13(spark, sf):
+    orders, customer = table(spark, sf, "orders"), table(spark, sf, "customer")
+    T.ensure_database(spark, "inventory")
+    tables = {
+        "nations": table(spark, sf, "nation"),
+        "orders_of_customers": orders.join(customer, F.col("o_custkey") == F.col("c_custkey")),
+    }
+    for name, df in tables.items():
+        T.publish([df], f"inventory.{name}", f"{work_folder(spark, 'inventory')}/{name}")
+    return T.table_inventory(spark, "inventory").select("table_name", "row_count")
+
+
+_WIDTH = "p_size + p_partkey % 10000 % 7"
+
+
+@query("s14_load_preview", f"""
+    with f as (select 'acs_t' || p_size || '_' || lpad(cast(p_partkey % 10000 as varchar), 4, '0') || '_cleaned.csv' as file_name,
+        cast({_WIDTH} as bigint) as column_count from part),
+    r as (select {_PUBLISH} as table_name, * from f)
+    select table_name, count(*) as file_count, arg_min(column_count, file_name) as column_count from r group by 1""")
+def s14(spark, sf):
+    name = F.expr("'acs_t' || p_size || '_' || lpad(cast(p_partkey % 10000 as string), 4, '0') || '_cleaned.csv'")
+    files = table(spark, sf, "part").select(name.alias("file_name"), F.expr(_WIDTH).cast("bigint").alias("column_count"))
+    return T.load_preview(files)
+
+
+@query("u3_union_for_publish", f"""with {YEARS}
+    select year, o_orderkey, o_totalprice as total_price, o_orderstatus as order_status, o_orderpriority as order_status_1
+    from combined""")
+def u3(spark, sf):
+    frames = [
+        f.withColumnsRenamed({"o_totalprice": "Total | price", "o_orderstatus": "Order status",
+                              "o_orderpriority": "order >> status"})
+        for f in year_frames(spark, sf)
+    ]
+    return T.union_for_publish(frames)
+
+
+@query("s15_data_dictionary", """
+    with c as (select 'CPS' as table_id, * from (
+        select 'series_id' as column_name, count(distinct event_type) as distinct_values from events
+        union all select 'value', count(distinct value) from events
+        union all select 'period', count(distinct user_id) from events))
+    select table_id, column_name, case column_name when 'value' then 'float' else 'string' end as type,
+        case column_name when 'series_id' then 'Series Identification' else 'Time & Value' end as section,
+        'All years' as availability, distinct_values from c""")
+def s15(spark, sf):
+    """Dictionary entries of a published series table, beside what its columns hold."""
+    series = table(spark, sf, "events").select(
+        F.col("event_type").alias("series_id"), F.col("value"), F.col("user_id").cast("string").alias("period")
+    )
+    commented = T.apply_comments(series, "CPS")
+    counts = commented.agg(*[F.countDistinct(c).alias(c) for c in commented.columns])
+    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("distinct_values")) for c in commented.columns]
+    held = counts.select(F.inline(F.array(*pairs)))
+    entries = T.data_dictionary(spark).filter("table_id = 'CPS'")
+    return entries.join(held, "column_name").select(
+        "table_id", "column_name", "type", "section", "availability", "distinct_values"
+    )

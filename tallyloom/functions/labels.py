@@ -99,18 +99,17 @@ def count_column_candidate(var_id: Column, suffix: str) -> Column:
 
 
 def canon_s1811(name: Column) -> Column:
-    """Older S1811 names brought to the present hierarchy."""
-    result = name
-    for group in reversed(S1811_GROUPS):
-        upgraded = name
-        for old, new in reversed(S1811_INFIXES):
-            start = f"{group} | {old}"
-            upgraded = F.when(
-                name.startswith(start),
-                F.concat(F.lit(f"{group} | {new}"), F.substring(name, len(start) + 1, 2**31 - 1)),
-            ).otherwise(upgraded)
-        result = F.when(name.startswith(f"{group} | "), upgraded).otherwise(result)
-    return result
+    """Older S1811 names brought to the present hierarchy.
+
+    The present form of a branch is its old form below one more level, so a branch is moved by
+    putting that level between group and branch.
+    """
+    groups, levels = "|".join(S1811_GROUPS), {}
+    for old, new in S1811_INFIXES:
+        levels.setdefault(new.removesuffix(old), []).append(old.removesuffix(" | "))
+    for level, branches in levels.items():
+        name = F.regexp_replace(name, rf"^({groups}) \| ({'|'.join(branches)}) \| ", f"$1 | {level}$2 | ")
+    return name
 
 
 def canon_s1810(name: Column) -> Column:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.labels import label_chain, let
 from tallyloom.functions.numbers import PERCENT_LIMIT, census_number, percent_of
 from tallyloom.operators.relational import lookup
+from tallyloom.session import materialise
 
 TABLE_YEAR = ["table_id", "year"]
 _LEVEL_STEP = 1 << 20
@@ -76,7 +77,7 @@ def percent_paths(meta: DataFrame, tops: DataFrame) -> DataFrame:
     )
     owners = converted.select(*TABLE_YEAR, F.col("var_id").alias("owner"), F.lit(True).alias("owner_converted"))
     marked = lookup(
-        lookup(links, converted, [*TABLE_YEAR, "var_id"], "left_semi", spread_by=["owner"]),
+        links.join(converted, [*TABLE_YEAR, "var_id"], "left_semi"),
         owners, [*TABLE_YEAR, "owner"], spread_by=["var_id"],
     )
     node = F.struct(
@@ -103,30 +104,38 @@ def percent_paths(meta: DataFrame, tops: DataFrame) -> DataFrame:
     return grouped.select(*TABLE_YEAR, "var_id", F.aggregate("nodes", start, climb, lambda s: s["path"]).alias("path"))
 
 
-def _fold(values: Column, path: Column) -> Column:
-    top = F.try_element_at(values, F.element_at(path, 1))
-    rest = F.slice(path, F.lit(2), F.size(path))
-    return F.aggregate(rest, top, lambda acc, var: percent_of(F.try_element_at(values, var), acc))
+def _product(line: Column) -> Column:
+    """Count behind a line of values: a count first, then percentages of what comes before."""
+    rest = F.slice(line, F.lit(2), F.greatest(F.size(line) - 1, F.lit(0)))
+    return F.aggregate(rest, F.element_at(line, 1), lambda acc, percent: percent_of(percent, acc))
 
 
-def with_paths(rows: DataFrame, paths: DataFrame, out: str = "paths") -> DataFrame:
-    """Attach the paths of a row's table and year as one map; a table has some hundred variables."""
-    packed = paths.groupBy(*TABLE_YEAR).agg(
-        F.map_from_entries(F.collect_list(F.struct("var_id", "path"))).alias(out)
+def _along(values: Column, path: Column) -> Column:
+    return F.transform(path, lambda var: F.try_element_at(values, var))
+
+
+def pack(paths: DataFrame) -> DataFrame:
+    """Paths of a table and year as one map; a table has some hundred variables."""
+    return paths.groupBy(*TABLE_YEAR).agg(
+        F.map_from_entries(F.collect_list(F.struct("var_id", "path"))).alias("paths")
     )
-    return lookup(rows, packed, TABLE_YEAR, measure=True)
 
 
-def convert(rows: DataFrame, paths: DataFrame) -> DataFrame:
-    """Rows with the map `values` converted along the paths."""
+def converted(values: Column, paths: Column) -> Column:
+    """The map `values` with every variable that has a path folded along it."""
     def cell(var: Column, value: Column) -> Column:
         return let(
-            F.try_element_at("paths", var),
-            lambda path: F.when(path.isNull(), value).otherwise(_fold(F.col("values"), path)),
+            F.try_element_at(paths, var),
+            lambda path: F.when(path.isNull(), value).otherwise(let(_along(values, path), _product)),
         )
 
-    ready = with_paths(rows, paths)
-    return ready.withColumn("values", F.transform_values("values", cell)).drop("paths")
+    return F.transform_values(values, cell)
+
+
+def convert(rows: DataFrame, paths: DataFrame) -> DataFrame:
+    """Rows with the map `values` converted along the paths."""
+    ready = lookup(rows, pack(paths), TABLE_YEAR, measure=True)
+    return ready.withColumn("values", converted(F.col("values"), F.col("paths"))).drop("paths")
 
 
 def numbers(rows: DataFrame) -> DataFrame:
@@ -134,14 +143,18 @@ def numbers(rows: DataFrame) -> DataFrame:
     return rows.withColumn("values", F.transform_values("vars", lambda _, text: census_number(text)))
 
 
-def pe_to_count(rows: DataFrame, parents: DataFrame) -> DataFrame:
-    """Percentages times their denominators; NULL without one.
+def parent_paths(parents: DataFrame) -> DataFrame:
+    """Paths of percentages below their denominators: table_id, year, var_id, pe_parent.
 
-    `parents`: table_id, year, var_id, pe_parent; the last may be NULL.
+    A missing denominator leads nowhere, and so to NULL.
     """
     parent = F.coalesce("pe_parent", F.lit(""))
-    paths = parents.select(*TABLE_YEAR, "var_id", F.array(parent, F.col("var_id")).alias("path"))
-    return convert(rows, paths)
+    return parents.select(*TABLE_YEAR, "var_id", F.array(parent, F.col("var_id")).alias("path"))
+
+
+def pe_to_count(rows: DataFrame, parents: DataFrame) -> DataFrame:
+    """Percentages times their denominators; NULL without one."""
+    return convert(rows, parent_paths(parents))
 
 
 def percent_to_count(rows: DataFrame, meta: DataFrame, tops: DataFrame | None = None) -> DataFrame:
@@ -160,16 +173,20 @@ def labelled_paths(rows: DataFrame, names: DataFrame) -> DataFrame:
     """Paths of the second pass, whose decisions depend on columns converted before.
 
     `names`: table_id, year, var_id, position, name. Whatever is decided, a column's value is a
-    fold over its ancestors from some first one on. One aggregation finds the maximum for every
-    possible first one; walking each chain from its root then tells which is in force.
+    product along its ancestors from some first one on. One aggregation finds the maximum for
+    every possible first one; walking each chain from its root then tells which is in force.
+    A column without children matters only by its own values, so for it one maximum is enough.
     """
     chains = names.select(
         *TABLE_YEAR, "var_id", "position", F.split(F.col("name"), r" \| ").alias("chain")
     )
     node = F.struct("depth", F.col("owner").alias("var_id"), F.col("owner_position").alias("position"))
-    above = _ancestors(chains).groupBy(*TABLE_YEAR, "var_id").agg(F.sort_array(F.collect_list(node)).alias("above"))
-    lines = lookup(chains, above, [*TABLE_YEAR, "var_id"]).select(
-        *TABLE_YEAR, "var_id",
+    links = materialise(_ancestors(chains), "links")
+    above = links.groupBy(*TABLE_YEAR, "var_id").agg(F.sort_array(F.collect_list(node)).alias("above"))
+    parents = links.select(*TABLE_YEAR, F.col("owner").alias("var_id"), F.lit(True).alias("is_parent")).distinct()
+    known = chains.join(above, [*TABLE_YEAR, "var_id"], "left").join(parents, [*TABLE_YEAR, "var_id"], "left")
+    lines = known.select(
+        *TABLE_YEAR, "var_id", F.coalesce("is_parent", F.lit(False)).alias("is_parent"),
         F.concat(
             F.coalesce(F.transform("above", lambda n: F.struct(n["var_id"], n["position"])),
                        F.array().cast("array<struct<var_id:string,position:bigint>>")),
@@ -177,19 +194,29 @@ def labelled_paths(rows: DataFrame, names: DataFrame) -> DataFrame:
         ).alias("line"),
     )
 
-    paths = lines.select(*TABLE_YEAR, "var_id", F.transform("line", lambda n: n["var_id"]).alias("path"))
-    packed = paths.groupBy(*TABLE_YEAR).agg(F.collect_list(F.struct("var_id", "path")).alias("all"))
-    cells = lookup(rows.select(*TABLE_YEAR, "values"), packed, TABLE_YEAR, "inner", measure=True)
-    cells = cells.select(*TABLE_YEAR, "values", F.explode("all").alias("v"))
-    cells = cells.select(
-        *TABLE_YEAR, F.col("v.var_id").alias("var_id"),
-        F.posexplode(
-            F.transform(
-                F.sequence(F.lit(1), F.size("v.path")),
-                lambda s: _fold(F.col("values"), F.slice(F.col("v.path"), s, F.size("v.path"))),
-            )
-        ).alias("first", "value"),
+    path = F.transform("line", lambda n: n["var_id"])
+    paths = lines.select(
+        *TABLE_YEAR, "var_id",
+        F.when(F.col("is_parent"), path).otherwise(F.array("var_id")).alias("path"),
+        F.when(F.col("is_parent"), 0).otherwise(F.size("line") - 1).alias("offset"),
     )
+    packed = paths.groupBy(*TABLE_YEAR).agg(F.collect_list(F.struct("var_id", "path", "offset")).alias("all"))
+    ready = lookup(rows.select(*TABLE_YEAR, "values"), packed, TABLE_YEAR, "inner", measure=True)
+
+    def from_every_first(line: Column) -> Column:
+        return let(
+            _along(F.col("values"), line["path"]),
+            lambda held: F.transform(
+                held,
+                lambda _, first: F.struct(
+                    line["var_id"].alias("var_id"), (first + line["offset"]).alias("first"),
+                    _product(F.slice(held, first + 1, F.size(held))).alias("value"),
+                ),
+            ),
+        )
+
+    # Folded inside the row, so that the map is not copied for every variable.
+    cells = ready.select(*TABLE_YEAR, F.inline(F.flatten(F.transform("all", from_every_first))))
     tops = cells.groupBy(*TABLE_YEAR, "var_id", "first").agg(F.max("value").alias("top"))
     by_variable = tops.groupBy(*TABLE_YEAR, F.col("var_id").alias("node")).agg(
         F.map_from_entries(F.collect_list(F.struct("first", "top"))).alias("tops")
@@ -198,8 +225,8 @@ def labelled_paths(rows: DataFrame, names: DataFrame) -> DataFrame:
     nodes = lines.select(*TABLE_YEAR, "var_id", F.posexplode("line").alias("place", "n")).select(
         *TABLE_YEAR, "var_id", "place", F.col("n.var_id").alias("node"), F.col("n.position").alias("position")
     )
-    known = lookup(nodes, by_variable, [*TABLE_YEAR, "node"], spread_by=["var_id"])
-    gathered = known.groupBy(*TABLE_YEAR, "var_id").agg(
+    weighted = lookup(nodes, by_variable, [*TABLE_YEAR, "node"], spread_by=["var_id"])
+    gathered = weighted.groupBy(*TABLE_YEAR, "var_id").agg(
         F.sort_array(F.collect_list(F.struct("place", "node", "position"))).alias("line"),
         F.map_from_entries(F.collect_list(F.struct("place", "tops"))).alias("tops"),
     )

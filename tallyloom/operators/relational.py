@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.labels import classify
-from tallyloom.session import materialise
+from tallyloom.session import materialise, weighed
 
 SPREAD = 16
 BROADCAST_BYTES = 64 << 20
@@ -81,8 +81,8 @@ def lookup(
     still skewed then (equal copies of one row).
     """
     if measure:
-        table = materialise(table, "lookup")
-        if weight(table) <= BROADCAST_BYTES:
+        table, size = weighed(table, "lookup")
+        if size <= BROADCAST_BYTES:
             return facts.join(F.broadcast(table), on, how)
     others = spread_by or _spread_columns(facts, on)
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(spread)).cast("int"))
@@ -90,26 +90,19 @@ def lookup(
     return salted.join(table.withColumn("_salt", salts), [*on, "_salt"], how).drop("_salt")
 
 
-def weight(df: DataFrame) -> int:
-    """Size of the rows as text, close to what they take in memory."""
-    return df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("bigint"))).first()[0] or 0
-
-
-def ordinal(
-    df: DataFrame,
-    keys: list[str],
-    position: str,
-    out: str,
-    block: Column | None = None,
-    width: int = 1 << 20,
-) -> DataFrame:
+def ordinal(df: DataFrame, keys: list[str], position: str, out: str, width: int = 1 << 20) -> DataFrame:
     """1-based rank by `position` within `keys`, without holding a whole group in one task.
 
-    `block` must not decrease along `position`. Rows are numbered inside (keys, block) and the
-    counts of the blocks before are added; only block counts are gathered per key.
+    A group is cut into blocks along `position`: every `width` units of a whole number, or the
+    parts of a range partitioning, written out so that they are fixed. Rows are numbered inside
+    their block and the counts of the blocks before are added; only block counts are gathered
+    per group.
     """
-    block = F.floor(F.col(position) / width) if block is None else block
-    tagged = df.withColumn("_block", block)
+    if dict(df.dtypes)[position] in ("int", "bigint"):
+        tagged = df.withColumn("_block", F.floor(F.col(position) / width))
+    else:
+        ranged = df.repartitionByRange(*keys, position).withColumn("_block", F.spark_partition_id())
+        tagged = materialise(ranged, "ranges")
     group = [*keys, "_block"]
     sizes = tagged.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))
     earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
@@ -175,7 +168,6 @@ def top_counts(df: DataFrame, col: str, k: int) -> DataFrame:
     return value_counts(df, col).limit(k)
 
 
-def column_order(meta: DataFrame, prefix: int = 12) -> DataFrame:
+def column_order(meta: DataFrame) -> DataFrame:
     """Position of a variable: its rank by id within table and year."""
-    block = F.substring("var_id", 1, prefix)
-    return ordinal(meta, ["table_id", "year"], "var_id", "position", block)
+    return ordinal(meta, ["table_id", "year"], "var_id", "position")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.fixed import GEO_COLUMNS, PUBLISHED_COLUMNS
 from tallyloom.functions.labels import sanitize_name
-from tallyloom.operators.relational import lookup, ordinal
+from tallyloom.operators.relational import ordinal
 
 TABLE_YEAR = ["table_id", "year"]
 
@@ -21,22 +21,25 @@ def apply_schema(df: DataFrame, table: str) -> DataFrame:
     return df.select(*geo, *[F.col(f"`{c}`").alias(published[c]) for c in df.columns if c in published])
 
 
-def publish_columns(rows: DataFrame, names: DataFrame, columns: dict[str, str], keep: list[str]) -> DataFrame:
+def pack_names(names: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Variable of each wanted name per table and year, as one map."""
+    wanted = names.filter(F.col("name").isin(*columns))
+    return wanted.groupBy(*TABLE_YEAR).agg(
+        F.map_from_entries(F.collect_list(F.struct("name", "var_id"))).alias("ids")
+    )
+
+
+def publish_columns(rows: DataFrame, columns: dict[str, str], keep: list[str]) -> DataFrame:
     """One column per entry of `columns` (name → output name), picked from the map `values`.
 
-    `names`: table_id, year, var_id, name. Years may carry a name under different variables;
-    the pick is row-local, no pivot shuffle.
+    The map `ids` tells under which variable a row's table and year carry a name, so the pick
+    is row-local and needs no pivot.
     """
-    wanted = names.filter(F.col("name").isin(*columns))
-    packed = wanted.groupBy(*TABLE_YEAR).agg(
-        F.map_from_entries(F.collect_list(F.struct("name", "var_id"))).alias("_ids")
-    )
-    ready = lookup(rows, packed, TABLE_YEAR, measure=True)
     picks = [
-        F.try_element_at("values", F.try_element_at("_ids", F.lit(name))).alias(out)
+        F.try_element_at("values", F.try_element_at("ids", F.lit(name))).alias(out)
         for name, out in columns.items()
     ]
-    return ready.select(*keep, *picks)
+    return rows.select(*keep, *picks)
 
 
 def drop_all_null(df: DataFrame) -> DataFrame:

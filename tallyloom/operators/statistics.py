@@ -95,8 +95,9 @@ def describe(df: DataFrame, col: str) -> DataFrame:
     names = ["q25", "q50", "q75"]
     n = values.count()
     if n <= FINISH_ROWS:
-        quartiles = [F.percentile("v", q).alias(name) for q, name in zip(QUARTILES, names)]
-        return values.agg(*basics, *quartiles)
+        quartiles = F.percentile("v", F.array(*[F.lit(q) for q in QUARTILES])).alias("_q")
+        picks = [F.col("_q")[i].alias(name) for i, name in enumerate(names)]
+        return values.agg(*basics, quartiles).select("*", *picks).drop("_q")
 
     def quantile(q: float) -> float:
         place = (n - 1) * q

@@ -11,7 +11,7 @@ from tallyloom.operators import hierarchy as H
 from tallyloom.operators import naming as N
 from tallyloom.operators.geography import fill_geo, geo_keys
 from tallyloom.operators.relational import lookup
-from tallyloom.operators.shape import TABLE_YEAR, drop_all_null, publish_columns
+from tallyloom.operators.shape import TABLE_YEAR, drop_all_null, pack_names, publish_columns
 from tallyloom.session import materialise
 
 
@@ -19,25 +19,45 @@ def variables_in_use(rows: DataFrame, meta: DataFrame) -> DataFrame:
     """Metadata of the variables the rows hold, with maximum and column position; estimates that
     only repeat a count as a percentage are gone.
 
-    Written to the shared folder: it is small, and everything after reads it several times.
+    The one pass over the rows behind it is written out at once: what follows reads the result
+    several times.
     """
     known = meta.select(*TABLE_YEAR, "var_id", "label", "pe_parent", "has_parent_entry")
-    found = lookup(H.variable_stats(rows), known, [*TABLE_YEAR, "var_id"], "inner")
+    stats = H.variable_stats(rows).join(known, [*TABLE_YEAR, "var_id"], "inner")
+    found = materialise(stats, "found")
     kind = classify(F.col("var_id"))
-    estimates = N.drop_redundant_pct(found.filter(kind == "E"))
-    percentages = found.filter((kind == "PE") & F.col("has_parent_entry"))
-    return materialise(estimates.unionByName(percentages), "variables")
+    held = found.filter((kind == "E") | ((kind == "PE") & F.col("has_parent_entry")))
+    return materialise(N.drop_redundant_pct(held), "variables")
 
 
-def clean_values(rows: DataFrame, variables: DataFrame, names: DataFrame) -> DataFrame:
-    """Rows with the map `values`: parsed, and percentages turned into counts in three steps."""
+def _prefixes(names) -> list[str]:
+    """The names and every name above them in the hierarchy."""
+    cut = [name.split(" | ") for name in names]
+    return sorted({" | ".join(parts[:k]) for parts in cut for k in range(1, len(parts) + 1)})
+
+
+def first_pass(rows: DataFrame, variables: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows with the map `values` of the wanted variables, percentages turned into counts.
+
+    Both kinds of percentages are decided and computed from the landed values, so one map of
+    paths serves them. Variables that neither are wanted nor lie above a wanted one are dropped
+    before anything is parsed.
+    """
     kind = classify(F.col("var_id"))
     estimates, percentages = variables.filter(kind == "E"), variables.filter(kind == "PE")
-    numeric = H.pe_to_count(H.numbers(rows), percentages)
-    tops = estimates.select(*TABLE_YEAR, "var_id", "top")
-    first = H.percent_to_count(numeric, estimates, tops)
-    late = F.upper("table_id").startswith("S1811")
-    return H.labelled_percent_to_count(first, names.filter(late))
+    paths = H.parent_paths(percentages).unionByName(H.percent_paths(estimates, estimates))
+    needed = paths.join(wanted, [*TABLE_YEAR, "var_id"], "left_semi")
+    used = needed.select(*TABLE_YEAR, F.explode("path").alias("var_id")).unionByName(
+        wanted.select(*TABLE_YEAR, "var_id")
+    )
+    keep = used.groupBy(*TABLE_YEAR).agg(F.collect_set("var_id").alias("keep"))
+    packed = keep.join(H.pack(needed), TABLE_YEAR, "left")
+    ready = lookup(rows, packed, TABLE_YEAR, measure=True)
+    keep = F.coalesce("keep", F.array().cast("array<string>"))
+    kept = F.map_filter("vars", lambda var, _: F.array_contains(keep, var))
+    parsed = H.numbers(ready.withColumn("vars", kept))
+    paths = F.coalesce("paths", F.create_map().cast("map<string,array<string>>"))
+    return parsed.withColumn("values", H.converted(F.col("values"), paths)).drop("vars", "keep", "paths")
 
 
 def clean_table(rows: DataFrame, meta: DataFrame, table: str) -> DataFrame:
@@ -45,16 +65,25 @@ def clean_table(rows: DataFrame, meta: DataFrame, table: str) -> DataFrame:
 
     `rows`: table_id, year, level, name, state, county, vars. `meta`: table_id, year, var_id,
     label, pe_parent, has_parent_entry. A column of a year that holds no value is NULL there.
+    The rows are read two times, for S1811 three times: keep them in a columnar landing table.
     """
     one = rows.filter(F.upper("table_id") == table)
     variables = variables_in_use(one, meta.filter(F.upper("table_id") == table))
-    names = materialise(N.canonical_names(N.assign_names(variables)), "names")
-    values = clean_values(one, variables, names)
-    published = {label: name for label, name in PUBLISHED_COLUMNS[table].items()}
-    shaped = publish_columns(
-        geo_keys(values), names, published, ["table_id", *GEO_COLUMNS]
-    )
-    return fill_geo(shaped)
+    names = materialise(N.assign_names(variables), "names")
+    if table.startswith("S"):
+        names = N.canonical_names(names)
+    published = PUBLISHED_COLUMNS[table]
+    wanted = materialise(names.filter(F.col("name").isin(*_prefixes(published))), "wanted")
+    values = first_pass(one, variables, wanted)
+    ids = pack_names(wanted, published)
+    if table.startswith("S1811"):
+        late = H.pack(H.labelled_paths(values, wanted))
+        ready = lookup(values, ids.join(late, TABLE_YEAR, "left"), TABLE_YEAR, measure=True)
+        paths = F.coalesce("paths", F.create_map().cast("map<string,array<string>>"))
+        ready = ready.withColumn("values", H.converted(F.col("values"), paths))
+    else:
+        ready = lookup(values, ids, TABLE_YEAR, measure=True)
+    return fill_geo(publish_columns(geo_keys(ready), published, ["table_id", *GEO_COLUMNS]))
 
 
 def clean_year(rows: DataFrame, meta: DataFrame, table: str, year: int) -> DataFrame:

@@ -7,7 +7,8 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Partition counts and join strategies are left to adaptive execution, which sees the measured
 # size of every shuffle; nothing here depends on the size of one data set.
@@ -18,6 +19,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
+    # The plans have many small stages whose compiled code is worth keeping.
+    "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
 
@@ -55,7 +58,17 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     Cuts the lineage with files that outlive any executor, so that a later loss re-reads the
     files instead of repeating the work.
     """
-    spark = df.sparkSession
-    path = work_folder(spark, purpose)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return weighed(df, purpose)[0]
+
+
+def weighed(df: DataFrame, purpose: str) -> tuple[DataFrame, int]:
+    """As `materialise`, with the size of the rows as text, close to what they take in memory.
+
+    The size is observed while writing. A repeated task may count twice, which only errs towards
+    the larger size.
+    """
+    spark, path = df.sparkSession, work_folder(df.sparkSession, purpose)
+    seen = Observation()
+    row = F.octet_length(F.to_json(F.struct("*"))).cast("bigint")
+    df.observe(seen, F.sum(row).alias("bytes")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get["bytes"] or 0

@@ -13,6 +13,7 @@ from tallyloom.functions.labels import classify
 from tallyloom.operators import hierarchy as H
 from tallyloom.operators import shape
 from tallyloom.plans.survey import clean_table
+from tallyloom.session import materialise
 from workload import query, table
 from workload.scalars import _FROM, chain_sql, customers
 
@@ -87,12 +88,14 @@ _TREE = {
 
 
 def rows(spark, sf, table_id, tree):
+    """Survey rows of a tree of variables, landed as a table of their own."""
     cells = [F.lit(v) for v in tree]
     texts = [F.expr(text) for _, text in tree.values()]
-    return sums(spark, sf).select(
+    landed = sums(spark, sf).select(
         F.lit(table_id).alias("table_id"), "year", "level", "name", "state", "county",
         F.map_from_arrays(F.array(*cells), F.array(*texts)).alias("vars"),
     )
+    return materialise(landed, "landed")
 
 
 def meta(data, tree):

@@ -294,7 +294,7 @@ def o4(spark, sf):
         F.col("c_mktsegment").alias("table_id"), (F.col("c_nationkey") % 2 + 2010).alias("year"),
         F.expr(VARIABLE_ID).alias("var_id"),
     )
-    return R.column_order(meta, prefix=4)
+    return R.column_order(meta)
 
 
 # ---- column sets -----------------------------------------------------------------------

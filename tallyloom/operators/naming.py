@@ -52,13 +52,18 @@ def assign_names(meta: DataFrame) -> DataFrame:
     is_pe = L.classify(F.col("var_id")) == "PE"
     base = L.label_to_name(F.col("label"))
     named = meta.withColumn("name", F.when(is_pe, L.derived_name(base)).otherwise(base))
-    named = named.withColumn("_rank", F.struct(F.coalesce(is_pe, F.lit(False)), "position"))
-    first = named.groupBy(*TABLE_YEAR, "name").agg(F.min("_rank").alias("_first"))
-    joined = lookup(named, first, [*TABLE_YEAR, "name"], spread_by=["var_id"])
-    unique = F.when(F.col("_rank") == F.col("_first"), F.col("name")).otherwise(
-        F.concat("name", F.lit(" ("), "var_id", F.lit(")"))
+    pe = F.coalesce(is_pe, F.lit(False))
+    # Two plain minima, which a hash aggregate can hold, instead of one over pairs.
+    first = named.groupBy(*TABLE_YEAR, "name").agg(
+        F.min(F.when(~pe, F.col("position"))).alias("_first"),
+        F.min(F.when(pe, F.col("position"))).alias("_first_pe"),
     )
-    return joined.withColumn("name", unique).drop("_rank", "_first")
+    joined = lookup(named, first, [*TABLE_YEAR, "name"], spread_by=["var_id"])
+    is_first = F.col("position") == F.when(
+        pe, F.when(F.col("_first").isNull(), F.col("_first_pe"))
+    ).otherwise(F.col("_first"))
+    unique = F.when(is_first, F.col("name")).otherwise(F.concat("name", F.lit(" ("), "var_id", F.lit(")")))
+    return joined.withColumn("name", unique).drop("_first", "_first_pe")
 
 
 def canonical_names(names: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.labels import classify
 from tallyloom.session import materialise, weighed
 
-SPREAD = 16
+HOT_SHARE = 0.001
 BROADCAST_BYTES = 64 << 20
 
 
@@ -58,9 +59,24 @@ def usable_variables(meta: DataFrame) -> DataFrame:
 
 # ---- joins -----------------------------------------------------------------------------
 
+def hot_keys(facts: DataFrame, on: list[str]) -> tuple[list[int], int]:
+    """Hashes of the keys that hold more than a thousandth of the rows, and into how many parts
+    to cut them so that a part is no larger than an even shuffle partition.
+
+    One pass over the key columns fills a mergeable sketch; fewer than a thousand keys can be hot.
+    """
+    sketch = F.call_function("approx_top_k", F.xxhash64(*on), F.lit(1000), F.lit(100_000))
+    rows, found = facts.agg(F.count(F.lit(1)), sketch).first()
+    hot = {key: count for key, count in found or [] if count > rows * HOT_SHARE}
+    partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    largest = max(hot.values(), default=0) / max(rows, 1)
+    parts = math.ceil(largest * partitions)
+    return (list(hot), parts) if parts > 1 else ([], 1)
+
+
 def _spread_columns(df: DataFrame, on: list[str]) -> list[str]:
     kinds = ("map", "array<map", "variant")
-    return [c for c, kind in df.dtypes if c not in on and not kind.startswith(kinds)] or on
+    return [c for c, kind in df.dtypes if c not in on and not kind.startswith(kinds)]
 
 
 def lookup(
@@ -68,7 +84,6 @@ def lookup(
     table: DataFrame,
     on: list[str],
     how: str = "left",
-    spread: int = SPREAD,
     spread_by: list[str] | None = None,
     measure: bool = False,
 ) -> DataFrame:
@@ -76,18 +91,30 @@ def lookup(
 
     `how` may be left, inner, left_semi or left_anti. With `measure` the table is first written
     to the shared folder and weighed: below the bound it is broadcast, so that the facts are not
-    shuffled at all. Otherwise the rows of a key are spread over `spread` tasks by a hash of
-    their other columns and the table is repeated as often; adaptive execution splits what is
-    still skewed then (equal copies of one row).
+    shuffled at all.
+
+    Otherwise both sides are shuffled. The facts' rows of a hot key are cut into parts by a hash
+    of their other columns, and only the table's rows of hot keys are repeated, once per part.
+    Adaptive execution splits what is still skewed then (equal copies of one row).
     """
     if measure:
         table, size = weighed(table, "lookup")
         if size <= BROADCAST_BYTES:
             return facts.join(F.broadcast(table), on, how)
     others = spread_by or _spread_columns(facts, on)
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(spread)).cast("int"))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))
-    return salted.join(table.withColumn("_salt", salts), [*on, "_salt"], how).drop("_salt")
+    hot, parts = hot_keys(facts, on) if others else ([], 1)
+    if not hot:
+        return facts.join(table, on, how)
+
+    def is_hot() -> Column:
+        # Both sides hash their keys in the types of the facts.
+        return F.xxhash64(*[F.col(c).try_cast(facts.schema[c].dataType) for c in on]).isin(hot)
+
+    part = F.pmod(F.xxhash64(*others), F.lit(parts)).cast("int")
+    every = F.sequence(F.lit(0), F.lit(parts - 1))
+    cut = facts.withColumn("_part", F.when(is_hot(), part).otherwise(0))
+    repeated = table.withColumn("_part", F.explode(F.when(is_hot(), every).otherwise(F.array(F.lit(0)))))
+    return cut.join(repeated, [*on, "_part"], how).drop("_part")
 
 
 def ordinal(df: DataFrame, keys: list[str], position: str, out: str, width: int = 1 << 20) -> DataFrame:

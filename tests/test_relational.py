@@ -16,21 +16,34 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-@pytest.mark.parametrize("way", ["salted", "broadcast", "too heavy"])
+@pytest.mark.parametrize("way", ["hot keys", "nothing hot", "broadcast", "too heavy", "narrower key"])
 def test_lookup(spark, skewed, monkeypatch, how, way):
     facts, table = skewed
+    if way == "narrower key":
+        table = table.withColumn("k", F.col("k").cast("int"))
+    if way == "nothing hot":
+        monkeypatch.setattr(R, "HOT_SHARE", 0.9)
     want = sorted(map(str, facts.join(table, ["k"], how).collect()))
     if way == "too heavy":
         monkeypatch.setattr(R, "BROADCAST_BYTES", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = R.lookup(facts, table, ["k"], how, measure=way != "salted")
+        joined = R.lookup(facts, table, ["k"], how, measure=way in ("broadcast", "too heavy"))
         plan = joined._jdf.queryExecution().sparkPlan().toString()
         got = sorted(map(str, joined.collect()))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert got == want
     assert ("BroadcastHashJoin" in plan) == (way == "broadcast")
+    assert ("_part" in plan) == (way in ("hot keys", "too heavy", "narrower key"))
+
+
+def test_hot_keys(spark, skewed):
+    facts, _ = skewed
+    hot, parts = R.hot_keys(facts, ["k"])
+    assert spark.range(1).select(F.xxhash64(F.lit(0).cast("bigint"))).first()[0] in hot
+    assert parts == 2  # a third of four partitions
+    assert R.hot_keys(spark.range(5000).withColumnRenamed("id", "k"), ["k"]) == ([], 1)
 
 
 @pytest.mark.parametrize("kind", ["bigint", "string"])

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.significance import p_value
 
 QUARTILES = (0.25, 0.5, 0.75)
-FINISH_ROWS = 1_000_000
-SKETCH_SLACK = 0.002
+
+# Rows sorted in one task at the end of a search, and the sketch's size; its rank error is at
+# most 1 / accuracy, a third of the slack left around a rank.
+FINISH_ROWS = 200_000
+SKETCH_ACCURACY = 100_000
+SKETCH_SLACK = 3e-5
 
 
 def pearson(df: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
@@ -59,50 +63,79 @@ def correlation_summary(studies: list[tuple[str, DataFrame, dict[str, str], str,
     return pearson(stacked, ["analysis", "x_variable", "y_variable"], "x", "y")
 
 
-def order_statistic(values: DataFrame, rank: int) -> float:
-    """Value of column `v` at a 0-based rank, exact at any size.
+def _around(share: float, rows: int) -> list[float]:
+    slack = max(SKETCH_SLACK, 2 / max(rows, 1))
+    return [max(share - slack, 0.0), min(share + slack, 1.0)]
+
+
+def order_statistics(values: DataFrame, ranks: list[int], bounds: dict[int, tuple]) -> dict[int, float]:
+    """Values of column `v` at 0-based ranks, exact at any size. `bounds` holds an interval for
+    every rank, of which the widest ends must be the least and the greatest value.
 
-    Each pass counts the rows around an interval; if the rank falls strictly inside and too many
-    rows are left for one task, a mergeable sketch over the inside gives a narrower interval.
-    The interval's ends carry their own counts, so a value of any frequency ends the search.
+    One pass counts the rows around all intervals. A rank that falls on an interval's end is
+    found, whatever that value's frequency; one strictly inside is looked up among the rows there
+    if they are few, and otherwise gets a narrower interval from a mergeable sketch over them.
     """
-    v = F.col("v")
-    low, high = values.agg(F.min("v"), F.max("v")).first()
-    while True:
-        below, at_low, inside = values.agg(
-            F.count_if(v < low), F.count_if(v == low), F.count_if((v > low) & (v < high))
-        ).first()
-        start = below + at_low
-        if rank < start:
-            return low
-        if rank >= start + inside:
-            return high
-        middle = values.filter((v > low) & (v < high))
-        if inside <= FINISH_ROWS:
-            return middle.orderBy("v").offset(rank - start).limit(1).first()[0]
-        share = (rank - start) / inside
-        bounds = [max(share - SKETCH_SLACK, 0.0), min(share + SKETCH_SLACK, 1.0)]
-        low, high = middle.agg(F.percentile_approx("v", bounds, 10_000)).first()[0]
+    v, found, known = F.col("v"), {}, dict(bounds)
+    outer = {rank: (min(b[0] for b in bounds.values()), max(b[1] for b in bounds.values())) for rank in ranks}
+    while len(found) < len(ranks):
+        waiting = [rank for rank in ranks if rank not in found]
+        counted = values.agg(*[
+            F.struct(
+                F.count_if(v < low), F.count_if(v == low), F.count_if((v > low) & (v < high)),
+                F.count_if((v == high) & F.lit(low != high)),
+            )
+            for low, high in (known[rank] for rank in waiting)
+        ]).first()
+        few, many = {}, {}
+        for rank, (below, at_low, inside, at_high) in zip(waiting, counted):
+            low, high = known[rank]
+            place = rank - below - at_low
+            if rank < below:
+                known[rank] = outer[rank] = (outer[rank][0], low)
+            elif place >= inside + at_high:
+                known[rank] = outer[rank] = (high, outer[rank][1])
+            elif place < 0 or place >= inside:
+                found[rank] = low if place < 0 else high
+            else:
+                (few if inside <= FINISH_ROWS else many)[rank] = (place, inside)
+                outer[rank] = (low, high)
+        within = {rank: F.when((v > known[rank][0]) & (v < known[rank][1]), v) for rank in waiting}
+        if few:
+            lists = [F.sort_array(F.collect_list(within[rank]))[place] for rank, (place, _) in few.items()]
+            found.update(zip(few, values.agg(*lists).first()))
+        if many:
+            sketches = [
+                F.percentile_approx(within[rank], _around(place / inside, inside), SKETCH_ACCURACY)
+                for rank, (place, inside) in many.items()
+            ]
+            known.update({rank: tuple(b) for rank, b in zip(many, values.agg(*sketches).first())})
+    return found
 
 
 def describe(df: DataFrame, col: str) -> DataFrame:
     """Count, mean, sample deviation, minimum, linear quartiles and maximum, one row."""
     values = df.select(F.col(col).cast("double").alias("v")).filter("v is not null")
-    basics = [
-        F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"), F.max("v").alias("max"),
-    ]
-    names = ["q25", "q50", "q75"]
-    n = values.count()
-    if n <= FINISH_ROWS:
-        quartiles = F.percentile("v", F.array(*[F.lit(q) for q in QUARTILES])).alias("_q")
-        picks = [F.col("_q")[i].alias(name) for i, name in enumerate(names)]
-        return values.agg(*basics, quartiles).select("*", *picks).drop("_q")
-
-    def quantile(q: float) -> float:
-        place = (n - 1) * q
-        lower = order_statistic(values, math.floor(place))
-        upper = order_statistic(values, math.ceil(place))
-        return lower + (upper - lower) * (place - math.floor(place))
-
-    return values.agg(*basics).select("*", *[F.lit(quantile(q)).alias(name) for q, name in zip(QUARTILES, names)])
+    basics = {
+        "count": F.count("v"), "mean": F.avg("v"), "std": F.stddev_samp("v"), "min": F.min("v"), "max": F.max("v"),
+    }
+    near = [p for q in QUARTILES for p in _around(q, FINISH_ROWS)]
+    head = values.agg(
+        *[expression.alias(name) for name, expression in basics.items()],
+        F.percentile_approx("v", near, SKETCH_ACCURACY).alias("near"),
+    ).first()
+    n, quartiles = head["count"], dict.fromkeys(["q25", "q50", "q75"])
+    if n:
+        places = {name: (n - 1) * q for name, q in zip(quartiles, QUARTILES)}
+        ranks = sorted({f(place) for place in places.values() for f in (math.floor, math.ceil)} | {0, n - 1})
+        bounds = {0: (head["min"], head["max"]), n - 1: (head["min"], head["max"])}
+        for i, place in enumerate(places.values()):
+            for rank in (math.floor(place), math.ceil(place)):
+                bounds.setdefault(rank, (head["near"][2 * i], head["near"][2 * i + 1]))
+        at = order_statistics(values, ranks, bounds)
+        for name, place in places.items():
+            low, high = at[math.floor(place)], at[math.ceil(place)]
+            quartiles[name] = low + (high - low) * (place - math.floor(place))
+    kinds = ", ".join(["count bigint", *[f"{c} double" for c in ("mean", "std", "min", "max", *quartiles)]])
+    row = [head[name] for name in basics] + list(quartiles.values())
+    return df.sparkSession.createDataFrame([tuple(row)], kinds)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.labels import is_variable
 from tallyloom.functions.series import join_texts
 from tallyloom.operators.relational import lookup
+from tallyloom.session import materialise
 
 META_SCHEMA = """
     table_id string, year int, table_type string,
@@ -48,9 +49,8 @@ def parse_raw_lines(found: DataFrame) -> DataFrame:
     """
     lines = found.select(F.col("file_path").alias("path"), "value")
     is_header = F.col("value").rlike('^"?NAME"?,')
-    headers = lines.filter(is_header).select(
-        "path", F.transform(F.split("value", ","), lambda c: F.replace(c, F.lit('"'), F.lit(""))).alias("header")
-    )
+    fields = F.transform(F.split("value", ","), lambda c: F.replace(c, F.lit('"'), F.lit("")))
+    headers = materialise(lines.filter(is_header).select("path", fields.alias("header")), "headers")
     width = headers.agg(F.max(F.size("header"))).first()[0] or 1
     fields = ", ".join(f"c{i} string" for i in range(width))
     rows = lookup(lines.filter(~is_header), headers, ["path"], measure=True)

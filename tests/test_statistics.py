@@ -78,9 +78,20 @@ def test_describe_by_narrowing_is_exact(spark, monkeypatch, kind):
         "few": lambda: float(rnd.randrange(3)),
     }[kind]
     df = spark.createDataFrame([(values(),) for _ in range(n)] + [(None,)], "x double")
-    whole = S.describe(df, "x").first().asDict()
-    monkeypatch.setattr(S, "FINISH_ROWS", 20)
-    narrowed = S.describe(df, "x").first().asDict()
-    assert narrowed.keys() == whole.keys()
-    for name, value in whole.items():
-        assert narrowed[name] == pytest.approx(value, rel=1e-12, abs=1e-12), name
+    whole = df.agg(
+        F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
+        F.min("x").alias("min"), F.max("x").alias("max"), F.percentile("x", 0.25).alias("q25"),
+        F.percentile("x", 0.5).alias("q50"), F.percentile("x", 0.75).alias("q75"),
+    ).first().asDict()
+    for finish, accuracy in ((200_000, 100_000), (60, 20)):
+        monkeypatch.setattr(S, "FINISH_ROWS", finish)
+        monkeypatch.setattr(S, "SKETCH_ACCURACY", accuracy)
+        narrowed = S.describe(df, "x").first().asDict()
+        assert narrowed.keys() == whole.keys()
+        for name, value in whole.items():
+            assert narrowed[name] == pytest.approx(value, rel=1e-12, abs=1e-12), (name, finish)
+
+
+def test_describe_empty(spark):
+    row = S.describe(spark.createDataFrame([(None,)], "x double"), "x").first()
+    assert row["count"] == 0 and row["q50"] is None and row["min"] is None

@@ -95,7 +95,9 @@ def rows(spark, sf, table_id, tree):
         F.lit(table_id).alias("table_id"), "year", "level", "name", "state", "county",
         F.map_from_arrays(F.array(*cells), F.array(*texts)).alias("vars"),
     )
-    return materialise(landed, "landed")
+    # One file per core: a row is wide, and everything after works row by row.
+    files = spark.sparkContext.defaultParallelism
+    return materialise(landed.repartition(files, "year", "state", "county"), "landed")
 
 
 def meta(data, tree):

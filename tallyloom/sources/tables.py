@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.fixed import DICTIONARY, NULL_TOKENS, SURVEY_TABLES, TEXT_ID_COLUMNS
+from tallyloom.fixed import DICTIONARY, NULL_TOKENS, SURVEY_TABLES, SURVEY_YEARS, TEXT_ID_COLUMNS
 from tallyloom.functions.numbers import to_number, to_year
 from tallyloom.operators.relational import combine_years, missing_in
 from tallyloom.operators.shape import sanitize_columns
@@ -89,7 +89,7 @@ def load_preview(files: DataFrame) -> DataFrame:
     )
 
 
-def work_grid(spark: SparkSession, years: list[int], tables: dict[str, str] = SURVEY_TABLES) -> DataFrame:
+def work_grid(spark: SparkSession, years: list[int] = SURVEY_YEARS, tables: dict[str, str] = SURVEY_TABLES) -> DataFrame:
     """Every table, year and level to be landed."""
     grid = spark.range(1).select(F.explode(F.array(*[F.lit(t) for t in tables])).alias("table_id"))
     grid = grid.select("table_id", F.explode(F.array(*[F.lit(y) for y in years])).alias("year"))

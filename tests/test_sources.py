@@ -139,6 +139,7 @@ def test_backlog_and_grid(spark):
     landed = spark.createDataFrame([("S1810", 2012, "county"), ("S1810", 2013, "county"), ("S1810", 2013, "state")],
                                    "table_id string, year int, level string")
     assert [tuple(r) for r in T.backlog(wanted, landed).collect()] == [("S1810", 2012, "state", "state only")]
+    assert T.work_grid(spark).count() == 4 * 14 * 2
     empty = landed.limit(0)
     assert {r["work"] for r in T.backlog(wanted, empty).collect()} == {"full"}
 
@@ -168,6 +169,11 @@ def test_read_cleaned_tokens(spark, tmp_path):
     assert got == [("01", 2012, 5.0, None), ("02", 2013, None, "North")]
 
 
+def test_variable_columns(spark):
+    df = spark.createDataFrame([(1,) * 5], ["NAME", "B18120_001E", "S1810_C01_001PE", "NAME.1", "state"])
+    assert W.variable_columns(df) == ["B18120_001E", "S1810_C01_001PE"]
+
+
 def test_routing(spark):
     names = ["acs_S1810_2022_cleaned.csv", "bls_cps_disability_cleaned.csv", "acs_B-1_2022.csv"]
     df = W.route_files(spark.createDataFrame([(n,) for n in names], "file_name string"))

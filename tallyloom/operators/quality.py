@@ -12,7 +12,8 @@ _NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal"
 
 
 def cells(df: DataFrame, by: list[str], blank_as_null: bool = True) -> DataFrame:
-    """One row per cell: by, position, column, dtype, text, number. One pass, no job per column."""
+    """One row per cell: by, position, text, number. One pass, no job per column; the position
+    stands for name and type, so that neither is shuffled with every cell."""
     def entry(position: int, name: str, kind: str) -> Column:
         col = F.col(f"`{name}`")
         if kind.startswith(_NUMERIC):
@@ -23,10 +24,7 @@ def cells(df: DataFrame, by: list[str], blank_as_null: bool = True) -> DataFrame
             text = col.cast("string")
             number = to_number(text)
             text = F.when(text != "", text) if blank_as_null else text
-        return F.struct(
-            F.lit(position).alias("position"), F.lit(name).alias("column"), F.lit(kind).alias("dtype"),
-            text.alias("text"), number.alias("number"),
-        )
+        return F.struct(F.lit(position).alias("position"), text.alias("text"), number.alias("number"))
 
     entries = [entry(i, c, kind) for i, (c, kind) in enumerate(df.dtypes) if c not in by]
     return df.select(*by, F.inline(F.array(*entries)))
@@ -41,7 +39,7 @@ def profile_columns(
     """
     by = by or []
     distinct = F.countDistinct("text") if exact else F.approx_count_distinct("text")
-    grouped = cells(df, by, blank_as_null).groupBy(*by, "position", "column", "dtype").agg(
+    grouped = cells(df, by, blank_as_null).groupBy(*by, "position").agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count_if(F.col("text").isNull()).alias("null_count"),
         distinct.alias("unique_count"),
@@ -50,9 +48,10 @@ def profile_columns(
         F.count_if(F.col("number") < 0).alias("_negative"),
         F.avg("number").alias("_mean"),
     )
+    names, kinds = (F.array(*[F.lit(v) for v in values]) for values in zip(*df.dtypes))
     share = F.col("null_count") / F.greatest(F.col("row_count"), F.lit(1)) * 100
     return grouped.select(
-        *by, "position", "column", "dtype", "null_count",
+        *by, "position", F.get(names, "position").alias("column"), F.get(kinds, "position").alias("dtype"), "null_count",
         round_even(share, 2).alias("null_pct"), "unique_count", "min", "max",
         F.when(F.col("min").isNotNull(), F.col("_negative")).alias("negative_count"),
         round_even(F.col("_mean"), 4).alias("mean"),

@@ -1,6 +1,6 @@
 """Operators for preparing training data, their queries and SQL twins."""
 
-from tallyloom.llm import simhash
+from tallyloom.llm import simhash, substrings
 
-QUERIES = {"op1_simhash": simhash.op1_simhash}
-ORACLES: dict[str, str] = {}
+QUERIES = {"op1_simhash": simhash.op1_simhash, "op8_substrings": substrings.op8_substrings}
+ORACLES = {"op8_substrings": substrings.OP8_SQL}

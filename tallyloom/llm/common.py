@@ -141,3 +141,16 @@ def spans(count: np.ndarray, most: int):
         end = max(at + 1, int(np.searchsorted(total, total[at] + most, "right")) - 1)
         yield at, end
         at = end
+
+
+LIGHT = 48 << 20  # bytes up to which a table is broadcast
+
+
+def light(df: DataFrame, wide: str | None = None) -> DataFrame:
+    """A written table marked for broadcast where it is measured to be small, else as it is.
+
+    The size counts 16 bytes for each column and 24 for each entry of the array column `wide`.
+    """
+    entries = F.sum(F.size(wide)) if wide else F.lit(0)
+    rows, parts = df.agg(F.count(F.lit(1)), entries).first()
+    return F.broadcast(df) if rows * (24 + 16 * len(df.columns)) + 24 * (parts or 0) <= LIGHT else df

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,13 +61,12 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, size: int, bits: i
     def run(batches):
         for batch in batches:
             found = [[majority(remixed(h, i)) for i in range(turns)]
-                     for h in (shingle_hashes(t, size) for t in batch["text"])]
-            out = pd.DataFrame(np.array(found, np.int64).reshape(-1, turns), columns=names)
-            out.insert(0, "id", batch["id"].astype("Int64"))
-            yield out
+                     for h in map(lambda t: shingle_hashes(t.as_py(), size), batch["text"])]
+            values = np.array(found, np.int64).reshape(-1, turns)
+            yield pa.RecordBatch.from_arrays([batch["id"], *map(pa.array, values.T)], names=["id", *names])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, "id long, " + ", ".join(f"{n} long" for n in names))
+    return rows.mapInArrow(run, "id long, " + ", ".join(f"{n} long" for n in names))
 
 
 def near_links(prints: DataFrame, width: int, radius: int, exact: bool = True) -> DataFrame:

@@ -1,6 +1,7 @@
 """Operators for preparing training data, their queries and SQL twins."""
 
-from tallyloom.llm import simhash, substrings
+from tallyloom.llm import quality, simhash, substrings
 
-QUERIES = {"op1_simhash": simhash.op1_simhash, "op8_substrings": substrings.op8_substrings}
+QUERIES = {"op1_simhash": simhash.op1_simhash, "op4_quality": quality.op4_quality,
+           "op8_substrings": substrings.op8_substrings}
 ORACLES = {"op8_substrings": substrings.OP8_SQL}

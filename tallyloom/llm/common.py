@@ -143,6 +143,13 @@ def spans(count: np.ndarray, most: int):
         at = end
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """`name`, with as many underscores as it takes to be no column of `df`."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name
+
+
 LIGHT = 48 << 20  # bytes up to which a table is broadcast
 
 

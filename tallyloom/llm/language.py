@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.llm.common import ship, table
 from tallyloom.llm.quality import fold
@@ -178,8 +179,9 @@ def identify(docs: DataFrame, samples: dict[str, bytes], text_col: str = "text",
             kept = kept.append_column(lang_into, pa.array(langs, pa.string()))
             yield kept.append_column(score_into, pa.array(scores, pa.float64()))
 
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name not in (lang_into, score_into)]
-    return docs.mapInArrow(run, ", ".join([*kept, f"`{lang_into}` string", f"`{score_into}` double"]))
+    kept = [f for f in docs.schema.fields if f.name not in (lang_into, score_into)]
+    added = [T.StructField(lang_into, T.StringType()), T.StructField(score_into, T.DoubleType())]
+    return docs.mapInArrow(run, T.StructType([*kept, *added]))
 
 
 def op9_language(spark, folder: str) -> DataFrame:

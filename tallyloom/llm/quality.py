@@ -7,8 +7,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyloom.llm.common import ship, stored, table
+from tallyloom.llm.common import ship, table
 
 SAMPLE = 4000  # labelled documents that vote, the bound of what the driver and every task hold
 FEATURES = 1024  # hashed counts of a document
@@ -129,8 +130,8 @@ def score_quality(docs: DataFrame, model: dict, text_col: str = "text", into: st
             kept = batch.drop_columns([into]) if into in batch.schema.names else batch
             yield kept.append_column(into, pa.array(vote(shared.value, rows), pa.float64()))
 
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != into]
-    return docs.mapInArrow(run, ", ".join([*kept, f"`{into}` double"]))
+    kept = [f for f in docs.schema.fields if f.name != into]
+    return docs.mapInArrow(run, T.StructType([*kept, T.StructField(into, T.DoubleType())]))
 
 
 def fold(id_col: str, parts: int):

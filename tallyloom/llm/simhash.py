@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import HOME, PROBE, buckets, components, forest, spans, stored, table, tiles
+from tallyloom.llm.common import HOME, PROBE, buckets, components, forest, light, ship, spans, stored, table, tiles, unused
 
 MOST = 1 << 13  # index rows of a bucket that one task holds
 PAIRS = 1 << 21  # distances computed at once
@@ -157,6 +157,72 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return prints.join(named, "f0").select("id", digits.alias("fingerprint"), "component")
 
 
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
+                    similarity: float = 0.8, width: int = 16, radius: int = 26) -> DataFrame:
+    """The rows of `docs` without all but one of each group of near copies; all columns stay.
+
+    Two texts are linked when their sets of word shingles have a Jaccard similarity of at least
+    `similarity`. Candidates come from 128-bit fingerprints in segments of `width` bits that differ
+    in at most one bit of some segment and in `radius` bits in all; a fifth of the bits is what texts
+    of similarity 0.8 differ by, and a pair just at the limit is proposed with a chance of about nine
+    tenths, closer ones almost surely. Every proposed pair is verified exactly. Of each group the row
+    with the smallest id stays, rows with a null id last; equal rows count as copies. Texts without words are copies of each other.
+    """
+    ship(docs.sparkSession.sparkContext)
+    key = unused(docs, "key")
+    rows = docs.withColumn(key, F.xxhash64(F.lit(1), F.col(id_col), F.col(text_col)))
+    last = F.lit(2**63 - 1)
+    plain = rows.select(F.col(key).alias("key"), F.coalesce(F.col(id_col).cast("long"), last).alias("id"),
+                        F.col(text_col).alias("text"))
+
+    def run(batches):
+        from xxhash import xxh3_64_intdigest
+
+        for batch in batches:
+            digests, prints = [], []
+            for text in batch["text"]:
+                text = text.as_py()
+                hashes = shingle_hashes(text, size)
+                digests.append(xxh3_64_intdigest(b" ".join((text or "").encode("utf-8", "replace").lower().split())))
+                prints.append([majority(remixed(hashes, i)) for i in (0, 1)])
+            values = np.array(prints, np.int64).reshape(-1, 2)
+            columns = [batch["key"], batch["id"], pa.array(np.array(digests, np.uint64).view(np.int64)), *map(pa.array, values.T)]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "id", "digest", "f0", "f1"])
+
+    prints = stored(plain.mapInArrow(run, "key long, id long, digest long, f0 long, f1 long"), "prints")
+    texts = stored(prints.groupBy("digest").agg(
+        F.min("id").alias("id"), F.min_by("key", F.struct("id", "key")).alias("key"), F.min("f0").alias("f0"), F.min("f1").alias("f1")), "texts")
+    links = near_links(texts.select(F.col("digest").alias("id"), "f0", "f1"), width, radius, exact=False)
+    links = stored(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+    ends = links.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
+    wanted = stored(ends.join(texts, "digest").select("digest", "key"), "wanted")
+    held = stored(plain.select("key", "text").join(light(wanted), "key").groupBy("digest").agg(F.min("text").alias("text")), "held")
+
+    def verify(batches):
+        for batch in batches:
+            good, last_text, last_set = [], None, None
+            for one, two in zip(batch["one"].to_pylist(), batch["two"].to_pylist()):
+                if one != last_text:
+                    last_text, last_set = one, np.unique(shingle_hashes(one, size))
+                other = np.unique(shingle_hashes(two, size))
+                common = len(np.intersect1d(last_set, other, assume_unique=True))
+                good.append(common >= similarity * (len(last_set) + len(other) - common))
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    pairs = links.join(held.select(F.col("digest").alias("a"), F.col("text").alias("one")), "a")
+    pairs = pairs.join(held.select(F.col("digest").alias("b"), F.col("text").alias("two")), "b")
+    roots = components(pairs.select("a", "b", "one", "two").mapInArrow(verify, "a long, b long"))
+    grouped = texts.join(roots, texts["digest"] == roots["v"], "left").withColumn("root", F.coalesce("root", "digest"))
+    stay = grouped.groupBy("root").agg(F.min_by("key", F.struct("id", "key")).alias("key")).select("key")
+    counts = prints.groupBy("key").count()
+    gone = stored(counts.join(stay, "key", "left_anti").select("key"), "gone")
+    twice = stored(counts.where("count > 1").join(gone, "key", "left_anti").select(F.col("key").alias("twice")), "twice")
+    kept = rows.join(light(gone).withColumnRenamed("key", "gone"), F.col(key) == F.col("gone"), "left_anti")
+    once = kept.join(light(twice), F.col(key) == F.col("twice"), "left_anti")
+    folded = kept.join(light(twice), F.col(key) == F.col("twice"), "left_semi").dropDuplicates([key])
+    return once.unionByName(folded).drop(key)
+
+
 def op1_simhash(spark, folder: str) -> DataFrame:
     found = simhash_groups(table(spark, folder, "documents"))
     return found.select(F.col("id").alias("doc_id"), "fingerprint", F.col("component").alias("component_id"))

@@ -1,7 +1,8 @@
 """Operators for preparing training data, their queries and SQL twins."""
 
-from tallyloom.llm import language, packing, quality, simhash, substrings
+from tallyloom.llm import caps, language, packing, quality, simhash, substrings
 
-QUERIES = {"op1_simhash": simhash.op1_simhash, "op4_quality": quality.op4_quality,
+QUERIES = {"op1_simhash": simhash.op1_simhash, "op3_caps": caps.op3_caps,
+           "op4_quality": quality.op4_quality,
            "op5_packing": packing.op5_packing, "op9_language": language.op9_language, "op8_substrings": substrings.op8_substrings}
 ORACLES = {"op8_substrings": substrings.OP8_SQL}

@@ -1,8 +1,18 @@
 """Operators for preparing training data, their queries and SQL twins."""
 
-from tallyloom.llm import caps, graphs, language, packing, quality, simhash, substrings
+from tallyloom.llm import caps, graphs, language, licenses, packing, quality, simhash, substrings
 
-QUERIES = {"op1_simhash": simhash.op1_simhash, "op2_graphs": graphs.op2_graphs, "op3_caps": caps.op3_caps,
-           "op4_quality": quality.op4_quality,
-           "op5_packing": packing.op5_packing, "op9_language": language.op9_language, "op8_substrings": substrings.op8_substrings}
-ORACLES = {"op8_substrings": substrings.OP8_SQL}
+QUERIES = {
+    "op1_simhash": simhash.op1_simhash,
+    "op2_graphs": graphs.op2_graphs,
+    "op3_caps": caps.op3_caps,
+    "op4_quality": quality.op4_quality,
+    "op5_packing": packing.op5_packing,
+    "op6_licenses": licenses.op6_licenses,
+    "op8_substrings": substrings.op8_substrings,
+    "op9_language": language.op9_language,
+}
+ORACLES = {
+    "op6_licenses": licenses.OP6_SQL,
+    "op8_substrings": substrings.OP8_SQL,
+}

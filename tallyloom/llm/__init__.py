@@ -1,6 +1,6 @@
 """Operators for preparing training data, their queries and SQL twins."""
 
-from tallyloom.llm import caps, graphs, language, licenses, packing, quality, simhash, substrings
+from tallyloom.llm import caps, graphs, language, licenses, packing, pages, quality, simhash, substrings
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -9,6 +9,7 @@ QUERIES = {
     "op4_quality": quality.op4_quality,
     "op5_packing": packing.op5_packing,
     "op6_licenses": licenses.op6_licenses,
+    "op7_pages": pages.op7_pages,
     "op8_substrings": substrings.op8_substrings,
     "op9_language": language.op9_language,
 }

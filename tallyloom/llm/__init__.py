@@ -1,6 +1,6 @@
 """Operators for preparing training data, their queries and SQL twins."""
 
-from tallyloom.llm import caps, graphs, language, licenses, packing, pages, quality, simhash, substrings
+from tallyloom.llm import caps, graphs, language, licenses, packing, pages, pieces, quality, simhash, substrings
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -12,6 +12,7 @@ QUERIES = {
     "op7_pages": pages.op7_pages,
     "op8_substrings": substrings.op8_substrings,
     "op9_language": language.op9_language,
+    "op10_pieces": pieces.op10_pieces,
 }
 ORACLES = {
     "op6_licenses": licenses.OP6_SQL,

@@ -54,6 +54,9 @@ class Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("", frozenset(), "")
         self.open = [self.root]
+        begin = html.rfind("<!--")
+        if begin >= 0 and html.find("-->", begin) < 0 and "</" not in html[begin:]:
+            html = html[:begin]  # a comment that never ends holds the rest
         self.feed(html)
         self.close()
         while self.open:

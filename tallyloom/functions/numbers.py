@@ -46,3 +46,8 @@ def rate(numerator: Column, denominator: Column) -> Column:
 def percent_of(percent: Column, parent: Column) -> Column:
     """Count behind a percentage; NULL if either side is missing or the parent is 0."""
     return F.when(parent != 0, percent / F.lit(100.0) * parent)
+
+
+def log_column(col: Column) -> Column:
+    """Natural logarithm; NULL for zero and below."""
+    return F.when(col > 0, F.ln(col))

@@ -64,13 +64,24 @@ def repair_adjusted(df: DataFrame) -> DataFrame:
     return insert_missing(monthly, twins.withColumn("periodicity", F.lit("M")), "series_id")
 
 
-def enrich_defaults(old: DataFrame, sheet: DataFrame, key: str, cols: list[str], default) -> DataFrame:
-    """Codes from the sheet; where it has none, the old ones, or the default if unset."""
-    fresh = sheet.select(key, *[F.col(c).alias(f"_{c}") for c in cols])
-    joined = lookup(old, fresh, [key])
-    return joined.withColumns({
-        c: F.coalesce(F.col(f"_{c}"), F.col(c), F.lit(default)) for c in cols
-    }).drop(*[f"_{c}" for c in cols])
+def last_per_key(df: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """Of the rows of a key only the last, by `order` or else in the order of the input."""
+    at = F.col(order) if order else F.monotonically_increasing_id()
+    columns = [c for c in df.columns if c != key]
+    rows = df.select(key, at.alias("_at"), F.struct(*columns).alias("_row"))
+    return rows.groupBy(key).agg(F.max_by("_row", "_at").alias("_row")).select(key, "_row.*")
+
+
+def enrich_defaults(old: DataFrame, sheet: DataFrame, key: str, cols: list[str], default, order: str | None = None) -> DataFrame:
+    """Codes of the sheet for the keys that it has, the last row of a key counting.
+
+    Other rows get the default for all codes if the first of `cols` is unset, else they keep theirs.
+    """
+    fresh = last_per_key(sheet.select(key, *cols, *([order] if order else [])), key, order)
+    joined = lookup(old, fresh.select(key, *[F.col(c).alias(f"_{c}") for c in cols], F.lit(True).alias("_met")), [key])
+    unset = F.col(cols[0]).isNull()
+    picked = {c: F.when(F.col("_met"), F.col(f"_{c}")).when(unset, F.lit(default)).otherwise(F.col(c)) for c in cols}
+    return joined.withColumns(picked).drop("_met", *[f"_{c}" for c in cols])
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:

@@ -117,28 +117,34 @@ def lookup(
     return cut.join(repeated, [*on, "_part"], how).drop("_part")
 
 
+def row_blocks(df: DataFrame, keys: list[str], position: str, width: int) -> DataFrame:
+    """`df` with columns _block and _tie, written out so that both are fixed.
+
+    Blocks are ranges of about `width` rows, ordered by keys, position and a number that tells rows
+    of equal position apart; so their number follows the number of rows, however positions lie.
+    """
+    tied = df.withColumn("_tie", F.monotonically_increasing_id())
+    parts = max(1, -(-df.count() // width))
+    ranged = tied.repartitionByRange(parts, *keys, position, "_tie")
+    return materialise(ranged.withColumn("_block", F.spark_partition_id()), "ranges")
+
+
 def ordinal(df: DataFrame, keys: list[str], position: str, out: str, width: int = 1 << 20) -> DataFrame:
     """1-based rank by `position` within `keys`, without holding a whole group in one task.
 
-    A group is cut into blocks along `position`: every `width` units of a whole number, or the
-    parts of a range partitioning, written out so that they are fixed. Rows are numbered inside
-    their block and the counts of the blocks before are added; only block counts are gathered
-    per group.
+    Rows are numbered inside blocks of about `width` rows and the counts of the blocks before are
+    added; only block counts are gathered per group. Rows of equal position are numbered in some order.
     """
-    if dict(df.dtypes)[position] in ("int", "bigint"):
-        tagged = df.withColumn("_block", F.floor(F.col(position) / width))
-    else:
-        ranged = df.repartitionByRange(*keys, position).withColumn("_block", F.spark_partition_id())
-        tagged = materialise(ranged, "ranges")
+    tagged = row_blocks(df, keys, position, width)
     group = [*keys, "_block"]
     sizes = tagged.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))
     earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     before = sizes.select(*group, F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
-    inside = tagged.withColumn("_inside", F.row_number().over(Window.partitionBy(*group).orderBy(position)))
+    inside = tagged.withColumn("_inside", F.row_number().over(Window.partitionBy(*group).orderBy(position, "_tie")))
     return (
         inside.join(before, group)
         .withColumn(out, F.col("_before") + F.col("_inside"))
-        .drop("_block", "_before", "_inside")
+        .drop("_block", "_tie", "_before", "_inside")
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.numbers import rate
+from tallyloom.functions.numbers import log_column, rate
 from tallyloom.operators.relational import any_not_null, at_level, join_state_year, not_null
 from tallyloom.operators.statistics import correlation_summary
 
@@ -59,7 +59,7 @@ def talent_pool(s1810: DataFrame, s1811: DataFrame) -> DataFrame:
         "state", "state_fips", "year",
         rate(F.col("dis_employed_total"), F.col("dis_pop_16_plus")).alias("employment_rate"),
         F.col("dis_pop_total").alias("talent_pool_size"),
-        F.ln("dis_pop_total").alias("talent_pool_log"),
+        log_column(F.col("dis_pop_total")).alias("talent_pool_log"),
         rate(F.col("dis_pop_total"), F.col("pop_total")).alias("talent_pool_share"),
     )
 

@@ -65,10 +65,11 @@ def clean_table(rows: DataFrame, meta: DataFrame, table: str) -> DataFrame:
 
     `rows`: table_id, year, level, name, state, county, vars. `meta`: table_id, year, var_id,
     label, pe_parent, has_parent_entry. A column of a year that holds no value is NULL there.
-    The rows are read two times, for S1811 three times: keep them in a columnar landing table.
+    The rows are read two times, for S1811 three times: keep them in the landing table of `land_raw`,
+    of which the plain filter on `table_id` reads one folder. Table ids are in upper case.
     """
-    one = rows.filter(F.upper("table_id") == table)
-    variables = variables_in_use(one, meta.filter(F.upper("table_id") == table))
+    one = rows.filter(F.col("table_id") == table)
+    variables = variables_in_use(one, meta.filter(F.col("table_id") == table))
     names = materialise(N.assign_names(variables), "names")
     if table.startswith("S"):
         names = N.canonical_names(names)
@@ -89,4 +90,5 @@ def clean_table(rows: DataFrame, meta: DataFrame, table: str) -> DataFrame:
 def clean_year(rows: DataFrame, meta: DataFrame, table: str, year: int) -> DataFrame:
     """One table and year without its empty columns, as a file of its own would hold it."""
     chosen = rows.filter(F.col("year") == year)
-    return drop_all_null(clean_table(chosen, meta.filter(F.col("year") == year), table))
+    cleaned = clean_table(chosen, meta.filter(F.col("year") == year), table)
+    return drop_all_null(materialise(cleaned, "year"))

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.functions.labels import is_variable
 from tallyloom.functions.series import join_texts
 from tallyloom.operators.relational import lookup
-from tallyloom.session import materialise
 
+RAW_SCHEMA = "table_id string, year int, level string, name string, state string, county string, vars map<string,string>"
 META_SCHEMA = """
     table_id string, year int, table_type string,
     variables map<string, struct<label: string, concept: string>>,
@@ -36,50 +41,104 @@ def route_files(df: DataFrame, col: str = "file_name") -> DataFrame:
     })
 
 
-def read_raw_acs(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Wide raw files, each with a header of its own, as one table with the variables in a map."""
-    return parse_raw_lines(spark.read.text(paths).select("value", "_metadata.file_path"))
+def file_headers(spark: SparkSession, paths: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by their header. Only the first line of each file is read, as for any inferred schema.
+
+    A name met again in a header gets a number after a dot. Files without a line, or that cannot
+    be opened, are listed under the empty header.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    found: dict[tuple[str, ...], list[str]] = {}
+    for uri in spark.read.text(paths).inputFiles():
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+        try:
+            lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(path.getFileSystem(conf).open(path), "UTF-8"))
+            line = lines.readLine()
+            lines.close()
+        except Py4JJavaError:
+            line = None
+        if line is None:
+            found.setdefault((), []).append(path.toString())
+            continue
+        seen: dict[str, int] = {}
+        names = []
+        for name in next(csv.reader([line.removeprefix("\ufeff")])):
+            seen[name] = seen.get(name, -1) + 1
+            names.append(f"{name}.{seen[name]}" if seen[name] else name)
+        found.setdefault(tuple(names), []).append(path.toString())
+    return found
+
+
+def read_by_header(
+    spark: SparkSession, paths: str | list[str], multi_line: bool = True, headers: dict[tuple[str, ...], list[str]] | None = None
+) -> list[DataFrame]:
+    """One DataFrame of texts per distinct header, each file read by its own, with its path as `_path`.
+
+    Quotes, blank lines and line breaks within quotes are the CSV reader's. With `multi_line` a
+    file is read by one task; without it large files are split and no value may hold a line break.
+    """
+    frames = []
+    for names, files in (file_headers(spark, paths) if headers is None else headers).items():
+        if not names:
+            continue
+        kinds = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+        rows = spark.read.schema(kinds).csv(files, header=True, escape='"', multiLine=multi_line, maxColumns=len(names) + 100)
+        cells = [F.col(f"c{i}").alias(name or f"_c{i}") for i, name in enumerate(names)]
+        frames.append(rows.select(F.col("_metadata.file_path").alias("_path"), *cells))
+    return frames
 
 
-def parse_raw_lines(found: DataFrame) -> DataFrame:
-    """Lines of raw files (value, file_path) as survey rows; the path names table, year and level.
+def read_raw_acs(spark: SparkSession, paths: str | list[str], multi_line: bool = True) -> DataFrame:
+    """Wide raw files, each with a header of its own, as one table with the variables in a map.
 
-    Every line is split by the header of its own file, so columns that drift between tables and
-    years need no schema per file and no job per file.
+    The path names table, year and level. Files with the same header are one scan.
     """
-    lines = found.select(F.col("file_path").alias("path"), "value")
-    is_header = F.col("value").rlike('^"?NAME"?,')
-    fields = F.transform(F.split("value", ","), lambda c: F.replace(c, F.lit('"'), F.lit("")))
-    headers = materialise(lines.filter(is_header).select("path", fields.alias("header")), "headers")
-    width = headers.agg(F.max(F.size("header"))).first()[0] or 1
-    fields = ", ".join(f"c{i} string" for i in range(width))
-    rows = lookup(lines.filter(~is_header), headers, ["path"], measure=True)
-    values = rows.select(
-        "path", "header", F.from_csv("value", fields, {"escape": '"'}).alias("r")
-    ).select("path", "header", F.array(*[f"r.c{i}" for i in range(width)]).alias("cells"))
-    entries = F.filter(
-        F.arrays_zip("header", F.slice("cells", F.lit(1), F.size("header")).alias("cells")),
-        lambda e: e["header"] != "",
-    )
-    record = values.select("path", F.map_from_entries(entries).alias("record"))
+    frames = read_by_header(spark, paths, multi_line)
+    names = sorted({c for df in frames for c in df.columns})
+    variables = set(variable_names(spark, names))
+    parts = []
+    for df in frames:
+        own = [c for c in df.columns if c in variables]
+        keys, values = F.array(*map(F.lit, own)), F.array(*[F.col(f"`{c}`") for c in own])
+        entries = F.map_from_arrays(keys, values) if own else F.create_map().cast("map<string,string>")
+        field = {c: F.col(c) if c in df.columns else F.lit(None).cast("string") for c in ("NAME", "state", "county")}
+        parts.append(df.select(*_told(F.col("_path")), *[v.alias(c.lower()) for c, v in field.items()], entries.alias("vars")))
+    if not parts:
+        return spark.createDataFrame([], RAW_SCHEMA)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _told(path: Column) -> list[Column]:
+    """Table, in upper case, year and level as the path tells them."""
+    pattern = r"acs_([A-Za-z0-9]+)_(\d{4})(_state)?_raw"
+    return [
+        F.upper(F.regexp_extract(path, pattern, 1)).alias("table_id"),
+        F.regexp_extract(path, pattern, 2).try_cast("int").alias("year"),
+        F.when(F.regexp_extract(path, pattern, 3) == "", "county").otherwise("state").alias("level"),
+    ]
 
-    def field(name: str) -> Column:
-        return F.try_element_at("record", F.lit(name))
 
-    pattern = r"acs_([A-Za-z0-9]+)_(\d{4})(_state)?_raw"
-    return record.select(
-        F.regexp_extract("path", pattern, 1).alias("table_id"),
-        F.regexp_extract("path", pattern, 2).try_cast("int").alias("year"),
-        F.when(F.regexp_extract("path", pattern, 3) == "", "county").otherwise("state").alias("level"),
-        field("NAME").alias("name"), field("state").alias("state"), field("county").alias("county"),
-        F.map_filter("record", lambda k, _: is_variable(k)).alias("vars"),
-    )
+def land_raw(spark: SparkSession, paths: str | list[str], target: str, multi_line: bool = True) -> DataFrame:
+    """Raw files as a columnar landing table by table, year and level, which the survey plans prune; returns it.
+
+    Only the folders that the files belong to are replaced.
+    """
+    by = ("table_id", "year", "level")
+    rows = read_raw_acs(spark, paths, multi_line)
+    writer = rows.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*by).parquet(target)
+    return spark.read.schema(rows.schema).parquet(target)
+
+
+def variable_names(spark: SparkSession, names: list[str]) -> list[str]:
+    """Those of the names that name data variables."""
+    rows = spark.createDataFrame([(i, c) for i, c in enumerate(names)], "i int, c string")
+    return [r["c"] for r in rows.filter(is_variable(F.col("c"))).orderBy("i").collect()]
 
 
 def variable_columns(df: DataFrame) -> list[str]:
     """Header fields of a wide table that name data variables."""
-    names = df.sparkSession.createDataFrame([(i, c) for i, c in enumerate(df.columns)], "i int, c string")
-    return [r["c"] for r in names.filter(is_variable(F.col("c"))).orderBy("i").collect()]
+    return variable_names(df.sparkSession, df.columns)
 
 
 def read_acs_meta(spark: SparkSession, paths: str | list[str], lines: bool = False) -> DataFrame:
@@ -94,7 +153,7 @@ def read_acs_meta(spark: SparkSession, paths: str | list[str], lines: bool = Fal
 def explode_meta(docs: DataFrame) -> DataFrame:
     exploded = docs.select("table_id", "year", "pe_parents", F.explode("variables").alias("var_id", "v"))
     return exploded.select(
-        "table_id", "year", "var_id", F.col("v.label").alias("label"), F.col("v.concept").alias("concept"),
+        F.upper("table_id").alias("table_id"), "year", "var_id", F.col("v.label").alias("label"), F.col("v.concept").alias("concept"),
         F.try_element_at("pe_parents", F.col("var_id")).alias("pe_parent"),
         F.coalesce(F.map_contains_key("pe_parents", F.col("var_id")), F.lit(False)).alias("has_parent_entry"),
     )
@@ -123,29 +182,36 @@ def flatten_series(df: DataFrame, payload: str, catalogue: DataFrame) -> DataFra
     return lookup(long, titles, ["series_id"], measure=True).fillna("", ["series_description"])
 
 
-CATALOGUE_SCHEMA = """
-    map<string, struct<title: string, periodicity: string, seasonal: string, disa_code: int,
-        sexs_code: int, ages_code: int, race_code: int, orig_code: int, lfst_code: int,
-        occupation_code: int, indy_code: int, class_code: int>>
+SERIES_SCHEMA = """
+    struct<title: string, periodicity: string, seasonal: string, disa_code: int, sexs_code: int, ages_code: int,
+        race_code: int, orig_code: int, lfst_code: int, occupation_code: int, indy_code: int, class_code: int>
 """
+SERIES_FIELDS = [field.split(":")[0].strip() for field in SERIES_SCHEMA.strip().removeprefix("struct<").removesuffix(">").split(",")]
 
 
-def explode_catalogue(df: DataFrame, col: str) -> DataFrame:
-    """Series catalogue documents, of the flat layout and of the older one in sections.
+def explode_catalogue(df: DataFrame, col: str, order: str | None = None) -> DataFrame:
+    """Series catalogue documents in any of their layouts, one row per series.
 
-    Sections whose name starts with `_` are notes. Of an id met twice the last one counts only
-    within a document's own order, which JSON objects do not promise; ids are unique in practice.
+    Ids lie below `series`, each with its attributes or only its title, or in sections of the older layout
+    that have such a `series` of titles; sections whose name starts with `_` are notes. Of an id met twice the
+    last one counts, by `order` of the documents, then by the order of sections and of ids in them.
     """
     doc = F.col(col)
-    flat = F.from_json(F.get_json_object(doc, "$.series"), CATALOGUE_SCHEMA)
-    new = df.select(F.explode(flat).alias("series_id", "m")).select("series_id", "m.*")
-    sections = df.filter(F.get_json_object(doc, "$.series").isNull()).select(
-        F.explode(F.from_json(doc, "map<string, string>")).alias("section", "body")
-    )
-    old = sections.filter(~F.col("section").startswith("_")).select(
-        F.explode(F.from_json(F.get_json_object("body", "$.series"), "map<string, string>")).alias("series_id", "title")
-    )
-    return new.unionByName(old, allowMissingColumns=True)
+    said = df.select((F.col(order) if order else F.monotonically_increasing_id()).alias("_doc"), doc.alias("_text"))
+    raw = "map<string, string>"
+    top = said.withColumn("_series", F.get_json_object("_text", "$.series"))
+    flat = top.filter(F.col("_series").isNotNull()).select(
+        "_doc", F.lit(0).alias("_section"), F.posexplode(F.from_json("_series", raw)).alias("_place", "series_id", "_body"))
+    sections = top.filter(F.col("_series").isNull()).select(
+        "_doc", F.posexplode(F.from_json("_text", raw)).alias("_section", "_name", "_inner"))
+    older = sections.filter(~F.col("_name").startswith("_")).select("_doc", "_section", F.posexplode(
+        F.from_json(F.get_json_object("_inner", "$.series"), raw)).alias("_place", "series_id", "_body"))
+    entries = flat.unionByName(older)
+    last = entries.groupBy("series_id").agg(F.max_by("_body", F.struct("_doc", "_section", "_place")).alias("_body"))
+    is_record = F.col("_body").startswith("{")
+    record = F.from_json(F.when(is_record, F.col("_body")), SERIES_SCHEMA)
+    title = F.when(is_record, record["title"]).otherwise(F.col("_body"))
+    return last.select("series_id", title.alias("title"), *[record[c].alias(c) for c in SERIES_FIELDS if c != "title"])
 
 
 def read_catalogue(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:

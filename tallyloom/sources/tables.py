@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.fixed import DICTIONARY, NULL_TOKENS, SURVEY_TABLES, SURVEY_YEARS, TEXT_ID_COLUMNS
+from tallyloom.fixed import NULL_TOKENS, PUBLISHED_COLUMNS, SURVEY_TABLES, SURVEY_YEARS
 from tallyloom.functions.numbers import to_number, to_year
 from tallyloom.operators.relational import combine_years, missing_in
 from tallyloom.operators.shape import sanitize_columns
-from tallyloom.sources.raw import route_files
+from tallyloom.operators.quality import availability
+from tallyloom.sources.raw import read_by_header, route_files
 
-TEXT_COLUMNS = [*TEXT_ID_COLUMNS, *[r[2] for r in DICTIONARY if r[3] == "string"]]
+# Columns that hold numbers: the published measures and the value of a series.
+NUMBERS = frozenset(["value", *[name for columns in PUBLISHED_COLUMNS.values() for name in columns.values()]])
 
 
 def clean_tokens(df: DataFrame) -> DataFrame:
@@ -22,24 +25,42 @@ def clean_tokens(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.when(~F.col(c).isin(NULL_TOKENS), F.col(c)) for c in texts})
 
 
-def read_cleaned(spark: SparkSession, path: str | list[str], text_columns: list[str] | None = None) -> DataFrame:
-    """Cleaned CSV files: ids and texts stay strings, the year is an int, the rest doubles."""
-    texts = text_columns or TEXT_COLUMNS
-    raw = clean_tokens(spark.read.csv(path, header=True, inferSchema=False))
-    typed = {
-        c: to_year(F.col(c)) if c == "year" else to_number(F.col(c))
-        for c in raw.columns if c not in texts
-    }
+def read_cleaned(spark: SparkSession, path: str | list[str], numbers: frozenset[str] | None = None, multi_line: bool = True) -> DataFrame:
+    """Cleaned CSV files, each read by its own header, as one table with all their columns.
+
+    `numbers` (by default the published measures) become doubles and the year an int; everything else stays text, as do values that
+    folders such as `table_id=S1811` tell. A column that a file lacks is NULL in its rows.
+    """
+    numbers = NUMBERS if numbers is None else numbers
+    frames = []
+    for df in read_by_header(spark, path, multi_line):
+        folders = _folder_values(df)
+        told = {k: F.url_decode(F.regexp_extract("_path", f"/{k}=([^/]*)/", 1)) for k in folders}
+        told = {k: F.when(v != "__HIVE_DEFAULT_PARTITION__", v) for k, v in told.items()}
+        frames.append(clean_tokens(df.withColumns(told).drop("_path")))
+    if not frames:
+        return spark.createDataFrame([], "year int")
+    raw = combine_years(frames)
+    typed = {c: to_year(F.col(c)) if c == "year" else to_number(F.col(c)) for c in raw.columns if c == "year" or c in numbers}
     return raw.withColumns(typed)
 
 
-def write_cleaned(df: DataFrame, path: str, by: tuple[str, ...] = ("table_id", "year"), kind: str = "parquet") -> None:
-    """One folder per table and year; only the folders written to are replaced.
+def _folder_values(df: DataFrame) -> list[str]:
+    """Names of the values that the folders of the files tell."""
+    return sorted({k for f in df.inputFiles() for k in re.findall(r"/([^/=]+)=[^/]*(?=/)", f)})
+
+
+def write_cleaned(
+    df: DataFrame, path: str, by: tuple[str, ...] = ("table_id", "year"), kind: str = "parquet", order: tuple[str, ...] = ()
+) -> None:
+    """One folder per table and year, rows of a file in `order`; only the folders written to are replaced.
 
     The rebalance hint brings the rows of a folder together but lets adaptive execution split a
     folder that holds much of the data over several tasks and files.
     """
-    writer = df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    rows = df.hint("rebalance", *by)
+    rows = rows.sortWithinPartitions(*by, *order) if order else rows
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if kind == "csv":
         writer = writer.option("header", True)
     writer.partitionBy(*by).format(kind).save(path)
@@ -53,10 +74,13 @@ def union_for_publish(frames: list[DataFrame]) -> DataFrame:
     return sanitize_columns(combine_years(frames))
 
 
-def publish(frames: list[DataFrame], name: str, path: str | None = None) -> DataFrame:
-    """Replace a table by the by-name union of the frames; returns its rows and bytes."""
+def publish(frames: list[DataFrame], name: str, path: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """Replace a table by the by-name union of the frames, in folders of `by`; returns its rows and bytes."""
     spark = frames[0].sparkSession
-    writer = union_for_publish(frames).write.mode("overwrite").format("parquet")
+    rows = union_for_publish(frames)
+    writer = (rows.hint("rebalance", *by) if by else rows).write.mode("overwrite").format("parquet")
+    if by:
+        writer = writer.partitionBy(*by)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
@@ -106,18 +130,59 @@ def backlog(wanted: DataFrame, landed: DataFrame) -> DataFrame:
     return done.select("table_id", "year", "level", kind.alias("work"))
 
 
-def data_dictionary(spark: SparkSession) -> DataFrame:
-    """Columns of the published tables with type, description and availability."""
-    return spark.createDataFrame(
-        [(i, *row) for i, row in enumerate(DICTIONARY)],
-        "position int, table_id string, section string, column_name string, type string, "
-        "description string, availability string",
-    )
+# What columns mean that no label tells.
+COLUMN_TEXTS = {
+    "year": "Calendar year the row is about",
+    "survey_type": "Kind of survey estimate",
+    "geo_id": "Identifier of the geography as the census publishes it",
+    "level": "Whether the row is a state or a county",
+    "state": "Name of the state",
+    "state_fips": "Code of the state, two digits as text",
+    "county": "Name of the county, empty in rows of states",
+    "county_fips": "Code of the county within its state, three digits as text, empty in rows of states",
+    "fips": "Code of the geography: state code, followed by the county code in rows of counties",
+    "series_id": "Identifier of the series",
+    "series_title": "Name of the series as its publisher writes it",
+    "periodicity": "How often the series has a value",
+    "seasonal_adjustment": "Whether seasonal effects are taken out",
+    "disability_status": "Disability group the series covers",
+    "sex": "Sex the series covers",
+    "age_group": "Ages the series covers",
+    "race_ethnicity": "Race or ethnicity the series covers",
+    "labor_force_status": "What the series measures",
+    "occupation": "Occupation group, where the series is about one",
+    "industry": "Industry, where the series is about one",
+    "class_of_worker": "Class of worker, where the series is about one",
+    "nilf_subcategory": "Detail on persons outside the labor force",
+    "period": "Month, quarter or year within the calendar year",
+    "date": "First day of the period",
+    "value": "Value of the series: thousands of persons, or percent for rates",
+    "footnotes": "Notes of the publisher on the value",
+}
+
+
+def column_texts(table: str) -> dict[str, str]:
+    """What the columns of a published table mean; measures are described by the label they come from."""
+    labels = {name: ", ".join(label.split(" | ")) for label, name in PUBLISHED_COLUMNS.get(table.upper(), {}).items()}
+    return {**COLUMN_TEXTS, **labels}
+
+
+def data_dictionary(df: DataFrame, table: str, year: str = "year") -> DataFrame:
+    """Columns of a published table with the type they have, what they mean, and the years in which they hold values."""
+    texts = column_texts(table)
+    held = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").isNotNull().alias("held")) for c in df.columns]))
+    counted = df.select(F.col(year).alias("year"), held.alias("h")).groupBy("year", "h.column").agg(F.max("h.held").alias("held"))
+    long = counted.select("year", "column", F.when(F.col("held"), 1).alias("value"))
+    entries = df.sparkSession.createDataFrame(
+        [(i, table, c, kind, texts.get(c)) for i, (c, kind) in enumerate(df.dtypes)],
+        "position int, table_id string, column_name string, type string, description string")
+    years = availability(long).select(F.col("column").alias("column_name"), "first_year", "last_year", F.col("value_count").alias("n_years"))
+    return entries.join(F.broadcast(years), "column_name", "left").select(*entries.columns, "first_year", "last_year", F.coalesce("n_years", F.lit(0)).alias("n_years"))
 
 
 def apply_comments(df: DataFrame, table: str) -> DataFrame:
-    """Carry the dictionary's descriptions as column comments, which tables keep when saved."""
-    texts = {r[2]: r[4] for r in DICTIONARY if r[0] == table}
+    """Carry the descriptions as column comments, which tables keep when saved."""
+    texts = column_texts(table)
     return df.select(*[
-        F.col(c).alias(c, metadata={"comment": texts[c]}) if c in texts else F.col(c) for c in df.columns
+        F.col(f"`{c}`").alias(c, metadata={"comment": texts[c]}) if c in texts else F.col(f"`{c}`") for c in df.columns
     ])

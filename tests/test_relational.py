@@ -60,6 +60,28 @@ def test_ordinal(spark, kind):
     assert got == want
 
 
+@pytest.mark.parametrize("position", ["id", "id * (1L << 40)", "7L", "cast(id % 3 as string)"])
+def test_blocks_follow_the_rows(spark, position):
+    """Dense, sparse and equal positions take as many blocks."""
+    df = spark.range(2000).selectExpr("'g' as g", f"{position} as p")
+    blocks = R.row_blocks(df, ["g"], "p", 200).groupBy("_block").count().collect()
+    assert 5 <= len(blocks) <= 10 and max(r["count"] for r in blocks) <= 800
+    ranks = [r["n"] for r in R.ordinal(df, ["g"], "p", "n", width=200).orderBy("p", "n").collect()]
+    assert ranks == list(range(1, 2001))
+
+
+def test_orders(spark):
+    """Rows come in the promised order, not only in some order."""
+    states = spark.createDataFrame([("county", "01", "003"), ("state", "02", ""), ("state", "01", ""), ("county", "01", "001")], "level string, state_fips string, county_fips string")
+    got = [tuple(r) for r in R.state_first(states).collect()]
+    assert got == [("state", "01", ""), ("state", "02", ""), ("county", "01", "001"), ("county", "01", "003")]
+    series = spark.createDataFrame([("B", 2012, "M01"), ("A", 2013, "M02"), ("A", 2012, "M02"), ("A", 2013, "M01")], "series_id string, year int, period string")
+    got = [tuple(r) for r in R.series_order(series).collect()]
+    assert got == sorted(got)
+    counted = [r["count"] for r in R.value_counts(spark.createDataFrame([(x,) for x in "abacab"], "v string"), "v").collect()]
+    assert counted == [3, 2, 1]
+
+
 def test_merge_batches_keeps_name_of_first(spark):
     a = spark.createDataFrame([("A", "01", "1")], "NAME string, state string, x string")
     b = spark.createDataFrame([("ignored", "01", "2"), ("ignored", "02", "3")], "NAME string, state string, y string")

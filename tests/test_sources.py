@@ -70,9 +70,11 @@ def test_stream_takes_a_file_once(spark, landed, tmp_path_factory):
     inbox.mkdir()
 
     def handle(batch):
-        W.parse_raw_lines(batch).select("table_id", "year", "level", "name").write.mode("append").parquet(out)
+        files = [r["file_path"] for r in batch.select("file_path").distinct().collect()]
+        if files:
+            W.land_raw(spark, files, out)
 
-    for year, total in ((2012, 3), (2013, 6), (None, 6)):
+    for year, total in ((2012, 3), (2013, 6), (None, 6), (2013, 6)):
         if year:
             (inbox / f"acs_S1811_{year}_raw.csv").write_text(COUNTY)
         take_new_files(spark, str(inbox), str(folder / "state"), handle)
@@ -98,11 +100,12 @@ def test_series_response(spark):
 
 def test_catalogue_layouts(spark, tmp_path):
     flat = {"series": {"A": {"title": "a", "periodicity": "M", "disa_code": 1, "orig_code": 0}}}
-    old = {"_note": {"series": {"Z": "z"}}, "one": {"series": {"B": "b"}}, "two": {"series": {"C": "c"}}}
-    for name, doc in (("flat", flat), ("old", old)):
+    old = {"_note": {"series": {"Z": "z"}}, "one": {"series": {"B": "no", "C": "no"}}, "two": {"series": {"C": "c", "B": "b"}}}
+    titles = {"series": {"D": "d {x}"}}
+    for name, doc in (("flat", flat), ("old", old), ("titles", titles)):
         (tmp_path / name).write_text(json.dumps(doc, indent=1))
     got = {r["series_id"]: (r["title"], r["disa_code"]) for r in W.read_catalogue(spark, str(tmp_path)).collect()}
-    assert got == {"A": ("a", 1), "B": ("b", None), "C": ("c", None)}
+    assert got == {"A": ("a", 1), "B": ("b", None), "C": ("c", None), "D": ("d {x}", None)}
 
 
 def test_series_end_to_end(spark):
@@ -156,11 +159,36 @@ def test_sinks(spark, tmp_path):
 
 
 def test_dictionary_and_comments(spark):
-    words = T.data_dictionary(spark)
-    assert {r["table_id"]: r["count"] for r in words.groupBy("table_id").count().collect()} == {
-        "S1810": 39, "S1811": 53, "B18120": 25, "B18121": 25, "CPS": 18}
-    df = T.apply_comments(spark.createDataFrame([(1.0, 2)], ["value", "other"]), "CPS")
-    assert df.schema["value"].metadata["comment"].startswith("Measured value") and not df.schema["other"].metadata
+    df = spark.createDataFrame([(2010, "01", 1.0, None), (2012, "01", None, None)], "year int, fips string, dis_employed double, other string")
+    got = {r["column_name"]: (r["type"], r["first_year"], r["last_year"], r["n_years"]) for r in T.data_dictionary(df, "S1811").collect()}
+    assert got == {"year": ("int", 2010, 2012, 2), "fips": ("string", 2010, 2012, 2), "dis_employed": ("double", 2010, 2010, 1), "other": ("string", None, None, 0)}
+    commented = T.apply_comments(df, "S1811")
+    assert commented.schema["fips"].metadata["comment"].startswith("Code of") and not commented.schema["other"].metadata
+
+
+def test_files_are_read_by_their_own_header(spark, tmp_path):
+    folder = tmp_path / "table_id=S1811"
+    folder.mkdir()
+    (folder / "2010_cleaned.csv").write_text("year,fips,dis_pop_16_plus,dis_employed\n2010,01,500,20\n")
+    (folder / "2019_cleaned.csv").write_text('fips,year,pop_16_plus,dis_pop_16_plus,remark\n01,2019,900,600,"a ""b"", c"\n')
+    df = T.read_cleaned(spark, str(tmp_path))
+    got = {r["year"]: (r["fips"], r["table_id"], r["pop_16_plus"], r["dis_pop_16_plus"], r["dis_employed"], r["remark"]) for r in df.collect()}
+    assert got == {2010: ("01", "S1811", None, 500.0, 20.0, None), 2019: ("01", "S1811", 900.0, 600.0, None, 'a "b", c')}
+
+
+def test_raw_files_of_any_shape(spark, tmp_path):
+    (tmp_path / "acs_S1811_2012_raw.csv").write_text(
+        'state,NAME,S1811_C01_001E,NAME,county\n\n01,"Alpha ""A""\nCounty, North",5,again,001\n\n')
+    (tmp_path / "acs_b18120_2013_state_raw.csv").write_text('"B18120_001E","NAME","state"\n7,North,01\n')
+    rows = {r["name"]: (r["table_id"], r["year"], r["level"], r["state"], r["county"], r["vars"]) for r in W.read_raw_acs(spark, str(tmp_path)).collect()}
+    assert rows == {'Alpha "A"\nCounty, North': ("S1811", 2012, "county", "01", "001", {"S1811_C01_001E": "5"}),
+                    "North": ("B18120", 2013, "state", "01", None, {"B18120_001E": "7"})}
+    target = str(tmp_path / "landing")
+    assert W.land_raw(spark, str(tmp_path / "*.csv"), target).count() == 2
+    again = W.land_raw(spark, str(tmp_path / "acs_S1811*.csv"), target)
+    assert again.count() == 2
+    plan = again.filter("table_id = 'S1811' and year = 2012")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(table_id" in plan
 
 
 def test_read_cleaned_tokens(spark, tmp_path):

@@ -158,19 +158,21 @@ def j6(spark, sf):
 
 
 @query("j7_enrich_defaults", """
-    with sheet as (select p_partkey, cast(count(*) as integer) as occupation_code, cast(max(l_linenumber) as integer) as indy_code
-        from part join lineitem on l_partkey = p_partkey where l_quantity > 45 group by 1)
-    select p.p_partkey, coalesce(s.occupation_code, case when p_size % 2 = 0 then p_size end, 0) as occupation_code,
-        coalesce(s.indy_code, 0) as indy_code from part p left join sheet s on s.p_partkey = p.p_partkey""")
+    with sheet as (select l_partkey, cast(max(l_orderkey * 10 + l_linenumber) as bigint) as occupation_code, cast(arg_max(l_suppkey, l_orderkey * 10 + l_linenumber) as bigint) as indy_code
+        from lineitem where l_quantity > 45 group by 1)
+    select p.p_partkey,
+        case when l_partkey is not null then occupation_code when p_size % 2 = 0 then p_size else 0 end as occupation_code,
+        case when l_partkey is not null then indy_code when p_size % 2 = 0 then case when p_size % 4 = 0 then 7 end else 0 end as indy_code
+    from part p left join sheet on l_partkey = p_partkey""")
 def j7(spark, sf):
+    """Keys come several times in the sheet; old rows have all codes, only the first one, or none."""
+    size = F.col("p_size")
     old = table(spark, sf, "part").select(
-        "p_partkey", F.when(F.col("p_size") % 2 == 0, F.col("p_size")).alias("occupation_code"),
-        F.lit(None).cast("int").alias("indy_code"),
-    )
-    sheet = table(spark, sf, "lineitem").filter("l_quantity > 45").groupBy(F.col("l_partkey").alias("p_partkey")).agg(
-        F.count(F.lit(1)).cast("int").alias("occupation_code"), F.max("l_linenumber").alias("indy_code")
-    )
-    return C.enrich_defaults(old, sheet, "p_partkey", ["occupation_code", "indy_code"], 0)
+        "p_partkey", F.when(size % 2 == 0, size).cast("bigint").alias("occupation_code"), F.when(size % 4 == 0, 7).when(size % 2 == 1, 9).cast("bigint").alias("indy_code"))
+    place = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    sheet = table(spark, sf, "lineitem").filter("l_quantity > 45").select(
+        F.col("l_partkey").alias("p_partkey"), place.alias("occupation_code"), F.col("l_suppkey").alias("indy_code"), place.alias("place"))
+    return C.enrich_defaults(old, sheet, "p_partkey", ["occupation_code", "indy_code"], 0, order="place")
 
 
 @query("j8_exists_in", """

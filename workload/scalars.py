@@ -397,7 +397,7 @@ def p28(spark, sf):
     from orders""")
 def p29(spark, sf):
     price = F.when(F.col("o_orderkey") % 10 == 0, F.lit(0.0)).otherwise(F.col("o_totalprice"))
-    return table(spark, sf, "orders").select("o_orderkey", F.round(F.ln(price), 9).alias("log_price"))
+    return table(spark, sf, "orders").select("o_orderkey", F.round(N.log_column(price), 9).alias("log_price"))
 
 
 def series_list(spark, sf):

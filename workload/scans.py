@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyloom.functions.labels import is_variable
+from tallyloom.plans.folders import profile_folder, publish_folder
 from tallyloom.session import work_folder
 from tallyloom.sources import raw as W
 from tallyloom.sources import tables as T
@@ -21,7 +21,7 @@ from workload.scalars import PART_ID
             else case when c_custkey % 3 = 0 then null else c_mktsegment end end as value) v
     union all select 'S1810', 2011, 'state', n_name, cast(n_nationkey as varchar), null, 'S1810_C02_001E',
         cast(n_regionkey as varchar) from nation
-    union all select 'B18120', 2012, 'county', s_name, cast(s_nationkey as varchar), cast(s_suppkey as varchar),
+    union all select 'B18120', 2012, 'county', s_name || chr(10) || 'second, line', cast(s_nationkey as varchar), cast(s_suppkey as varchar),
         'B18120_001PE', cast(s_acctbal as varchar) from supplier""")
 def s1(spark, sf):
     folder = work_folder(spark, "raw")
@@ -31,18 +31,17 @@ def s1(spark, sf):
         F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")).alias("S1810_C02_001E"),
         F.lit("stale").alias("NAME.1"), F.col("c_nationkey").alias("state"), F.col("c_custkey").alias("county"),
     )
-    nations = table(spark, sf, "nation").select(
-        F.col("n_name").alias("NAME"), F.col("n_nationkey").alias("state"), F.col("n_regionkey").alias("S1810_C02_001E")
-    )
+    line = F.concat_ws(",", "n_nationkey", "n_name", "n_regionkey", F.lit("again"))
+    nations = table(spark, sf, "nation").agg(F.collect_list(line).alias("lines")).select(F.concat(
+        F.lit("state,NAME,S1810_C02_001E,NAME\n\n"), F.array_join("lines", "\n\n")))
+    nations.write.text(f"{folder}/acs_S1810_2011_state_raw.csv")
     suppliers = table(spark, sf, "supplier").select(
-        F.col("s_name").alias("NAME"), F.col("s_acctbal").cast("string").alias("B18120_001PE"),
+        F.concat("s_name", F.lit("\nsecond, line")).alias("NAME"), F.col("s_acctbal").cast("string").alias("B18120_001PE"),
         F.col("s_nationkey").alias("state"), F.col("s_suppkey").alias("county"),
     )
-    landed = {"acs_S1810_2011_raw.csv": customers, "acs_S1810_2011_state_raw.csv": nations,
-              "acs_B18120_2012_raw.csv": suppliers}
-    for name, df in landed.items():
+    for name, df in {"acs_s1810_2011_raw.csv": customers, "acs_B18120_2012_raw.csv": suppliers}.items():
         df.write.csv(f"{folder}/{name}", header=True, escape='"')
-    rows = W.read_raw_acs(spark, [f"{folder}/{name}" for name in landed])
+    rows = W.land_raw(spark, f"{folder}/*", work_folder(spark, "landing"))
     return rows.select("table_id", "year", "level", "name", "state", "county", F.explode("vars").alias("var_id", "value"))
 
 
@@ -120,28 +119,36 @@ def s4(spark, sf):
 
 
 @query("s5_read_catalogue", """
-    select case when p_partkey % 2 = 0 then 'LNU0' else 'LNS1' end || p_partkey as series_id, p_name as title,
-        case when p_partkey % 2 = 0 then 'M' end as periodicity,
-        case when p_partkey % 2 = 0 then p_size end as disa_code from part""")
+    select case p_partkey % 3 when 0 then 'LNU0' when 1 then 'LNS1' else 'LNX' end || p_partkey as series_id,
+        case p_partkey % 3 when 0 then p_name when 1 then p_brand else p_type end as title,
+        case when p_partkey % 3 = 0 then 'M' end as periodicity,
+        case when p_partkey % 3 = 0 then p_size end as disa_code from part""")
 def s5(spark, sf):
+    """Documents of three layouts: ids with attributes, with titles in sections, with titles only; some ids come twice."""
     key = F.col("p_partkey").cast("string")
     flat = F.to_json(F.struct(F.create_map(F.concat(F.lit("LNU0"), key), F.struct(
         F.col("p_name").alias("title"), F.lit("M").alias("periodicity"), F.col("p_size").alias("disa_code")
     )).alias("series")))
     older = F.to_json(F.struct(
         F.struct(F.create_map(F.lit("LNX"), F.lit("no series")).alias("series")).alias("_note"),
-        F.struct(F.create_map(F.concat(F.lit("LNS1"), key), F.col("p_name")).alias("series")).alias("employment"),
+        F.struct(F.create_map(F.concat(F.lit("LNS1"), key), F.lit("first")).alias("series")).alias("employment"),
+        F.struct(F.create_map(F.concat(F.lit("LNS1"), key), F.col("p_brand")).alias("series")).alias("again"),
     ))
+    titles = F.to_json(F.struct(F.create_map(F.concat(F.lit("LNX"), key), F.col("p_type")).alias("series")))
     path = f"{work_folder(spark, 'catalogue')}/series"
-    table(spark, sf, "part").select(F.when(F.col("p_partkey") % 2 == 0, flat).otherwise(older)).write.text(path)
+    kind = F.col("p_partkey") % 3
+    table(spark, sf, "part").select(F.when(kind == 0, flat).when(kind == 1, older).otherwise(titles)).write.text(path)
     return W.read_catalogue(spark, path, lines=True).select("series_id", "title", "periodicity", "disa_code")
 
 
-@query("s6_variable_columns", f"""
-    with v as (select p_partkey, {PART_ID} as name from part)
-    select p_partkey, name from v where regexp_matches(name, '^[A-Z][0-9]+(_C[0-9]+)?_[0-9]+(E|M|PE|PM)$')""")
+@query("s6_variable_columns", """
+    select n_nationkey, case when n_regionkey % 2 = 0 then n_regionkey end as "B18120_001E", n_name as "S1810_C01_001PE" from nation""")
 def s6(spark, sf):
-    return table(spark, sf, "part").select("p_partkey", F.expr(PART_ID).alias("name")).filter(is_variable(F.col("name")))
+    """Of a wide table the key and the columns that its header tells to be variables."""
+    wide = table(spark, sf, "nation").select(
+        "n_nationkey", F.col("n_name").alias("NAME"), F.when(F.col("n_regionkey") % 2 == 0, F.col("n_regionkey")).alias("B18120_001E"),
+        F.col("n_name").alias("S1810_C01_001PE"), F.lit("stale").alias("NAME_1"), F.lit("01").alias("state"))
+    return wide.select("n_nationkey", *W.variable_columns(wide))
 
 
 _TOKEN = """case c_custkey % 9 when 0 then '' when 1 then 'NA' when 2 then 'N/A' when 3 then 'NaN' when 4 then 'nan'
@@ -150,14 +157,22 @@ _TOKEN = """case c_custkey % 9 when 0 then '' when 1 then 'NA' when 2 then 'N/A'
 
 @query("s7_read_cleaned", f"""
     select case when c_custkey % 9 < 7 then null else c_name end as state, '0' || c_custkey as fips,
-        2000 + c_nationkey as year, case when c_custkey % 9 < 7 then null else c_acctbal end as dis_employed from customer""")
+        2000 + c_nationkey as year, case when c_custkey % 9 < 7 then null else c_acctbal end as dis_employed,
+        'S' || c_nationkey % 3 as table_id, null as pop_16_plus, null as remark from customer
+    union all select null, '0' || s_suppkey, 2000 + s_nationkey, s_acctbal, 'T1', cast(s_suppkey as double), s_name from supplier""")
 def s7(spark, sf):
+    """Files whose columns differ in number and order, with a text column of no table, in folders that tell the table."""
     path = f"{work_folder(spark, 'cleaned')}/acs_S1811_cleaned.csv"
-    table(spark, sf, "customer").select(
+    T.write_cleaned(table(spark, sf, "customer").select(
         F.expr(_TOKEN.format("c_name")).alias("state"), F.concat(F.lit("0"), F.col("c_custkey").cast("string")).alias("fips"),
         (F.col("c_nationkey") + 2000).alias("year"),
         F.expr(_TOKEN.format("cast(c_acctbal as varchar(30))")).alias("dis_employed"),
-    ).write.csv(path, header=True)
+        F.concat(F.lit("S"), F.col("c_nationkey") % 3).alias("table_id"),
+    ), path, by=("table_id",), kind="csv")
+    T.write_cleaned(table(spark, sf, "supplier").select(
+        (F.col("s_nationkey") + 2000).alias("year"), F.col("s_name").alias("remark"), F.col("s_suppkey").alias("pop_16_plus"),
+        F.col("s_acctbal").alias("dis_employed"), F.concat(F.lit("0"), F.col("s_suppkey").cast("string")).alias("fips"), F.lit("T1").alias("table_id"),
+    ), path, by=("table_id",), kind="csv")
     return T.read_cleaned(spark, path)
 
 
@@ -288,23 +303,75 @@ def u3(spark, sf):
 
 
 @query("s15_data_dictionary", """
-    with c as (select 'CPS' as table_id, * from (
-        select 'series_id' as column_name, count(distinct event_type) as distinct_values from events
-        union all select 'value', count(distinct value) from events
-        union all select 'period', count(distinct user_id) from events))
-    select table_id, column_name, case column_name when 'value' then 'float' else 'string' end as type,
-        case column_name when 'series_id' then 'Series Identification' else 'Time & Value' end as section,
-        'All years' as availability, distinct_values from c""")
+    with c as (select 2000 + s_nationkey as year, s_suppkey, s_acctbal from supplier),
+    y as (select 'year' as column_name, min(year) as first_year, max(year) as last_year, count(distinct year) as n_years, 'int' as type from c
+        union all select 'fips', min(year), max(year), count(distinct year), 'string' from c
+        union all select 'dis_employed', min(case when s_acctbal > 0 then year end), max(case when s_acctbal > 0 then year end),
+            count(distinct case when s_acctbal > 0 then year end), 'double' from c
+        union all select 'pop_16_plus', null, null, 0, 'double')
+    select 'S1811' as table_id, y.column_name, y.type, description, first_year, last_year, n_years
+    from y join (values ('year', 'Calendar year the row is about'),
+        ('fips', 'Code of the geography: state code, followed by the county code in rows of counties'),
+        ('dis_employed', 'With a Disability, Population Age 16 and Over, EMPLOYMENT STATUS, Employed'),
+        ('pop_16_plus', 'Total Civilian Noninstitutionalized Population, Population Age 16 and Over')) d(column_name, description)
+        on d.column_name = y.column_name""")
 def s15(spark, sf):
-    """Dictionary entries of a published series table, beside what its columns hold."""
-    series = table(spark, sf, "events").select(
-        F.col("event_type").alias("series_id"), F.col("value"), F.col("user_id").cast("string").alias("period")
-    )
-    commented = T.apply_comments(series, "CPS")
-    counts = commented.agg(*[F.countDistinct(c).alias(c) for c in commented.columns])
-    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("distinct_values")) for c in commented.columns]
-    held = counts.select(F.inline(F.array(*pairs)))
-    entries = T.data_dictionary(spark).filter("table_id = 'CPS'")
-    return entries.join(held, "column_name").select(
-        "table_id", "column_name", "type", "section", "availability", "distinct_values"
-    )
+    """Dictionary of a published survey table, from the table as it was published."""
+    rows = table(spark, sf, "supplier").select(
+        (F.col("s_nationkey") + 2000).cast("int").alias("year"), F.col("s_suppkey").cast("string").alias("fips"),
+        F.when(F.col("s_acctbal") > 0, F.col("s_acctbal").cast("double")).alias("dis_employed"), F.lit(None).cast("double").alias("pop_16_plus"))
+    _published(spark, "dictionary_of", [rows])
+    return T.data_dictionary(spark.table("published.dictionary_of"), "S1811").drop("position")
+
+
+def _folder(spark, sf):
+    """Cleaned files of two survey years with different columns, and of a series table."""
+    path = work_folder(spark, "folder")
+    customers, suppliers = table(spark, sf, "customer"), table(spark, sf, "supplier")
+    fips = F.when(F.col("c_custkey") % 5 != 0, F.col("c_custkey")).alias("fips")
+    customers.filter("c_custkey % 2 = 0").select(F.lit(2010).alias("year"), fips, F.col("c_acctbal").alias("dis_employed")).write.csv(
+        f"{path}/acs_S1811_2010_cleaned.csv", header=True)
+    customers.filter("c_custkey % 2 = 1").select(fips, F.lit(2011).alias("year"), F.lit("NA").alias("pop_16_plus")).write.csv(
+        f"{path}/acs_S1811_2011_cleaned.csv", header=True)
+    suppliers.select(F.col("s_suppkey").alias("series_id"), F.lit(2012).alias("year"), F.col("s_acctbal").alias("value")).write.csv(
+        f"{path}/bls_cps_cleaned.csv", header=True)
+    return path
+
+
+@query("e4_publish_folder", """
+    select 'folder_published.acs_s1811' as table_name, count(*) as row_count from customer
+    union all select 'folder_published.bls_cps', count(*) from supplier""")
+def e4(spark, sf):
+    return publish_folder(spark, f"{_folder(spark, sf)}/*", "folder_published").select("table_name", "row_count")
+
+
+@query("e5_profile_folder", """
+    select 'acs_S1811_2010_cleaned.csv' as file, count(*) as row_count, 3 as column_count, count(*) - count(distinct (c_custkey % 5 = 0, case when c_custkey % 5 <> 0 then c_custkey end, c_acctbal)) as duplicate_rows,
+        count_if(c_custkey % 5 = 0) as missing_fips, 2010 as year_min, 2010 as year_max, count_if(c_custkey % 5 = 0) as total_nulls, null as error
+        from customer where c_custkey % 2 = 0
+    union all select 'acs_S1811_2011_cleaned.csv', count(*), 3, greatest(count_if(c_custkey % 5 = 0) - 1, 0), count_if(c_custkey % 5 = 0), 2011, 2011, count(*) + count_if(c_custkey % 5 = 0), null
+        from customer where c_custkey % 2 = 1
+    union all select 'bls_cps_cleaned.csv', count(*), 3, 0, null, 2012, 2012, 0, null from supplier
+    union all select 'empty_cleaned.csv', null, null, null, null, null, null, null, 'no header could be read'""")
+def e5(spark, sf):
+    path = _folder(spark, sf)
+    table(spark, sf, "nation").filter("false").select("n_name").coalesce(1).write.text(f"{path}/empty_cleaned.csv")
+    return profile_folder(spark, f"{path}/*")
+
+
+@query("s9_publish_report", """select 'published.reported' as table_name, count(*) as row_count, true as has_bytes from orders""")
+def s9_report(spark, sf):
+    """What publishing reports of a table that is written in folders of its year."""
+    rows = table(spark, sf, "orders").select(F.year("o_orderdate").alias("year"), "o_orderkey", "o_totalprice")
+    T.ensure_database(spark, "published")
+    report = T.publish([rows], "published.reported", f"{work_folder(spark, 'published')}/reported", by=("year",))
+    return report.select("table_name", "row_count", (F.col("byte_count") > 0).alias("has_bytes"))
+
+
+@query("s10_ensure_database", """select 'made_by_need' as database_name, count(*) as row_count from supplier""")
+def s10(spark, sf):
+    """A database that is made once and keeps its tables when it is asked for again."""
+    T.ensure_database(spark, "made_by_need")
+    T.publish([table(spark, sf, "supplier")], "made_by_need.suppliers", f"{work_folder(spark, 'database')}/suppliers")
+    T.ensure_database(spark, "made_by_need")
+    return spark.table("made_by_need.suppliers").groupBy(F.lit("made_by_need").alias("database_name")).agg(F.count(F.lit(1)).alias("row_count"))

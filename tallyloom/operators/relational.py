@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.labels import classify
-from tallyloom.session import materialise, weighed
+from tallyloom.session import materialise, plan_bytes, weighed
 
 HOT_SHARE = 0.001
 BROADCAST_BYTES = 64 << 20
+SMALL_FACTS = 16 << 20
 
 
 # ---- filters ---------------------------------------------------------------------------
@@ -101,6 +102,9 @@ def lookup(
         table, size = weighed(table, "lookup")
         if size <= BROADCAST_BYTES:
             return facts.join(F.broadcast(table), on, how)
+    # No key of facts this small is too heavy for one task, and Spark may broadcast them as they are.
+    if plan_bytes(facts) <= SMALL_FACTS:
+        return facts.join(table, on, how)
     others = spread_by or _spread_columns(facts, on)
     hot, parts = hot_keys(facts, on) if others else ([], 1)
     if not hot:

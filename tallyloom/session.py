@@ -5,10 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 from functools import cache
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # Partition counts and join strategies are left to adaptive execution, which sees the measured
 # size of every shuffle; nothing here depends on the size of one data set.
@@ -23,6 +23,9 @@ SETTINGS = {
     "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
+UNPACKED = 8  # times that rows in memory may take the size of their files
+_MADE: list[str] = []  # work folders, in the order they were named
+
 
 def build_session(app: str = "tallyloom", master: str | None = None, **settings: str) -> SparkSession:
     """Session with the settings above; `settings` take dotted names as a mapping."""
@@ -37,14 +40,16 @@ def build_session(app: str = "tallyloom", master: str | None = None, **settings:
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """New folder below the shared one the cluster names in `spark.checkpoint.dir`.
 
-    A machine-local folder is used only when the session itself is local.
+    A machine-local folder is used only when the session itself is local. Folders made within a
+    `workspace` go at its end.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = _local_folder()
-    return os.path.join(shared, f"{purpose}-{uuid.uuid4().hex}")
+    _MADE.append(os.path.join(shared, f"{purpose}-{uuid.uuid4().hex}"))
+    return _MADE[-1]
 
 
 @cache
@@ -62,13 +67,29 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def weighed(df: DataFrame, purpose: str) -> tuple[DataFrame, int]:
-    """As `materialise`, with the size of the rows as text, close to what they take in memory.
+    """As `materialise`, with an upper guess of what the rows take in memory.
 
-    The size is observed while writing. A repeated task may count twice, which only errs towards
-    the larger size.
+    Columnar files are smaller than rows in memory; UNPACKED times their size errs towards too much.
     """
     spark, path = df.sparkSession, work_folder(df.sparkSession, purpose)
-    seen = Observation()
-    row = F.octet_length(F.to_json(F.struct("*"))).cast("bigint")
-    df.observe(seen, F.sum(row).alias("bytes")).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), seen.get["bytes"] or 0
+    df.write.parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    return written, UNPACKED * plan_bytes(written)
+
+
+def plan_bytes(df: DataFrame) -> int:
+    """What the optimizer takes the size of the rows to be: the size of the files for a written table."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+@contextmanager
+def workspace(spark: SparkSession):
+    """Removes, at its end, the work folders made within it; their tables must be used up by then."""
+    before = len(_MADE)
+    try:
+        yield
+    finally:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        while len(_MADE) > before:
+            path = jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+            path.getFileSystem(conf).delete(path, True)

@@ -19,6 +19,7 @@ def skewed(spark):
 @pytest.mark.parametrize("way", ["hot keys", "nothing hot", "broadcast", "too heavy", "narrower key"])
 def test_lookup(spark, skewed, monkeypatch, how, way):
     facts, table = skewed
+    monkeypatch.setattr(R, "SMALL_FACTS", -1)  # the few rows here stand for many
     if way == "narrower key":
         table = table.withColumn("k", F.col("k").cast("int"))
     if way == "nothing hot":
@@ -120,3 +121,17 @@ def test_profile(spark):
     flags = Q.quality_flags(Q.profile_columns(df, ["file"]), ["file"], Q.profile_file(df, ["file"])).first()
     assert flags["negative_cols"] == "v; t" and flags["high_null_cols"] == "" and flags["status"] == "WARN"
     assert Q.duplicate_rows(df).first()["duplicate_rows"] == 1
+
+
+def test_work_folders_go_with_their_workspace(spark):
+    from tallyloom.session import materialise, weighed, work_folder, workspace
+
+    kept = materialise(spark.range(10), "kept")
+    with workspace(spark):
+        rows, size = weighed(spark.range(100000), "gone")
+        assert rows.count() == 100000 and size >= 100000
+        path = rows.inputFiles()[0]
+        work_folder(spark, "never written")
+    assert kept.count() == 10
+    import os
+    assert not os.path.exists(path.removeprefix("file://"))

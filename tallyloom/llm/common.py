@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import shutil
 import tempfile
+from contextlib import suppress
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -150,6 +153,28 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+_HELD: dict = {}
+
+
+def held(key, build):
+    """What `build` gives, kept by a Python worker until another key is asked for.
+
+    A worker serves one stage after another; so it holds the model of one stage at a time.
+    """
+    if key not in _HELD:
+        _HELD.clear()
+        tidy()
+        _HELD[key] = build()
+    return _HELD[key]
+
+
+def tidy() -> None:
+    """Give freed memory back to the system, which lets the workers of an executor share its memory."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # only the GNU C library has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 LIGHT = 48 << 20  # bytes up to which a table is broadcast
 
 

@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyloom.llm.common import ship, table
+from tallyloom.llm.common import held, ship, table
 from tallyloom.llm.quality import fold
 
 TEXTS = 64  # labelled texts taken per language, the bound of what is learned from
 CHARS = 1000  # characters taken of each
 BYTES = 192 << 10  # bytes of labelled text over all languages, shared evenly
 MANY = 1000  # languages at most, in order of their names
+EASE = 8
 LANES = 4096  # pieces parsed in step
 PIECE = 1024  # bytes of a piece
 UNKNOWN = "und"
@@ -64,21 +65,23 @@ class Parser:
         self.code = np.zeros(256, np.int32)
         self.code[seen] = np.arange(1, len(seen) + 1)
         self.width = len(seen) + 1
-        graphs = [automaton(samples[name]) for name in self.languages]
-        base = np.cumsum([0] + [len(g) for g in graphs])
-        self.roots = base[:-1].astype(np.int32)
-        moves = np.empty((base[-1], self.width), np.int32)
-        for graph, root in zip(graphs, self.roots):
-            first = np.full(self.width, root, np.int32)
+        base, tables = 0, []
+        self.roots = np.zeros(len(self.languages), np.int32)
+        for k, language in enumerate(self.languages):
+            graph = automaton(samples[language])
+            strange = base + len(graph)  # the state after a byte that the language never has
+            first = np.full(self.width, strange, np.int32)
             for c, to in graph[0].items():
-                first[self.code[c]] = root + to
-            moves[root:root + len(graph)] = ~first
+                first[self.code[c]] = base + to
+            moves = np.repeat(~first[None], len(graph) + 1, 0)
+            moves[0] = first
             for state, out in enumerate(graph):
                 for c, to in out.items():
-                    moves[root + state, self.code[c]] = root + to
-            # A byte without any match leaves no open phrase behind: its own phrase is the one counted.
-            moves[root][first == root] = ~root
-        self.moves = moves.ravel()
+                    moves[state, self.code[c]] = base + to
+            tables.append(moves.ravel())
+            self.roots[k] = base
+            base = strange + 1
+        self.moves = np.concatenate(tables) if tables else np.zeros(0, np.int32)
 
     def phrases(self, texts: list[bytes]) -> np.ndarray:
         """Phrases per text and language. Long texts are parsed in pieces, each ending with a phrase."""
@@ -107,16 +110,9 @@ class Parser:
         return found
 
 
-_PARSERS: dict[tuple, Parser] = {}
-
-
 def parser(samples: dict[str, bytes]) -> Parser:
     """The parser of these samples, built once in each worker."""
-    key = tuple(sorted(samples.items()))
-    if key not in _PARSERS:
-        _PARSERS.clear()
-        _PARSERS[key] = Parser(samples)
-    return _PARSERS[key]
+    return held(("language", *sorted(samples.items())), lambda: Parser(samples))
 
 
 def normal(text: str) -> bytes:
@@ -134,10 +130,12 @@ def fit_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     the input do not matter. Null or blank texts and null languages teach nothing.
     """
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.substring(text_col, 1, chars).alias("text"))
-    rows = rows.where("lang is not null and trim(text) <> ''").withColumn("h", F.xxhash64("text"))
-    marks = rows.select("lang", "h").distinct()
-    ranked = marks.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
-    least = ranked.where(F.col("r") <= texts).drop("r").orderBy("lang", "h").limit(texts * MANY)
+    rows = rows.where("lang is not null and trim(text) <> ''").withColumn("h", F.shiftrightunsigned(F.xxhash64("text"), 1))
+    # Only hashes that can be among the smallest are ranked: some EASE times as many as are wanted.
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).orderBy("lang").limit(MANY)
+    close = rows.join(F.broadcast(sizes), "lang").where(F.col("h") <= F.lit(EASE * texts * 2.0**63) / F.col("n"))
+    ranked = close.select("lang", "h").distinct().withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
+    least = ranked.where(F.col("r") <= texts).drop("r")
     chosen = rows.join(F.broadcast(least), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
     chosen = chosen.orderBy("lang", "h")
     found: dict[str, list[bytes]] = {}

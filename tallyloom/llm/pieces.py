@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyloom.llm.common import ship, table
+from tallyloom.llm.common import held, ship, table
 
 HELD = 1 << 20  # words, and pairs of pieces, that a worker remembers
 STEP = 256  # texts encoded at once
@@ -144,13 +144,8 @@ class Pieces:
         return text[1:] if self.prefixed and text.startswith(" ") else text
 
 
-_PIECES: dict[bytes, Pieces] = {}
-
-
 def pieces(model: bytes) -> Pieces:
-    if model not in _PIECES:
-        _PIECES[model] = Pieces(model)
-    return _PIECES[model]
+    return held(("pieces", model), lambda: Pieces(model))
 
 
 def model_file(path: str | None = None) -> bytes:

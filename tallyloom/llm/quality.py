@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyloom.llm.common import ship, table
+from tallyloom.llm.common import held, ship, table, tidy
 
 SAMPLE = 4000  # labelled documents that vote, the bound of what the driver and every task hold
 FEATURES = 1024  # hashed counts of a document
@@ -125,10 +125,12 @@ def score_quality(docs: DataFrame, model: dict, text_col: str = "text", into: st
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        held("quality", dict)
         for batch in batches:
             rows = np.array([counts(t.as_py()) for t in batch[text_col]], np.float32).reshape(-1, FEATURES)
             kept = batch.drop_columns([into]) if into in batch.schema.names else batch
             yield kept.append_column(into, pa.array(vote(shared.value, rows), pa.float64()))
+        tidy()
 
     kept = [f for f in docs.schema.fields if f.name != into]
     return docs.mapInArrow(run, T.StructType([*kept, T.StructField(into, T.DoubleType())]))

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import HOME, PROBE, buckets, components, forest, light, ship, spans, stored, table, tiles, unused
+from tallyloom.llm.common import HOME, PROBE, buckets, components, forest, held, light, ship, spans, stored, table, tidy, tiles, unused
 
 MOST = 1 << 13  # index rows of a bucket that one task holds
 PAIRS = 1 << 21  # distances computed at once
@@ -122,6 +122,7 @@ def near_links(prints: DataFrame, width: int, radius: int, exact: bool = True) -
                         found.append(nearest(one, two, apart[good]))
             if found:
                 yield pd.concat(found, ignore_index=True)
+        tidy()
 
     sorted_rows = rows.repartition(*keys).sortWithinPartitions(*keys, "role")
     return sorted_rows.mapInPandas(run, "a long, b long").distinct()
@@ -178,6 +179,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def run(batches):
         from xxhash import xxh3_64_intdigest
 
+        held("near copies", dict)
         for batch in batches:
             digests, prints = [], []
             for text in batch["text"]:
@@ -188,6 +190,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             values = np.array(prints, np.int64).reshape(-1, 2)
             columns = [batch["key"], batch["id"], pa.array(np.array(digests, np.uint64).view(np.int64)), *map(pa.array, values.T)]
             yield pa.RecordBatch.from_arrays(columns, names=["key", "id", "digest", "f0", "f1"])
+        tidy()
 
     prints = stored(plain.mapInArrow(run, "key long, id long, digest long, f0 long, f1 long"), "prints")
     texts = stored(prints.groupBy("digest").agg(
@@ -196,7 +199,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = stored(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
     ends = links.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
     wanted = stored(ends.join(texts, "digest").select("digest", "key"), "wanted")
-    held = stored(plain.select("key", "text").join(light(wanted), "key").groupBy("digest").agg(F.min("text").alias("text")), "held")
+    bodies = stored(plain.select("key", "text").join(light(wanted), "key").groupBy("digest").agg(F.min("text").alias("text")), "held")
 
     def verify(batches):
         for batch in batches:
@@ -208,18 +211,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 common = len(np.intersect1d(last_set, other, assume_unique=True))
                 good.append(common >= similarity * (len(last_set) + len(other) - common))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+        tidy()
 
-    pairs = links.join(held.select(F.col("digest").alias("a"), F.col("text").alias("one")), "a")
-    pairs = pairs.join(held.select(F.col("digest").alias("b"), F.col("text").alias("two")), "b")
+    pairs = links.join(bodies.select(F.col("digest").alias("a"), F.col("text").alias("one")), "a")
+    pairs = pairs.join(bodies.select(F.col("digest").alias("b"), F.col("text").alias("two")), "b")
     roots = components(pairs.select("a", "b", "one", "two").mapInArrow(verify, "a long, b long"))
     grouped = texts.join(roots, texts["digest"] == roots["v"], "left").withColumn("root", F.coalesce("root", "digest"))
     stay = grouped.groupBy("root").agg(F.min_by("key", F.struct("id", "key")).alias("key")).select("key")
     counts = prints.groupBy("key").count()
-    gone = stored(counts.join(stay, "key", "left_anti").select("key"), "gone")
-    twice = stored(counts.where("count > 1").join(gone, "key", "left_anti").select(F.col("key").alias("twice")), "twice")
-    kept = rows.join(light(gone).withColumnRenamed("key", "gone"), F.col(key) == F.col("gone"), "left_anti")
-    once = kept.join(light(twice), F.col(key) == F.col("twice"), "left_anti")
-    folded = kept.join(light(twice), F.col(key) == F.col("twice"), "left_semi").dropDuplicates([key])
+    gone = stored(counts.join(stay, "key", "left_anti").select(F.col("key").alias(key)), "gone")
+    twice = stored(counts.where("count > 1").select(F.col("key").alias(key)).join(gone, key, "left_anti"), "twice")
+    kept = rows.join(light(gone), key, "left_anti")
+    once = kept.join(light(twice), key, "left_anti")
+    folded = kept.join(light(twice), key, "left_semi").dropDuplicates([key])
     return once.unionByName(folded).drop(key)
 
 

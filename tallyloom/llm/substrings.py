@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import light, ship, stored, table
+from tallyloom.llm.common import held, light, ship, stored, table, tidy
 from tallyloom.llm.recompression import symbols
 
 ROUNDS = 5  # pair rounds before symbols are counted
@@ -44,6 +44,7 @@ def occurrences(docs: DataFrame, window: int) -> DataFrame:
     def run(batches):
         from xxhash import xxh3_64_intdigest
 
+        held("repeats", dict)
         for keys, texts in chunks(batches, window):
             sizes = np.array([len(w) for w in texts])
             names = np.fromiter((xxh3_64_intdigest(w) for words in texts for w in words), np.uint64, sizes.sum())
@@ -53,9 +54,10 @@ def occurrences(docs: DataFrame, window: int) -> DataFrame:
             kept = size >= WORDS
             name, first, low, high = name[kept], first[kept], low[kept], high[kept]
             whose = owner[first]
-            held = high - low <= window
-            place = np.where(held, (low - base[whose]) * REACH + (high - low), -1)
+            fits = high - low <= window
+            place = np.where(fits, (low - base[whose]) * REACH + (high - low), -1)
             yield pd.DataFrame({"name": name.view(np.int64), "key": np.array(keys, np.int64)[whose], "place": place})
+        tidy()
 
     return docs.select("key", "text").mapInPandas(run, "name long, key long, place long")
 
@@ -94,6 +96,7 @@ def windows(docs: DataFrame, window: int) -> DataFrame:
     def run(batches):
         from xxhash import xxh3_128_digest
 
+        held("repeats", dict)
         for batch in batches:
             digests, keys, starts = [], [], []
             for key, text, ranges in zip(batch["key"].tolist(), batch["text"], batch["ranges"]):
@@ -110,6 +113,7 @@ def windows(docs: DataFrame, window: int) -> DataFrame:
                     digests, keys, starts = [], [], []
             if digests:
                 yield frame(digests, keys, starts)
+        tidy()
 
     return docs.mapInPandas(run, "h1 long, h2 long, key long, start long")
 

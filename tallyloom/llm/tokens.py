@@ -7,6 +7,8 @@ import re
 
 import numpy as np
 
+from tallyloom.llm.common import held
+
 HELD = 1 << 20  # words whose ids a worker remembers
 SPACED = re.compile(r"\s ")
 
@@ -44,10 +46,5 @@ class Encoder:
         return [h if w is None else h + b"".join(map(known.__getitem__, w[1:])) for h, w in zip(heads, split)]
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    return held(("encoder", path), lambda: Encoder(path))

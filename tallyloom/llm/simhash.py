@@ -69,10 +69,10 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, size: int, bits: i
     return rows.mapInArrow(run, "id long, " + ", ".join(f"{n} long" for n in names))
 
 
-def near_links(prints: DataFrame, width: int, radius: int, exact: bool = True) -> DataFrame:
+def near_links(prints: DataFrame, width: int, radius: int, exact: bool = True, indexed: int | None = None) -> DataFrame:
     """Links a, b between rows of `prints` (unique id, f0, f1, ...) at `radius` or fewer differing bits.
 
-    Fingerprints are cut into segments of `width` bits. Every row is indexed under each segment's
+    Fingerprints, or the first `indexed` numbers of them, are cut into segments of `width` bits. Every row is indexed under each segment's
     value, and looks up the Hamming ball of radius one around it: its own value, and those with one
     zero bit set (the pairs with one bit cleared are found from the other side). What meets in a
     bucket is verified by the whole distance. With n segments, all pairs up to 2 n - 1 bits meet.
@@ -85,7 +85,7 @@ def near_links(prints: DataFrame, width: int, radius: int, exact: bool = True) -
     segments, mask = 64 // width, (1 << width) - 1
     parts = [F.struct(F.lit(w * segments + i).alias("seg"),
                       F.shiftrightunsigned(F.col(n), i * width).bitwiseAND(F.lit(mask).cast("long")).alias("key"))
-             for w, n in enumerate(names) for i in range(segments)]
+             for w, n in enumerate(names[:indexed]) for i in range(segments)]
     index = prints.withColumn("s", F.explode(F.array(*parts))).select("s.*", "id", *names)
     flips = F.transform(F.filter(F.sequence(F.lit(0), F.lit(width - 1)),
                                  lambda b: F.expr("1L").bitwiseAND(F.call_function("shiftright", F.col("key"), b)) == 0),
@@ -159,18 +159,18 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
-                    similarity: float = 0.8, width: int = 16, radius: int = 26) -> DataFrame:
+                    similarity: float = 0.8, width: int = 16, radius: int = 46) -> DataFrame:
     """The rows of `docs` without all but one of each group of near copies; all columns stay.
 
     Two texts are linked when their sets of word shingles have a Jaccard similarity of at least
-    `similarity`. Candidates come from 128-bit fingerprints in segments of `width` bits that differ
-    in at most one bit of some segment and in `radius` bits in all; a fifth of the bits is what texts
-    of similarity 0.8 differ by, and a pair just at the limit is proposed with a chance of about nine
-    tenths, closer ones almost surely. Every proposed pair is verified exactly. Of each group the row
+    `similarity`. Candidates come from 256-bit fingerprints that differ in at most one bit of some
+    segment of `width` bits in the first half, and in `radius` bits in all. Texts of similarity 0.8
+    differ by 38 bits on average, so a pair just at the limit is proposed with a chance of nearly
+    nine tenths, closer ones almost surely. Every proposed pair is verified exactly. Of each group the row
     with the smallest id stays, rows with a null id last; equal rows count as copies. Texts without words are copies of each other.
     """
     ship(docs.sparkSession.sparkContext)
-    key = unused(docs, "key")
+    key, words = unused(docs, "key"), ["f0", "f1", "f2", "f3"]
     rows = docs.withColumn(key, F.xxhash64(F.lit(1), F.col(id_col), F.col(text_col)))
     last = F.lit(2**63 - 1)
     plain = rows.select(F.col(key).alias("key"), F.coalesce(F.col(id_col).cast("long"), last).alias("id"),
@@ -186,16 +186,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 text = text.as_py()
                 hashes = shingle_hashes(text, size)
                 digests.append(xxh3_64_intdigest(b" ".join((text or "").encode("utf-8", "replace").lower().split())))
-                prints.append([majority(remixed(hashes, i)) for i in (0, 1)])
-            values = np.array(prints, np.int64).reshape(-1, 2)
+                prints.append([majority(remixed(hashes, i)) for i in range(4)])
+            values = np.array(prints, np.int64).reshape(-1, 4)
             columns = [batch["key"], batch["id"], pa.array(np.array(digests, np.uint64).view(np.int64)), *map(pa.array, values.T)]
-            yield pa.RecordBatch.from_arrays(columns, names=["key", "id", "digest", "f0", "f1"])
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "id", "digest", *words])
         tidy()
 
-    prints = stored(plain.mapInArrow(run, "key long, id long, digest long, f0 long, f1 long"), "prints")
+    prints = stored(plain.mapInArrow(run, "key long, id long, digest long, f0 long, f1 long, f2 long, f3 long"), "prints")
     texts = stored(prints.groupBy("digest").agg(
-        F.min("id").alias("id"), F.min_by("key", F.struct("id", "key")).alias("key"), F.min("f0").alias("f0"), F.min("f1").alias("f1")), "texts")
-    links = near_links(texts.select(F.col("digest").alias("id"), "f0", "f1"), width, radius, exact=False)
+        F.min("id").alias("id"), F.min_by("key", F.struct("id", "key")).alias("key"), *[F.min(w).alias(w) for w in words]), "texts")
+    links = near_links(texts.select(F.col("digest").alias("id"), *words), width, radius, exact=False, indexed=2)
     links = stored(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
     ends = links.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
     wanted = stored(ends.join(texts, "digest").select("digest", "key"), "wanted")

@@ -47,8 +47,10 @@ def drop_redundant_pct(meta: DataFrame) -> DataFrame:
 def assign_names(meta: DataFrame) -> DataFrame:
     """Readable unique names: a later variable of the same name carries its id in brackets.
 
-    Estimates go before percentages, each by `position`.
+    Estimates go before percentages: estimates by `position`, their place in the header, percentages by `meta_position`,
+    their place in the metadata, where that is known.
     """
+    rank = F.coalesce("meta_position", "position") if "meta_position" in meta.columns else F.col("position")
     is_pe = L.classify(F.col("var_id")) == "PE"
     base = L.label_to_name(F.col("label"))
     named = meta.withColumn("name", F.when(is_pe, L.derived_name(base)).otherwise(base))
@@ -56,12 +58,11 @@ def assign_names(meta: DataFrame) -> DataFrame:
     # Two plain minima, which a hash aggregate can hold, instead of one over pairs.
     first = named.groupBy(*TABLE_YEAR, "name").agg(
         F.min(F.when(~pe, F.col("position"))).alias("_first"),
-        F.min(F.when(pe, F.col("position"))).alias("_first_pe"),
+        F.min(F.when(pe, rank)).alias("_first_pe"),
     )
     joined = lookup(named, first, [*TABLE_YEAR, "name"], spread_by=["var_id"])
-    is_first = F.col("position") == F.when(
-        pe, F.when(F.col("_first").isNull(), F.col("_first_pe"))
-    ).otherwise(F.col("_first"))
+    is_first = F.when(pe, F.col("_first").isNull() & (rank == F.col("_first_pe"))).otherwise(
+        F.col("position") == F.col("_first"))
     unique = F.when(is_first, F.col("name")).otherwise(F.concat("name", F.lit(" ("), "var_id", F.lit(")")))
     return joined.withColumn("name", unique).drop("_first", "_first_pe")
 

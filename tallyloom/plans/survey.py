@@ -22,7 +22,8 @@ def variables_in_use(rows: DataFrame, meta: DataFrame) -> DataFrame:
     The one pass over the rows behind it is written out at once: what follows reads the result
     several times.
     """
-    known = meta.select(*TABLE_YEAR, "var_id", "label", "pe_parent", "has_parent_entry")
+    place = ["meta_position"] if "meta_position" in meta.columns else []
+    known = meta.select(*TABLE_YEAR, "var_id", "label", "pe_parent", "has_parent_entry", *place)
     stats = H.variable_stats(rows).join(known, [*TABLE_YEAR, "var_id"], "inner")
     found = materialise(stats, "found")
     kind = classify(F.col("var_id"))

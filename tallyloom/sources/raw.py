@@ -151,11 +151,12 @@ def read_acs_meta(spark: SparkSession, paths: str | list[str], lines: bool = Fal
 
 
 def explode_meta(docs: DataFrame) -> DataFrame:
-    exploded = docs.select("table_id", "year", "pe_parents", F.explode("variables").alias("var_id", "v"))
+    exploded = docs.select("table_id", "year", "pe_parents", F.posexplode("variables").alias("meta_position", "var_id", "v"))
     return exploded.select(
         F.upper("table_id").alias("table_id"), "year", "var_id", F.col("v.label").alias("label"), F.col("v.concept").alias("concept"),
         F.try_element_at("pe_parents", F.col("var_id")).alias("pe_parent"),
         F.coalesce(F.map_contains_key("pe_parents", F.col("var_id")), F.lit(False)).alias("has_parent_entry"),
+        "meta_position",
     )
 
 

@@ -90,10 +90,12 @@ _DERIVED = r"""case when regexp_matches(name, '(?i)\bpercent\b')
     {_VARIABLES}, {name_steps('src', 'table_id, year, var_id, position')},
     d as (select *, case when var_id like '%PE' then {_DERIVED} else name end as base,
           var_id like '%PE' as pe from named),
-    r as (select *, row_number() over (partition by table_id, year, base order by pe, position) as nth from d)
+    r as (select *, row_number() over (partition by table_id, year, base order by pe, case when pe then -position else position end) as nth from d)
     select table_id, year, var_id, case when nth = 1 then base else base || ' (' || var_id || ')' end as name from r""")
 def p3(spark, sf):
-    return M.assign_names(variables(spark, sf)).select("table_id", "year", "var_id", "name")
+    """The metadata list variables in the reverse of the header's order."""
+    listed = variables(spark, sf).withColumn("meta_position", -F.col("position"))
+    return M.assign_names(listed).select("table_id", "year", "var_id", "name")
 
 
 @query("p4_derived_name", f"""

@@ -48,9 +48,9 @@ def s1(spark, sf):
 @query("s2_read_acs_meta", """
     select p_type as table_id, 2000 + p_size as year, v.* from part, lateral (
         select 'B' || p_partkey || '_001E' as var_id, 'Estimate!!' || p_name as label, p_brand as concept,
-            null as pe_parent, false as has_parent_entry
+            null as pe_parent, false as has_parent_entry, 0 as meta_position
         union all select 'B' || p_partkey || '_001PE', 'Percent!!' || p_name, p_brand,
-            case when p_partkey % 2 = 0 then 'B' || p_partkey || '_001E' end, true) v""")
+            case when p_partkey % 2 = 0 then 'B' || p_partkey || '_001E' end, true, 1) v""")
 def s2(spark, sf):
     part = table(spark, sf, "part")
     stem = F.concat(F.lit("B"), F.col("p_partkey").cast("string"))

@@ -116,9 +116,11 @@ def parser(samples: dict[str, bytes]) -> Parser:
 
 
 def normal(text: str) -> bytes:
-    """Lower case, every run of characters that are no letters as one space."""
+    """Lower case, every run of characters that are no letters as one space; empty without a letter."""
     import regex
 
+    if not regex.search(r"\p{L}", text):
+        return b""
     return regex.sub(r"[^\p{L}\p{M}]+", " ", text.lower()).strip().encode("utf-8", "replace")
 
 

@@ -106,12 +106,12 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
 
     def run(batches):
         for batch in batches:
-            yield pd.DataFrame({"id": batch["id"], "label": batch["label"], "counts": [counts(t).tolist() for t in batch["text"]]})
+            yield pd.DataFrame({"id": batch["id"], "label": batch["label"], "counts": [counts(t).tobytes() for t in batch["text"]]})
 
     kind = rows.schema["id"].dataType.simpleString()
     taught = rows.join(F.broadcast(chosen), "id").dropDuplicates(["id"])
-    found = taught.mapInPandas(run, f"id {kind}, label double, counts array<float>").orderBy("id").toPandas()
-    x = np.array(found["counts"].tolist(), np.float32).reshape(-1, FEATURES)
+    found = taught.mapInPandas(run, f"id {kind}, label double, counts binary").orderBy("id").toPandas()
+    x = np.frombuffer(b"".join(found["counts"]), np.float32).reshape(-1, FEATURES)
     return fit(x, found["label"].to_numpy(np.float32))
 
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -129,7 +131,7 @@ class Pieces:
                     found.extend(self.bytes[b] for b in reversed(piece.encode("utf-8", "replace")))
                 elif not found or found[-1] != self.unknown:
                     found.append(self.unknown)
-            self.known[word] = np.array(found[::-1], np.int32).tobytes()
+            self.known[word] = array("i", found[::-1]).tobytes()
             before = word
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -187,7 +189,9 @@ def with_text(docs: DataFrame, model: bytes, ids_col: str = "ids", into: str = "
         for batch in batches:
             for at in range(0, len(batch), STEP):
                 part = batch.slice(at, STEP)
-                found = [pieces(shared.value).decode(ids or []) for ids in part[ids_col].to_pylist()]
+                ids = part[ids_col].fill_null([])
+                ends, flat = np.cumsum(pc.list_value_length(ids).to_numpy(zero_copy_only=False)), ids.flatten().to_numpy(zero_copy_only=False)
+                found = [pieces(shared.value).decode(flat[a:z].tolist()) for a, z in zip(np.append(0, ends[:-1]), ends)]
                 kept = part.drop_columns([into]) if into in part.schema.names else part
                 yield kept.append_column(into, pa.array(found, pa.string()))
 

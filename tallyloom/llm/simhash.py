@@ -163,7 +163,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The rows of `docs` without all but one of each group of near copies; all columns stay.
 
     Two texts are linked when their sets of word shingles have a Jaccard similarity of at least
-    `similarity`. Candidates come from 256-bit fingerprints that differ in at most one bit of some
+    `similarity`. Candidates come from 256-bit fingerprints of those sets that differ in at most one bit of some
     segment of `width` bits in the first half, and in `radius` bits in all. Texts of similarity 0.8
     differ by 38 bits on average, so a pair just at the limit is proposed with a chance of nearly
     nine tenths, closer ones almost surely. Every proposed pair is verified exactly. Of each group the row
@@ -184,7 +184,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             digests, prints = [], []
             for text in batch["text"]:
                 text = text.as_py()
-                hashes = shingle_hashes(text, size)
+                hashes = np.unique(shingle_hashes(text, size))
                 digests.append(xxh3_64_intdigest(b" ".join((text or "").encode("utf-8", "replace").lower().split())))
                 prints.append([majority(remixed(hashes, i)) for i in range(4)])
             values = np.array(prints, np.int64).reshape(-1, 4)

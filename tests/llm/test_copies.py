@@ -91,6 +91,13 @@ def test_near_copies(spark, odd):
     assert sorted(ids) == sorted({i for i in every if i is not None} - gone)
 
 
+def test_near_copies_but_for_a_repeated_line(spark):
+    """Jaccard 0.95 on distinct shingles; with repeats the line would make up half of one fingerprint."""
+    text, line = prose(510, 300), prose(511, 12)
+    df = spark.createDataFrame([(1, text), (2, text + (" " + line) * 20), (3, prose(512, 300))], "doc_id long, text string")
+    assert sorted(r.doc_id for r in near_duplicates(df).collect()) == [1, 3]
+
+
 def brute_repeats(rows, window=35):
     texts = [(t or "").encode().split() for _, t in rows]
     seen = Counter(tuple(t[i:i + window]) for t in texts for i in range(len(t) - window + 1))

@@ -12,6 +12,9 @@ from tallyloom.llm.common import HOME, PROBE, buckets, components, forest, held,
 
 MOST = 1 << 13  # index rows of a bucket that one task holds
 PAIRS = 1 << 21  # distances computed at once
+CROWD = 512  # texts of a crowd that one task holds, twice
+BANDS, ROWS = 24, 4  # keys of a text, and minima that make a key
+FACTORS = np.random.default_rng(11).integers(0, 2**63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def shingle_hashes(text: str | None, size: int) -> np.ndarray:
@@ -69,70 +72,109 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, size: int, bits: i
     return rows.mapInArrow(run, "id long, " + ", ".join(f"{n} long" for n in names))
 
 
-def near_links(prints: DataFrame, width: int, radius: int, exact: bool = True, indexed: int | None = None) -> DataFrame:
+def minima(hashes: np.ndarray) -> np.ndarray:
+    """A key per band: the digest of the smallest of the hashes under each of its ROWS multipliers."""
+    least = np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
+    for at in range(0, len(hashes), 1 << 10):
+        least = np.minimum(least, (FACTORS[:, None] * hashes[None, at:at + (1 << 10)]).min(1))
+    key = np.zeros(BANDS, np.uint64)
+    for column in least.reshape(BANDS, ROWS).T:
+        key = remixed(key ^ column, 1)
+    return key.view(np.int64)
+
+
+def near_links(prints: DataFrame, width: int, radius: int) -> DataFrame:
     """Links a, b between rows of `prints` (unique id, f0, f1, ...) at `radius` or fewer differing bits.
 
-    Fingerprints, or the first `indexed` numbers of them, are cut into segments of `width` bits. Every row is indexed under each segment's
+    Fingerprints are cut into segments of `width` bits. Every row is indexed under each segment's
     value, and looks up the Hamming ball of radius one around it: its own value, and those with one
     zero bit set (the pairs with one bit cleared are found from the other side). What meets in a
     bucket is verified by the whole distance. With n segments, all pairs up to 2 n - 1 bits meet.
 
-    Buckets are walked in tiles of bounded size and send out no pairs but a spanning forest: with
-    `exact`, stars with the components of all verified links; else each row's nearest verified
-    partner and its nearest one with a smaller id, which are true pairs.
+    Buckets are walked in tiles of bounded size and send out no pairs but a spanning forest: stars
+    with the components of all verified links.
     """
     names = [c for c in prints.columns if c != "id"]
     segments, mask = 64 // width, (1 << width) - 1
     parts = [F.struct(F.lit(w * segments + i).alias("seg"),
                       F.shiftrightunsigned(F.col(n), i * width).bitwiseAND(F.lit(mask).cast("long")).alias("key"))
-             for w, n in enumerate(names[:indexed]) for i in range(segments)]
+             for w, n in enumerate(names) for i in range(segments)]
     index = prints.withColumn("s", F.explode(F.array(*parts))).select("s.*", "id", *names)
     flips = F.transform(F.filter(F.sequence(F.lit(0), F.lit(width - 1)),
                                  lambda b: F.expr("1L").bitwiseAND(F.call_function("shiftright", F.col("key"), b)) == 0),
                         lambda b: F.col("key").bitwiseOR(F.call_function("shiftleft", F.expr("1L"), b)))
     probes = index.withColumn("key", F.explode(flips))
-    rows = tiles(index, probes, ["seg", "key"], "id", MOST)
     keys = ["seg", "key", "tile"]
 
     def run(batches):
         for batch in buckets(batches, keys):
-            code = batch[keys].to_numpy()
-            first = np.concatenate([[True], (code[1:] != code[:-1]).any(1)])
-            begin = np.flatnonzero(first)[np.cumsum(first) - 1]
-            role, ids = batch["role"].to_numpy(), batch["id"].to_numpy()
+            ids, found = batch["id"].to_numpy(), []
+            for left, right, _ in close(batch, keys, names, radius):
+                one, two = forest(ids[left], ids[right])
+                found.append(pd.DataFrame({"a": one, "b": two}))
+            if found:
+                yield pd.concat(found, ignore_index=True)
+        tidy()
+
+    rows = tiles(index, probes, ["seg", "key"], "id", MOST).repartition(*keys).sortWithinPartitions(*keys, "role")
+    return rows.mapInPandas(run, "a long, b long").distinct()
+
+
+def close(batch: pd.DataFrame, keys: list[str], names: list[str], radius: int):
+    """Pairs due in the tiles of `batch` (sorted by `keys` and role) within the radius: row numbers and distances, in parts."""
+    code = batch[keys].to_numpy()
+    first = np.concatenate([[True], (code[1:] != code[:-1]).any(1)])
+    begin = np.flatnonzero(first)[np.cumsum(first) - 1]
+    role, ids = batch["role"].to_numpy(), batch["id"].to_numpy()
+    words = batch[names].to_numpy().view(np.uint64)
+    inside = np.cumsum(role != PROBE)
+    indexed = inside - inside[begin] + (role[begin] != PROBE)
+    place = np.arange(len(role)) - begin
+    count = np.where(role == PROBE, indexed, np.where(role == HOME, place, 0))
+    for low, high in spans(count, PAIRS):
+        n = count[low:high]
+        left = np.repeat(np.arange(low, high), n)
+        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        right = begin[left] + step
+        apart = np.bitwise_count(words[left] ^ words[right]).sum(1, dtype=np.int64)
+        good = (apart <= radius) & (ids[left] != ids[right])
+        if good.any():
+            yield left[good], right[good], apart[good]
+
+
+def proposed(texts: DataFrame, names: list[str], radius: int) -> DataFrame:
+    """Columns a < b, apart: of all pairs that share a band and lie within the radius, a forest and each row's nearest ones.
+
+    The forest has the components of all these pairs. The nearest partner of a row and its nearest
+    one with a smaller id are those that most likely are near copies.
+    """
+    index = texts.select(F.posexplode("bands").alias("seg", "key"), "id", *names)
+    keys = ["seg", "key", "tile"]
+
+    def run(batches):
+        for batch in buckets(batches, keys):
+            ids, found = batch["id"].to_numpy(), []
             words = batch[names].to_numpy().view(np.uint64)
-            inside = np.cumsum(role != PROBE)
-            indexed = inside - inside[begin] + (role[begin] != PROBE)
-            place = np.arange(len(role)) - begin
-            count = np.where(role == PROBE, indexed, np.where(role == HOME, place, 0))
-            found = []
-            for low, high in spans(count, PAIRS):
-                n = count[low:high]
-                left = np.repeat(np.arange(low, high), n)
-                step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                right = begin[left] + step
-                apart = np.bitwise_count(words[left] ^ words[right]).sum(1, dtype=np.int64)
-                good = (apart <= radius) & (ids[left] != ids[right])
-                if good.any():
-                    one, two = ids[left[good]], ids[right[good]]
-                    if exact:
-                        one, two = forest(one, two)
-                        found.append(pd.DataFrame({"a": one, "b": two}))
-                    else:
-                        found.append(nearest(one, two, apart[good]))
+            for left, right, apart in close(batch, keys, names, radius):
+                hub, at = np.unique(ids[np.concatenate([left, right])], return_index=True)
+                row = np.concatenate([left, right])[at]
+                one, two = (row[np.searchsorted(hub, x)] for x in forest(ids[left], ids[right]))
+                far = np.bitwise_count(words[one] ^ words[two]).sum(1, dtype=np.int64)
+                found += [pd.DataFrame({"a": ids[one], "b": ids[two], "apart": far}), nearest(ids[left], ids[right], apart)]
             if found:
                 yield pd.concat(found, ignore_index=True)
         tidy()
 
-    sorted_rows = rows.repartition(*keys).sortWithinPartitions(*keys, "role")
-    return sorted_rows.mapInPandas(run, "a long, b long").distinct()
+    rows = tiles(index, None, ["seg", "key"], "id", MOST).repartition(*keys).sortWithinPartitions(*keys, "role")
+    found = rows.mapInPandas(run, "a long, b long, apart long")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "apart").distinct()
 
 
 def nearest(one: np.ndarray, two: np.ndarray, apart: np.ndarray) -> pd.DataFrame:
     both = pd.DataFrame({"a": np.concatenate([one, two]), "b": np.concatenate([two, one]),
                          "apart": np.concatenate([apart, apart])}).sort_values(["a", "apart", "b"])
     kept = [both.drop_duplicates("a"), both[both["b"] < both["a"]].drop_duplicates("a")]
-    return pd.concat(kept)[["a", "b"]]
+    return pd.concat(kept)
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3,
@@ -158,15 +200,62 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return prints.join(named, "f0").select("id", digits.alias("fingerprint"), "component")
 
 
+def alike(one: np.ndarray, two: np.ndarray, similarity: float) -> bool:
+    """Whether two sorted sets of hashes have at least this Jaccard similarity."""
+    if min(len(one), len(two)) < similarity * max(len(one), len(two)):
+        return False
+    common = len(np.intersect1d(one, two, assume_unique=True))
+    return common >= similarity * (len(one) + len(two) - common)
+
+
+def crowded(members: DataFrame, names: list[str], size: int, similarity: float, radius: int) -> DataFrame:
+    """Links a, b that join different values of `part` within a crowd (columns crowd, part, id, text, f0, ...).
+
+    In tiles all pairs within the radius are verified by their sets of shingles, a text against all
+    of its tile at once. Only a forest of verified pairs is sent out.
+    """
+    keys = ["crowd", "tile"]
+
+    def run(batches):
+        for batch in buckets(batches, keys):
+            for _, tile in batch.groupby(keys, sort=False):
+                tile = tile.reset_index(drop=True)
+                ids, part = tile["id"].to_numpy(), tile["part"].to_numpy()
+                sets = [np.unique(shingle_hashes(t, size)) for t in tile["text"]]
+                count = np.array([len(x) for x in sets])
+                begin = np.cumsum(count) - count
+                known, codes = np.unique(np.concatenate(sets), return_inverse=True)
+                mark = np.zeros(len(known), bool)
+                for left, right, _ in close(tile, keys, names, radius):
+                    new = part[left] != part[right]
+                    left, right, found = left[new], right[new], []
+                    each, first = np.unique(left, return_index=True)
+                    for i, low, high in zip(each.tolist(), first.tolist(), [*first[1:].tolist(), len(left)]):
+                        own = codes[begin[i]:begin[i] + count[i]]
+                        mark[own] = True
+                        common = np.add.reduceat(mark[codes], begin, dtype=np.int64)[right[low:high]]
+                        mark[own] = False
+                        found.append(common >= similarity * (count[i] + count[right[low:high]] - common))
+                    if found and (good := np.concatenate(found)).any():
+                        one, two = forest(ids[left[good]], ids[right[good]])
+                        yield pd.DataFrame({"a": one, "b": two})
+        tidy()
+
+    rows = tiles(members, None, ["crowd"], "id", CROWD).repartition(*keys).sortWithinPartitions(*keys, "role")
+    return rows.mapInPandas(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
-                    similarity: float = 0.8, width: int = 16, radius: int = 46) -> DataFrame:
+                    similarity: float = 0.8, radius: int = 76) -> DataFrame:
     """The rows of `docs` without all but one of each group of near copies; all columns stay.
 
     Two texts are linked when their sets of word shingles have a Jaccard similarity of at least
-    `similarity`. Candidates come from 256-bit fingerprints of those sets that differ in at most one bit of some
-    segment of `width` bits in the first half, and in `radius` bits in all. Texts of similarity 0.8
-    differ by 38 bits on average, so a pair just at the limit is proposed with a chance of nearly
-    nine tenths, closer ones almost surely. Every proposed pair is verified exactly. Of each group the row
+    `similarity`. Candidates share one of 24 keys, each of four minima over the set, and the 256-bit
+    fingerprints of their sets differ in at most `radius` bits. Sets of similarity 0.8 share no key
+    with a chance of 3 in a million, and differ by 39 bits on average, short ones by up to 48 with a
+    deviation of 6. Candidates form crowds. The nearest partners are verified first; where
+    that leaves a crowd in several parts, all pairs of its texts within the radius and of different
+    parts are verified. Every link is verified exactly. Of each group the row
     with the smallest id stays, rows with a null id last; equal rows count as copies. Texts without words are copies of each other.
     """
     ship(docs.sparkSession.sparkContext)
@@ -181,22 +270,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
         held("near copies", dict)
         for batch in batches:
-            digests, prints = [], []
+            digests, prints, bands = [], [], []
             for text in batch["text"]:
                 text = text.as_py()
                 hashes = np.unique(shingle_hashes(text, size))
                 digests.append(xxh3_64_intdigest(b" ".join((text or "").encode("utf-8", "replace").lower().split())))
                 prints.append([majority(remixed(hashes, i)) for i in range(4)])
+                bands.append(minima(hashes))
             values = np.array(prints, np.int64).reshape(-1, 4)
-            columns = [batch["key"], batch["id"], pa.array(np.array(digests, np.uint64).view(np.int64)), *map(pa.array, values.T)]
-            yield pa.RecordBatch.from_arrays(columns, names=["key", "id", "digest", *words])
+            columns = [batch["key"], batch["id"], pa.array(np.array(digests, np.uint64).view(np.int64)), *map(pa.array, values.T),
+                       pa.array(bands, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "id", "digest", *words, "bands"])
         tidy()
 
-    prints = stored(plain.mapInArrow(run, "key long, id long, digest long, f0 long, f1 long, f2 long, f3 long"), "prints")
+    prints = stored(plain.mapInArrow(run, "key long, id long, digest long, f0 long, f1 long, f2 long, f3 long, bands array<long>"), "prints")
     texts = stored(prints.groupBy("digest").agg(
-        F.min("id").alias("id"), F.min_by("key", F.struct("id", "key")).alias("key"), *[F.min(w).alias(w) for w in words]), "texts")
-    links = near_links(texts.select(F.col("digest").alias("id"), *words), width, radius, exact=False, indexed=2)
-    links = stored(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+        F.min("id").alias("id"), F.min_by("key", F.struct("id", "key")).alias("key"), *[F.min(w).alias(w) for w in words],
+        F.min("bands").alias("bands")), "texts")
+    links = stored(proposed(texts.select(F.col("digest").alias("id"), *words, "bands"), words, radius), "links")
     ends = links.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
     wanted = stored(ends.join(texts, "digest").select("digest", "key"), "wanted")
     bodies = stored(plain.select("key", "text").join(light(wanted), "key").groupBy("digest").agg(F.min("text").alias("text")), "held")
@@ -207,15 +298,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             for one, two in zip(batch["one"].to_pylist(), batch["two"].to_pylist()):
                 if one != last_text:
                     last_text, last_set = one, np.unique(shingle_hashes(one, size))
-                other = np.unique(shingle_hashes(two, size))
-                common = len(np.intersect1d(last_set, other, assume_unique=True))
-                good.append(common >= similarity * (len(last_set) + len(other) - common))
+                good.append(alike(last_set, np.unique(shingle_hashes(two, size)), similarity))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
         tidy()
 
-    pairs = links.join(bodies.select(F.col("digest").alias("a"), F.col("text").alias("one")), "a")
+    both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"), "apart"))
+    first, lower = F.struct("apart", "b"), F.when(F.col("b") < F.col("a"), F.struct("apart", "b"))
+    close_by = both.groupBy("a").agg(F.array_distinct(F.array_compact(F.array(F.min(first)["b"], F.min(lower)["b"]))).alias("b"))
+    pairs = close_by.select("a", F.explode("b").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = pairs.join(bodies.select(F.col("digest").alias("a"), F.col("text").alias("one")), "a")
     pairs = pairs.join(bodies.select(F.col("digest").alias("b"), F.col("text").alias("two")), "b")
-    roots = components(pairs.select("a", "b", "one", "two").mapInArrow(verify, "a long, b long"))
+    sure = stored(pairs.select("a", "b", "one", "two").mapInArrow(verify, "a long, b long"), "sure")
+    crowds = components(links.select("a", "b")).select("v", F.col("root").alias("crowd"))
+    split = crowds.join(components(sure).select("v", F.col("root").alias("part")), "v", "left")
+    split = stored(split.select("v", "crowd", F.coalesce("part", "v").alias("part")), "crowds")
+    torn = stored(split.groupBy("crowd").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+                  .where("low < high").select("crowd"), "torn")
+    members = split.join(light(torn), "crowd").withColumnRenamed("v", "digest")
+    members = members.join(texts.select("digest", *words), "digest").join(bodies, "digest").withColumnRenamed("digest", "id")
+    more = crowded(stored(members, "members"), words, size, similarity, radius)
+    roots = components(sure.unionAll(more))
     grouped = texts.join(roots, texts["digest"] == roots["v"], "left").withColumn("root", F.coalesce("root", "digest"))
     stay = grouped.groupBy("root").agg(F.min_by("key", F.struct("id", "key")).alias("key")).select("key")
     counts = prints.groupBy("key").count()

@@ -98,6 +98,33 @@ def test_near_copies_but_for_a_repeated_line(spark):
     assert sorted(r.doc_id for r in near_duplicates(df).collect()) == [1, 3]
 
 
+def template_crowd(count, words=80):
+    """Texts with a few words of one template replaced, so that similarities lie on both sides of 0.8."""
+    rng = np.random.default_rng(8)
+    base = prose(520, words).split()
+    out = []
+    for k in range(count):
+        own = list(base)
+        for at in rng.choice(words, rng.integers(1, 3), replace=False):
+            own[at] = f"own{k}x{at}"
+        out.append(" ".join(own))
+    return out
+
+
+def test_near_copies_equal_brute_force(spark, monkeypatch):
+    """Around 0.8, in crowds whose nearest pairs fail, also where a crowd takes many tiles; short texts too."""
+    texts = template_crowd(150) + template_crowd(60, 40)
+    for k in range(40):  # four shingles of five
+        short = prose(600 + k, 9).split()
+        texts += [" ".join(short), " ".join(short[:8])]
+    sets = [set(shingles(t, 5)) for t in texts]
+    root = groups(sets, lambda a, b: len(a & b) >= 0.8 * len(a | b))
+    assert 80 < len(set(root)) < len(texts) - 60
+    monkeypatch.setattr("tallyloom.llm.simhash.CROWD", 32)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert sorted(r.doc_id for r in near_duplicates(df).collect()) == sorted(set(root))
+
+
 def brute_repeats(rows, window=35):
     texts = [(t or "").encode().split() for _, t in rows]
     seen = Counter(tuple(t[i:i + window]) for t in texts for i in range(len(t) - window + 1))

@@ -24,7 +24,7 @@ NAMES = [
     ("afl", "afl(?: [123] [0-9])?", "academic free license(?: version| v)?(?: [123] [0-9])?", "academic"),
     ("agpl-3.0", "agpl 3 0(?: only| or later)?", "(?:gnu )?affero general public license(?: (?:version )?3(?: 0)?)?", "affero"),
     ("apache-1.1", "apache 1 1", "apache software license(?: version)? 1 1", "apache"),
-    ("apache-2.0", "apache 2 0", "apache (?:software )?license(?: version| v)? 2(?: 0)?", "apache"),
+    ("apache-2.0", "apache 2 0", "apache (?:software )?license(?:(?: version| v) ?| )2(?: 0)?", "apache"),
     ("apsl", "apsl(?: [12] [0-9])?", "apple public source license", "apple"),
     ("artistic-1.0", "artistic 1 0(?: perl)?", "artistic license(?: version)? 1 0", "artistic"),
     ("artistic-2.0", "artistic 2 0", "artistic license(?: version)?(?: 2 0)?", "artistic"),
@@ -65,7 +65,7 @@ NAMES = [
     ("lppl", "lppl 1 [0-3][ac]?", "latex project public license", "latex"),
     ("mit-0", "mit 0", "mit no attribution(?: license)?", "mit"),
     ("mit", "mit", "mit(?: x11)? licen[cs]e|expat licen[cs]e", "mit|expat"),
-    ("mpl-1.1", "mpl 1 1", "mozilla public license(?: version| v)? 1 1", "mozilla"),
+    ("mpl-1.1", "mpl 1 1", "mozilla public license(?:(?: version| v) ?| )1 1", "mozilla"),
     ("mpl-2.0", "mpl 2 0", "mozilla public license(?: version| v)?(?: 2 0)?", "mozilla"),
     ("ms-pl", "ms pl", "microsoft public license", "microsoft"),
     ("ms-rl", "ms rl", "microsoft reciprocal license", "microsoft"),
@@ -117,14 +117,17 @@ TEXTS = [
 
 
 def rules() -> list[tuple[int, int, str, str, str, float]]:
-    """Rule number, priority, label, pattern, word and confidence, in the order in which rules win."""
+    """Rule number, priority, label, pattern, word and confidence, in the order in which rules win.
+
+    Between two words stand two blanks; an optional blank of a rule stands for both or none.
+    """
     found = []
     for priority, sure, frame, word in FRAMES:
         for label, identifier, name, own in NAMES:
             found.append((priority, label, frame.format(id=identifier, name=name), word or own, sure))
     found += [(3, label, text, word, sure) for label, text, word, sure in TEXTS]
     found.sort(key=lambda r: r[0])
-    return [(i, p, label, f" (?:{text}) ".replace(" ", "  ")[1:-1], word, sure) for i, (p, label, text, word, sure) in enumerate(found)]
+    return [(i, p, label, f" (?:{text}) ".replace(" ?", "(?: )?").replace(" ", "  ")[1:-1], word, sure) for i, (p, label, text, word, sure) in enumerate(found)]
 
 
 def words_of(text):

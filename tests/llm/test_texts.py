@@ -176,6 +176,23 @@ def test_rules_and_suppression(spark):
     assert licenses.scan(df.where("false")).collect() == []
 
 
+@pytest.mark.parametrize("one, two", [
+    ("Creative Commons Attribution-NonCommercial-ShareAlike 4.0", "creative commons attribution non commercial share alike 4 0"),
+    ("CC BY-NonCommercial-NoDerivs", "cc by non commercial no derivs"), ("GNU GPL v3", "gnu gpl v 3"), ("GNU LGPL v2.1", "gnu lgpl v 2.1"),
+    ("the General Public License version2", "general public license version 2"), ("beerware license", "beer ware license"),
+    ("Apache License v2.0", "apache license v 2.0"), ("Mozilla Public License v1.1", "mozilla public license v 1.1"),
+])
+def test_words_written_as_one(spark, one, two):
+    want = {"creative": "cc-by-nc-sa", "cc": "cc-by-nc-nd", "gnu gpl": "gpl-3.0", "gnu lgpl": "lgpl-2.1", "general": "gpl-2.0", "beer": "beerware",
+            "apache": "apache-2.0", "mozilla": "mpl-1.1"}
+    rows = licenses.scan(spark.createDataFrame([(1, one), (2, two)], "doc_id long, text string")).collect()
+    base = {"cc by", "apache license"}
+    (label,) = [v for k, v in want.items() if two.startswith(k)]
+    for r in rows:
+        assert set(r.labels.split(",")) - set(r.base_labels.split(",")) == {label}, r
+        assert bool(r.base_labels) == any(b in two for b in base)
+
+
 def test_every_rule_has_its_words():
     found = licenses.rules()
     assert len(found) > 300 and all(word for *_, word, _ in found)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tallyloom.llm.common import light, ship, stored, table
 
-MANY = 4  # pages of a host at least that make a subtree part of its template
+MANY = 4  # distinct pages of a host at least that make a subtree part of its template
 SHARE = 0.1  # and that part of the host's pages
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -132,13 +132,25 @@ def marks(html: str | None) -> list[int]:
     return sorted({n.mark for n in nodes(root, lambda n: n.tag == "article") if n.parts and n.tag not in ("article", "html", "body")})
 
 
+def page_marks(html: str | None) -> tuple[int, list[int]]:
+    """A digest of the page's main text, which copies share, and its marks."""
+    from xxhash import xxh3_64_intdigest
+
+    return xxh3_64_intdigest(main_text(html, frozenset()).encode("utf-8", "replace")) - 2**63, marks(html)
+
+
 def main_text(html: str | None, template: frozenset) -> str:
     """Blocks of the main text, joined by blank lines.
 
     Subtrees whose digest is in `template` go, outside of articles; so do elements that their tag,
     role or names tell to be no text. The text is what is left of the articles, else of the main
-    element, else of the page.
+    element, else of the page. Where the template would leave nothing of a text, it is not applied.
     """
+    text = chosen_text(html, template)
+    return text if text or not template else chosen_text(html, frozenset())
+
+
+def chosen_text(html: str | None, template: frozenset) -> str:
     root = Tree(html or "").root
     def gone(node):
         return aside(node, True) or node.mark in template and node.tag != "article"
@@ -183,19 +195,22 @@ def host(url):
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """Columns host, template: digests of subtrees that stand on many pages of the host.
+    """Columns host, template: digests of subtrees that stand on many distinct pages of the host.
 
-    Sums are folded before the shuffle, so a host with most of the pages is no heavy task. As a
-    page has few elements and a template's stand on a tenth of the pages, a host's list is short.
+    Pages of the same main text are one page. Copies and sums are folded before the shuffle, so a host with
+    most of the pages is no heavy task. As a page has few elements and a template's stand on a tenth
+    of the pages, a host's list is short.
     """
     def run(batches):
         for batch in batches:
-            found = [marks(h.as_py()) for h in batch["html"]]
-            yield pa.RecordBatch.from_arrays([batch["host"], pa.array(found, pa.list_(pa.int64()))], names=["host", "marks"])
-
-    sized = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    seen = pages.select("host", "html").mapInArrow(run, "host string, marks array<long>")
-    counted = seen.select("host", F.explode("marks").alias("mark")).groupBy("host", "mark").agg(F.count(F.lit(1)).alias("n"))
+            found = [page_marks(h.as_py()) for h in batch["html"]]
+            columns = [batch["host"], pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["host", "page", "marks"])
+
+    seen = stored(pages.select("host", "html").mapInArrow(run, "host string, page long, marks array<long>").distinct(), "marks")
+    sized = seen.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    each = seen.select("host", "page", F.explode("marks").alias("mark")).distinct()
+    counted = each.groupBy("host", "mark").agg(F.count(F.lit(1)).alias("n"))
     common = counted.where(F.col("n") >= MANY).join(sized, "host").where(F.col("n") >= SHARE * F.col("pages"))
     return common.groupBy("host").agg(F.collect_list("mark").alias("template"))
 

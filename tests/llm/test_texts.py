@@ -222,6 +222,16 @@ def test_main_text(spark):
     assert pages.extract(df.where("false")).collect() == []
 
 
+def test_copies_make_no_template(spark):
+    story = "<p>First of the story</p><p>Second of it</p>"
+    rows = [(i, "http://a.example/", f"<body><div class='x'>{story}</div></body>") for i in range(5)]  # copies
+    rows += [(10 + i, "http://b.example/", f"<body><nav>{i}</nav><main>{story}</main></body>") for i in range(5)]  # mirrors
+    rows += [(20 + i, "http://c.example/", f"<body><p>Same</p><p>{'Same' if i < 4 else i}</p></body>") for i in range(9)]
+    found = {r.id: r.text for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(found[i] == found[10 + i] == "First of the story\n\nSecond of it" for i in range(5))
+    assert found[20] == "Same\n\nSame" and found[28] == "8"  # a page of template alone keeps it
+
+
 def test_given_pages(spark):
     import html as entities
     import re

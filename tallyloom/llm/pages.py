@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -33,18 +32,24 @@ NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice"
     " notices alert popup modal overlay newsletter subscribe subscription signup login menu nav navbar navigation breadcrumb breadcrumbs"
     " pagination pager sidebar footer copyright comment comments commentlist respond disqus replies share sharing social related"
-    " recommended widget toolbar skip".split())
-OUTER_NAMES = frozenset("header masthead topbar".split())  # of the site, but of the text within an article
+    " recommended widget toolbar skip ad-slot ad-banner ad-container cookie-banner cookie-notice cookie-consent main-nav site-nav main-menu"
+    " nav-menu nav-bar site-footer page-footer main-footer left-sidebar right-sidebar sidebar-left sidebar-right social-links social-share"
+    " share-buttons sharing-buttons share-links related-posts related-articles related-links comment-list comments-area comments-section"
+    " newsletter-signup skip-link".split())
+INNER_NAMES = NAMES - frozenset("social notice notices promotion alert".split())  # words of an article's own parts
+OUTER_NAMES = frozenset("header masthead topbar site-header page-header main-header".split())  # of the site, but of the text within an article
 
 
 class Node:
-    __slots__ = ("tag", "names", "role", "parts", "children", "mark")
+    __slots__ = ("tag", "names", "role", "parts", "children", "mark", "size", "story")
 
     def __init__(self, tag: str, names: frozenset, role: str):
         self.tag, self.names, self.role = tag, names, role
         self.parts: list[str] = []  # what the mark is a digest of
         self.children: list = []  # texts and nodes, in order
         self.mark = 0
+        self.size = 0  # characters of text within
+        self.story = tag in ("html", "body", "main", "article") or role == "main"  # or holds one
 
 
 class Tree(HTMLParser):
@@ -70,6 +75,9 @@ class Tree(HTMLParser):
         node.mark = xxh3_64_intdigest(said.encode("utf-8", "replace")) - 2**63
         if self.open:
             self.open[-1].parts.append(str(node.mark))
+            if node.tag not in NO_TEXT:
+                self.open[-1].size += node.size
+                self.open[-1].story |= node.story
 
     def end(self, tags, limit) -> None:
         for k in range(len(self.open) - 1, 0, -1):
@@ -86,7 +94,7 @@ class Tree(HTMLParser):
         if tag in ENDS:
             self.end(*ENDS[tag])
         said = dict(attrs)
-        names = frozenset(re.split(r"[^a-z0-9]+", f"{said.get('class') or ''} {said.get('id') or ''}".lower())) - {""}
+        names = frozenset(f"{said.get('class') or ''} {said.get('id') or ''}".lower().replace("_", "-").split())
         node = Node(tag, names, (said.get("role") or "").strip().lower())
         self.open[-1].children.append(node)
         self.open.append(node)
@@ -106,6 +114,7 @@ class Tree(HTMLParser):
         self.open[-1].children.append(data)
         if text := " ".join(data.split()):
             self.open[-1].parts.append(text)
+            self.open[-1].size += len(text)
 
 
 def nodes(root: Node, stop=lambda node: False):
@@ -120,10 +129,16 @@ def nodes(root: Node, stop=lambda node: False):
         stack.extend(c for c in reversed(node.children) if isinstance(c, Node))
 
 
-def aside(node: Node, outer: bool) -> bool:
-    """Whether an element is no part of a text by its tag, role or names."""
-    return (node.tag in NO_TEXT or node.role in ROLES or bool(node.names & NAMES)
-            or outer and (node.tag == "header" or bool(node.names & OUTER_NAMES)))
+def aside(node: Node, outer: bool, whole: int = 0) -> bool:
+    """Whether an element is no part of a text by its tag, role or names, which are whole values of class and id.
+
+    Names tell nothing of elements that hold an article or over half of the page's `whole` text.
+    """
+    if node.tag in NO_TEXT or node.role in ROLES or outer and node.tag == "header":
+        return True
+    if outer:
+        return not node.story and 2 * node.size <= whole and bool(node.names & (NAMES | OUTER_NAMES))
+    return bool(node.names & INNER_NAMES)
 
 
 def marks(html: str | None) -> list[int]:
@@ -153,7 +168,7 @@ def main_text(html: str | None, template: frozenset) -> str:
 def chosen_text(html: str | None, template: frozenset) -> str:
     root = Tree(html or "").root
     def gone(node):
-        return aside(node, True) or node.mark in template and node.tag != "article"
+        return aside(node, True, root.size) or node.mark in template and node.tag != "article"
     left = [n for n in nodes(root, lambda n: gone(n) or n.tag == "article") if not gone(n)]
     chosen = [n for n in left if n.tag == "article"]
     if not chosen:

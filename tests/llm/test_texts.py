@@ -232,6 +232,20 @@ def test_copies_make_no_template(spark):
     assert found[20] == "Same\n\nSame" and found[28] == "8"  # a page of template alone keeps it
 
 
+@pytest.mark.parametrize("html, want", [
+    ("<body class='has-sidebar'><p>Text</p><div class='sidebar'>side</div></body>", "Text"),
+    ("<body class='menu'><main class='sidebar'><p>Text</p></main><div class='ad box'>buy</div></body>", "Text"),
+    ("<div class='content no-comments'><p>Text</p></div>", "Text"),
+    ("<div id='menu-page'><p>Text</p></div>", "Text"),
+    ("<div class='article related'><p>A longer text</p></div><div class=related>more</div>", "A longer text"),
+    ("<div class='related'><article><p>Text</p></article></div>", "Text"),
+    ("<article><p class='social'>A</p><p class=notice>B</p><p class='share-price'>C</p><p class=promotion>D</p><div class=comments>x</div></article>",
+     "A\n\nB\n\nC\n\nD"),
+])
+def test_names_of_wrappers(html, want):
+    assert pages.main_text(html, frozenset()) == want
+
+
 def test_given_pages(spark):
     import html as entities
     import re

@@ -34,18 +34,25 @@ class Graph:
 
     def __init__(self, points: np.ndarray, out: np.ndarray | None = None, entry: int | None = None):
         self.points = points
-        self.level = float((points[0].astype(np.float64) ** 2).sum()) if len(points) else 0.0
         self.out = np.full((len(points), ROOM), -1, np.int32) if out is None else out
         self.entry = int(np.argmax(points @ points.mean(0))) if entry is None else entry
 
-    def search(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """Greedy beam search for all queries in step: vertices and their distances, nearest first."""
+    def search(self, queries: np.ndarray, beam: int, inner: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Greedy beam search for all queries in step: vertices and their distances, nearest first.
+
+        Distances are squared differences, or with `inner` products with the sign changed. Neither
+        takes a difference of numbers as large as the longest vector, which would round nearness away.
+        """
+        def away_from(asked, points):
+            apart = asked - points
+            return -np.einsum("ij,ij->i", asked, points) if inner else np.einsum("ij,ij->i", apart, apart)
+
         count = len(queries)
         ids = np.full((count, beam), -1, np.int32)
         far = np.full((count, beam), np.inf, np.float32)
         done = np.zeros((count, beam), bool)
         seen = np.zeros((count, len(self.points)), bool)
-        ids[:, 0], far[:, 0], seen[:, self.entry] = self.entry, self.level - queries @ self.points[self.entry], True
+        ids[:, 0], far[:, 0], seen[:, self.entry] = self.entry, away_from(queries, np.broadcast_to(self.points[self.entry], queries.shape)), True
         rows = np.arange(count)
         while len(rows):
             open_ = np.where(done[rows], np.inf, far[rows])
@@ -65,7 +72,7 @@ class Graph:
             r, c = np.nonzero(near >= 0)
             seen[rows[r], near[r, c]] = True
             away = np.full(near.shape, np.inf, np.float32)
-            away[r, c] = self.level - np.einsum("ij,ij->i", queries[rows[r]], self.points[near[r, c]])
+            away[r, c] = away_from(queries[rows[r]], self.points[near[r, c]])
             all_far = np.concatenate([far[rows], away], 1)
             best = np.argpartition(all_far, beam - 1, axis=1)[:, :beam]
             far[rows] = np.take_along_axis(all_far, best, 1)
@@ -81,12 +88,13 @@ class Graph:
         for at in range(0, len(nodes), BATCH):
             own, some = nodes[at:at + BATCH], candidates[at:at + BATCH]
             some = np.where(some == own[:, None], -1, some)
-            points = self.points[some]
-            far = np.where(some >= 0, self.level - np.einsum("ij,ikj->ik", self.points[own], points), np.inf)
+            points = self.points[some].astype(np.float64)
+            far = np.where(some >= 0, ((points - self.points[own][:, None]) ** 2).sum(2), np.inf)
             order = np.argsort(far, axis=1, kind="stable")
             far, some = np.take_along_axis(far, order, 1), np.take_along_axis(some, order, 1)
             points = np.take_along_axis(points, order[:, :, None], 1)
-            between = self.level - points @ points.transpose(0, 2, 1)
+            squares = (points ** 2).sum(2)
+            between = squares[:, :, None] + squares[:, None] - 2 * (points @ points.transpose(0, 2, 1))
             alive = np.isfinite(far)
             every = np.arange(len(own))
             for k in range(DEGREE):
@@ -244,7 +252,7 @@ def answers(graph: Graph, originals: np.ndarray, listed: list[np.ndarray], vecto
     """What one shard has for a block of queries: `top` candidates each, ranked by the exact product."""
     lengthened = np.concatenate([vectors, np.zeros((len(vectors), 1))], 1)
     scale = np.maximum(np.linalg.norm(lengthened, axis=1, keepdims=True), 1e-300)
-    found, _ = graph.search((lengthened / scale).astype(np.float32), max(BEAM, top + 1))
+    found, _ = graph.search((lengthened / scale).astype(np.float32), max(BEAM, top + 1), inner=True)
     out = []
     for query, vector, near in zip(ids.tolist(), vectors, found):
         near = near[near >= 0]

@@ -5,7 +5,7 @@ import pytest
 
 from tallyloom.llm.caps import near_vectors
 from tallyloom.llm.common import forest
-from tallyloom.llm.graphs import nearest
+from tallyloom.llm.graphs import Graph, answers, lifted, nearest
 
 
 @pytest.fixture(scope="module")
@@ -74,6 +74,19 @@ def test_nearest_reaches_the_recall(vectors):
     assert [(r, i) for r, i, _ in found[2040]] == [(1, 2006)]  # fewer candidates than asked for: all of them
 
 
+@pytest.mark.parametrize("norm", [1e4, 1e6])
+def test_recall_beside_a_long_vector(norm):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((2000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[77] *= norm
+    graph = Graph(lifted(x)).build(np.random.default_rng(7))
+    asked = rng.standard_normal((50, 16))
+    found = answers(graph, x, [np.array([i]) for i in range(2000)], asked, np.arange(50) + 5000, 20)
+    hits = sum(len(set(found[found["query_id"] == 5000 + q]["id"]) & set(np.argsort(-(x @ asked[q]))[:20].tolist())) for q in range(50))
+    assert hits / 1000 >= 0.95
+
+
 def test_draws_go_to_the_smaller_id(vectors):
     df, _ = vectors
     got = [r.id for r in nearest(df, df.where("vec_id = 620")).orderBy("rank").collect()]

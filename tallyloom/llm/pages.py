@@ -141,9 +141,8 @@ def aside(node: Node, outer: bool, whole: int = 0) -> bool:
     return bool(node.names & INNER_NAMES)
 
 
-def marks(html: str | None) -> list[int]:
+def marks(root: Node) -> list[int]:
     """Digests of the elements outside of articles that hold text, each once."""
-    root = Tree(html or "").root
     return sorted({n.mark for n in nodes(root, lambda n: n.tag == "article") if n.parts and n.tag not in ("article", "html", "body")})
 
 
@@ -151,7 +150,8 @@ def page_marks(html: str | None) -> tuple[int, list[int]]:
     """A digest of the page's main text, which copies share, and its marks."""
     from xxhash import xxh3_64_intdigest
 
-    return xxh3_64_intdigest(main_text(html, frozenset()).encode("utf-8", "replace")) - 2**63, marks(html)
+    root = Tree(html or "").root
+    return xxh3_64_intdigest(chosen_text(root, frozenset()).encode("utf-8", "replace")) - 2**63, marks(root)
 
 
 def main_text(html: str | None, template: frozenset) -> str:
@@ -161,12 +161,12 @@ def main_text(html: str | None, template: frozenset) -> str:
     role or names tell to be no text. The text is what is left of the articles, else of the main
     element, else of the page. Where the template would leave nothing of a text, it is not applied.
     """
-    text = chosen_text(html, template)
-    return text if text or not template else chosen_text(html, frozenset())
+    root = Tree(html or "").root
+    text = chosen_text(root, template)
+    return text if text or not template else chosen_text(root, frozenset())
 
 
-def chosen_text(html: str | None, template: frozenset) -> str:
-    root = Tree(html or "").root
+def chosen_text(root: Node, template: frozenset) -> str:
     def gone(node):
         return aside(node, True, root.size) or node.mark in template and node.tag != "article"
     left = [n for n in nodes(root, lambda n: gone(n) or n.tag == "article") if not gone(n)]

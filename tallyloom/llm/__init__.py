@@ -1,6 +1,6 @@
 """Operators for preparing training data, their queries and SQL twins."""
 
-from tallyloom.llm import caps, graphs, language, licenses, packing, pages, pieces, quality, simhash, substrings
+from tallyloom.llm import caps, codes, graphs, language, licenses, packing, pages, pieces, quality, simhash, substrings
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -13,8 +13,10 @@ QUERIES = {
     "op8_substrings": substrings.op8_substrings,
     "op9_language": language.op9_language,
     "op10_pieces": pieces.op10_pieces,
+    "op13_codes": codes.op13_codes,
 }
 ORACLES = {
     "op6_licenses": licenses.OP6_SQL,
     "op8_substrings": substrings.OP8_SQL,
+    "op13_codes": codes.OP13_SQL,
 }

@@ -33,12 +33,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """`df` written to the shared folder and read again, which cuts the lineage."""
+def stored(df: DataFrame, purpose: str, named: bool = False):
+    """`df` written to the shared folder and read again, which cuts the lineage; with its path if `named`."""
     ship(df.sparkSession.sparkContext)
     path = work_folder(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    return (written, path) if named else written
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a written table that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """Operators for preparing training data, their queries and SQL twins."""
 
-from tallyloom.llm import caps, codes, graphs, language, licenses, packing, pages, pieces, quality, simhash, substrings
+from tallyloom.llm import caps, codes, graphs, language, licenses, packing, pages, pieces, quality, simhash, substrings, whitening
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_substrings": substrings.op8_substrings,
     "op9_language": language.op9_language,
     "op10_pieces": pieces.op10_pieces,
+    "op11_whitening": whitening.op11_whitening,
     "op13_codes": codes.op13_codes,
 }
 ORACLES = {

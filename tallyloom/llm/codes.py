@@ -129,7 +129,7 @@ def compress(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     state, length = integers(rows, "vector", scale, limit(-(-usual // parts)), "integers")
     bounds = cuts(length, parts)
     first = state.orderBy(F.col("id").asc_nulls_last(), "x").limit(min(entries, 256)).select("x").collect()
-    whole = np.array([np.frombuffer(r.x, "<i4") for r in first], np.int64).reshape(-1, length)
+    whole = np.array([np.frombuffer(r.x, "<i4") for r in first], np.int64).reshape(len(first), length)
     books, moved, path = [whole[:, a:z] for a, z in bounds], None, None
     for turn in range(rounds + 1):
         old = path

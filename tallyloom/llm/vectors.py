@@ -21,11 +21,11 @@ def finite(column: str):
     return F.coalesce(good & (F.size(column) > 0), F.lit(False))
 
 
-def integers(rows: DataFrame, vector: str, scale: int, most: int, purpose: str) -> tuple[DataFrame, int]:
-    """`rows` with `vector` as x, the little-endian 32-bit integers floor(scale * component), written; and their number.
+def integers(rows: DataFrame, vector: str, scale: int, most: int, purpose: str, shift: int = 0) -> tuple[DataFrame, int]:
+    """`rows` with `vector` as x, the little-endian 32-bit integers floor(scale * component) + shift, written; and their number.
 
     Rows whose vector is null or empty, holds null or non-finite components, or is of another length
-    than most vectors (of equally frequent lengths the longer one counts) are left out. Integers
+    than most vectors (of equally frequent lengths the longer one counts) are left out. Floors
     beyond `most` either way are held there. Without rows the length is 0.
     """
     ship(rows.sparkSession.sparkContext)
@@ -38,7 +38,7 @@ def integers(rows: DataFrame, vector: str, scale: int, most: int, purpose: str)
         for batch in batches:
             vectors = batch[vector]
             flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            found = np.clip(np.floor(flat * scale), -most, most).astype("<i4")
+            found = (np.clip(np.floor(flat * scale), -most, most) + shift).astype("<i4")
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in names), binary(found.reshape(-1, length))], names=[*names, "x"])
 
     kept = rows.where(F.size(vector) == length).select(*names, vector)

@@ -84,28 +84,50 @@ def enrich_defaults(old: DataFrame, sheet: DataFrame, key: str, cols: list[str],
     return joined.withColumns(picked).drop("_met", *[f"_{c}" for c in cols])
 
 
-def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """Union by key in which attributes of `new` win. Both sides hold one row per key."""
-    fresh = new.select(key, *[F.col(c).alias(f"_{c}") for c in new.columns if c != key])
-    columns = [c for c in dict.fromkeys([*old.columns, *new.columns]) if c != key]
+def both_states(old: DataFrame, new: DataFrame, key: list[str], order: str | None = None) -> DataFrame:
+    """One row per key with _old and _new, the last row that either side has of it, or NULL.
+
+    Both sides are one union, shuffled once by the key; NULL is a key like any other. The last row is that of the
+    largest `order`, or else the last of the input.
+    """
+    def side(df: DataFrame, name: str, other: str) -> DataFrame:
+        at = F.col(order) if order else F.monotonically_increasing_id()
+        columns = [c for c in df.columns if c not in key]
+        return df.select(*key, at.alias("_at"), F.struct(F.lit(True).alias("_is"), *columns).alias(name))
+
+    left, right = side(old, "_old", "_new"), side(new, "_new", "_old")
+    rows = left.unionByName(right, allowMissingColumns=True)
+    last = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_at"))).alias(c) for c in ("_old", "_new")]
+    return rows.groupBy(*key).agg(*last)
+
+
+def upsert(old: DataFrame, new: DataFrame, key: str | list[str], order: str | None = None) -> DataFrame:
+    """Union by key in which attributes of `new` that are not NULL win.
+
+    Of a key met twice on a side the last row counts, as `both_states` finds it, so the result has one row per key.
+    """
+    keys = [key] if isinstance(key, str) else key
+    columns = [c for c in dict.fromkeys([*old.columns, *new.columns]) if c not in keys]
 
     def pick(c: str) -> Column:
-        sides = [F.col(f"_{c}")] if c in new.columns else []
-        sides += [F.col(c)] if c in old.columns else []
+        sides = [F.col(f"{s}.`{c}`") for s, df in (("_new", new), ("_old", old)) if c in df.columns]
         return F.coalesce(*sides).alias(c)
 
-    return old.join(fresh, [key], "full_outer").select(key, *[pick(c) for c in columns])
+    return both_states(old, new, keys, order).select(*keys, *[pick(c) for c in columns])
 
 
-def change_report(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """Numbers of added, removed, changed and equal rows between two states of a table."""
-    columns = [c for c in old.columns if c in new.columns and c != key]
-    left = old.select(key, F.struct(*columns).alias("_old"))
-    right = new.select(key, F.struct(*columns).alias("_new"))
+def change_report(old: DataFrame, new: DataFrame, key: str | list[str], order: str | None = None) -> DataFrame:
+    """Numbers of added, removed, changed and equal keys between two states of a table.
+
+    Every key is counted once, NULL too: of a key met twice in a state the last row counts.
+    """
+    keys = [key] if isinstance(key, str) else key
+    columns = [c for c in old.columns if c in new.columns and c not in keys]
+    same = reduce(Column.__and__, [F.col(f"_old.`{c}`").eqNullSafe(F.col(f"_new.`{c}`")) for c in columns], F.lit(True))
     change = (
         F.when(F.col("_old").isNull(), "added")
         .when(F.col("_new").isNull(), "removed")
-        .when(F.col("_old").eqNullSafe(F.col("_new")), "equal")
+        .when(same, "equal")
         .otherwise("changed")
     )
-    return left.join(right, [key], "full_outer").groupBy(change.alias("change")).agg(F.count(F.lit(1)).alias("n"))
+    return both_states(old, new, keys, order).groupBy(change.alias("change")).agg(F.count(F.lit(1)).alias("n"))

@@ -153,9 +153,26 @@ def ordinal(df: DataFrame, keys: list[str], position: str, out: str, width: int
 
 
 def merge_batches(batches: list[DataFrame], keys: list[str], once: str = "NAME") -> DataFrame:
-    """Full outer merge of column batches; the column `once` comes from the first batch only."""
-    first, *rest = batches
-    return reduce(lambda a, b: a.join(b.drop(once), keys, "full_outer"), rest, first)
+    """Full outer merge of column batches; the column `once` comes from the first batch only.
+
+    All batches are one union with a struct per batch, shuffled once by the keys, however many there
+    are. A key may be NULL, and NULLs meet. A batch holds one row per key, as a request for columns of
+    the same places does; one that repeats a key stops the job, and columns that two batches have are refused.
+    """
+    parts, names = [], []
+    for i, batch in enumerate(batches):
+        own = [c for c in batch.columns if c not in keys and (i == 0 or c != once)]
+        if taken := set(own) & set(names):
+            raise ValueError(f"columns of several batches: {sorted(taken)}")
+        names += own
+        parts.append(batch.select(*keys, F.struct(F.lit(i).alias("_batch"), *[F.col(f"`{c}`") for c in own]).alias(f"_{i}")))
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    met = [F.count(f"_{i}").alias(f"_n{i}") for i in range(len(batches))]
+    merged = rows.groupBy(*keys).agg(*met, *[F.first(f"_{i}", ignorenulls=True).alias(f"_{i}") for i in range(len(batches))])
+    single = F.greatest(F.lit(1), *[F.col(f"_n{i}") for i in range(len(batches))]) == 1
+    told = merged.where(F.when(single, True).otherwise(F.raise_error(F.lit("a batch repeats a key")).cast("boolean")))
+    cells = [F.col(f"_{i}.`{c}`").alias(c) for i, part in enumerate(parts) for c in part.schema[f"_{i}"].dataType.names[1:]]
+    return told.select(*keys, *cells)
 
 
 def join_state_year(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -8,12 +8,16 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.operators.quality import profile_file
-from tallyloom.sources.raw import file_headers, read_by_header, route_files
+from tallyloom.operators.quality import profile_columns, profile_file, quality_flags
+from tallyloom.session import materialise
+from tallyloom.sources.headers import BROKEN, file_headers, read_by_header, sound
+from tallyloom.sources.raw import route_files
 from tallyloom.sources.tables import clean_tokens, ensure_database, publish, read_cleaned
 
 PROFILE = """file string, row_count bigint, column_count int, duplicate_rows bigint, missing_fips bigint, year_min int,
-    year_max int, total_nulls bigint, error string"""
+    year_max int, total_nulls bigint, high_null_cols string, negative_cols string, status string, error string"""
+DETAIL = """file string, position int, column string, dtype string, null_count bigint, null_pct double, unique_count bigint, min double, max double,
+    negative_count bigint, mean double"""
 FILE = r"([^/]+\.csv)(?:/[^/]*)?$"
 
 
@@ -36,14 +40,36 @@ def publish_folder(spark: SparkSession, paths: str | list[str], database: str) -
     return reduce(DataFrame.unionByName, reports)
 
 
-def profile_folder(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """One row per file, whatever its columns; a file that cannot be read has only its name and an error."""
+def _shaped(df: DataFrame, schema: str) -> DataFrame:
+    columns = [c.split() for c in schema.replace("\n", " ").split(",")]
+    return df.select(*[F.col(c).cast(kind).alias(c) if c in df.columns else F.lit(None).cast(kind).alias(c) for c, kind in columns])
+
+
+def validate_folder(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """Column detail and summary of cleaned files, whatever their columns.
+
+    The detail has a row per file and column. The summary has a row per file with its profile, the
+    columns more than half empty, those with negative values, and a status: WARN for either or for
+    repeated rows, ERROR for a file that cannot be read, else OK. Files of one header are profiled together.
+    """
     headers = file_headers(spark, paths)
-    lost = [(_name(f), "no header could be read") for f in headers.get((), [])]
-    parts = [spark.createDataFrame(lost, "file string, error string")]
-    for df in read_by_header(spark, paths, headers=headers):
+    lost = spark.createDataFrame([(_name(f), BROKEN, "ERROR") for f in headers.get((), [])], "file string, error string, status string")
+    details, summaries = [spark.createDataFrame([], DETAIL)], [_shaped(lost, PROFILE)]
+    for df in map(sound, read_by_header(spark, paths, headers=headers)):
         named = clean_tokens(df).withColumn("file", F.regexp_extract("_path", FILE, 1)).drop("_path")
-        parts.append(profile_file(named, ["file"]))
-    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    columns = [c.split() for c in PROFILE.replace("\n", " ").split(",")]
-    return both.select(*[F.col(c).cast(kind).alias(c) if c in both.columns else F.lit(None).cast(kind).alias(c) for c, kind in columns])
+        detail = materialise(_shaped(profile_columns(named, ["file"]), DETAIL), "detail")
+        details.append(detail)
+        summaries.append(_shaped(quality_flags(detail, ["file"], profile_file(named, ["file"])), PROFILE))
+    return reduce(DataFrame.unionByName, details), reduce(DataFrame.unionByName, summaries)
+
+
+def profile_folder(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """The summary of `validate_folder`."""
+    return validate_folder(spark, paths)[1]
+
+
+def write_validation(spark: SparkSession, paths: str | list[str], target: str) -> None:
+    """Both reports as CSV folders below `target`."""
+    detail, summary = validate_folder(spark, paths)
+    for name, df, order in (("validation_column_detail", detail, ("file", "position")), ("validation_summary", summary, ("file",))):
+        df.sort(*order).write.mode("overwrite").csv(f"{target.rstrip('/')}/{name}", header=True, escape='"')

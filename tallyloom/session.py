@@ -82,6 +82,44 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    folder, files = _folder(spark, path)
+    return files.exists(folder)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    folder, files = _folder(spark, path)
+    return [f.getPath().getName() for f in files.listStatus(folder)] if files.exists(folder) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all it holds; nothing happens if there is none."""
+    folder, files = _folder(spark, path)
+    files.delete(folder, True)
+
+
+@contextmanager
+def configured(spark: SparkSession, settings: dict[str, str]):
+    """SQL settings that hold within, for work that is planned and done there."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 @contextmanager
 def workspace(spark: SparkSession):
     """Removes, at its end, the work folders made within it; their tables must be used up by then."""
@@ -89,7 +127,5 @@ def workspace(spark: SparkSession):
     try:
         yield
     finally:
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
         while len(_MADE) > before:
-            path = jvm.org.apache.hadoop.fs.Path(_MADE.pop())
-            path.getFileSystem(conf).delete(path, True)
+            delete(spark, _MADE.pop())

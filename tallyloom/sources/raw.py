@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-import csv
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallyloom.functions.labels import is_variable
 from tallyloom.functions.series import join_texts
 from tallyloom.operators.relational import lookup
+from tallyloom.session import delete, exists
+from tallyloom.sources.headers import REJECTS, SURPLUS, file_headers, read_by_header, rejected_rows, sound
 
 RAW_SCHEMA = "table_id string, year int, level string, name string, state string, county string, vars map<string,string>"
+RAW_COLUMNS = [field.split()[0] for field in RAW_SCHEMA.replace("string,string", "").split(",")]
 META_SCHEMA = """
     table_id string, year int, table_type string,
     variables map<string, struct<label: string, concept: string>>,
@@ -41,59 +41,19 @@ def route_files(df: DataFrame, col: str = "file_name") -> DataFrame:
     })
 
 
-def file_headers(spark: SparkSession, paths: str | list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files by their header. Only the first line of each file is read, as for any inferred schema.
-
-    A name met again in a header gets a number after a dot. Files without a line, or that cannot
-    be opened, are listed under the empty header.
-    """
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    found: dict[tuple[str, ...], list[str]] = {}
-    for uri in spark.read.text(paths).inputFiles():
-        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
-        try:
-            lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(path.getFileSystem(conf).open(path), "UTF-8"))
-            line = lines.readLine()
-            lines.close()
-        except Py4JJavaError:
-            line = None
-        if line is None:
-            found.setdefault((), []).append(path.toString())
-            continue
-        seen: dict[str, int] = {}
-        names = []
-        for name in next(csv.reader([line.removeprefix("\ufeff")])):
-            seen[name] = seen.get(name, -1) + 1
-            names.append(f"{name}.{seen[name]}" if seen[name] else name)
-        found.setdefault(tuple(names), []).append(path.toString())
-    return found
-
-
-def read_by_header(
+def read_raw_acs(
     spark: SparkSession, paths: str | list[str], multi_line: bool = True, headers: dict[tuple[str, ...], list[str]] | None = None
-) -> list[DataFrame]:
-    """One DataFrame of texts per distinct header, each file read by its own, with its path as `_path`.
-
-    Quotes, blank lines and line breaks within quotes are the CSV reader's. With `multi_line` a
-    file is read by one task; without it large files are split and no value may hold a line break.
-    """
-    frames = []
-    for names, files in (file_headers(spark, paths) if headers is None else headers).items():
-        if not names:
-            continue
-        kinds = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
-        rows = spark.read.schema(kinds).csv(files, header=True, escape='"', multiLine=multi_line, maxColumns=len(names) + 100)
-        cells = [F.col(f"c{i}").alias(name or f"_c{i}") for i, name in enumerate(names)]
-        frames.append(rows.select(F.col("_metadata.file_path").alias("_path"), *cells))
-    return frames
-
-
-def read_raw_acs(spark: SparkSession, paths: str | list[str], multi_line: bool = True) -> DataFrame:
+) -> DataFrame:
     """Wide raw files, each with a header of its own, as one table with the variables in a map.
 
-    The path names table, year and level. Files with the same header are one scan.
+    The path names table, year and level. Files with the same header are one scan. Rows with more
+    fields than their header are left out; `rejected_rows` has them.
     """
-    frames = read_by_header(spark, paths, multi_line)
+    return _keyed(spark, [sound(df) for df in read_by_header(spark, paths, multi_line, headers)]).select(*RAW_COLUMNS)
+
+
+def _keyed(spark: SparkSession, frames: list[DataFrame]) -> DataFrame:
+    """The rows of wide files with the variables in a map; what else `read_by_header` adds is kept."""
     names = sorted({c for df in frames for c in df.columns})
     variables = set(variable_names(spark, names))
     parts = []
@@ -102,9 +62,10 @@ def read_raw_acs(spark: SparkSession, paths: str | list[str], multi_line: bool =
         keys, values = F.array(*map(F.lit, own)), F.array(*[F.col(f"`{c}`") for c in own])
         entries = F.map_from_arrays(keys, values) if own else F.create_map().cast("map<string,string>")
         field = {c: F.col(c) if c in df.columns else F.lit(None).cast("string") for c in ("NAME", "state", "county")}
-        parts.append(df.select(*_told(F.col("_path")), *[v.alias(c.lower()) for c, v in field.items()], entries.alias("vars")))
+        kept = [c for c in ("_path", "_surplus") if c in df.columns]
+        parts.append(df.select(*_told(F.col("_path")), *[v.alias(c.lower()) for c, v in field.items()], entries.alias("vars"), *kept))
     if not parts:
-        return spark.createDataFrame([], RAW_SCHEMA)
+        return spark.createDataFrame([], f"{RAW_SCHEMA}, _path string, _surplus string")
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -118,18 +79,38 @@ def _told(path: Column) -> list[Column]:
     ]
 
 
-def land_raw(spark: SparkSession, paths: str | list[str], target: str, multi_line: bool = True) -> DataFrame:
+def land_raw(
+    spark: SparkSession, paths: str | list[str], target: str, multi_line: bool = True, rejects: str | None = None
+) -> DataFrame:
     """Raw files as a columnar landing table by table, year and level, which the survey plans prune; returns it.
 
-    Only the folders that the files belong to are replaced.
+    Only the folders that the files belong to are replaced. Rows that do not fit their header, and
+    files without one, go to a table in folders of the same kind, beside the landing or at `rejects`. They are
+    counted while the rest is written, and read again only where there are any.
     """
-    by = ("table_id", "year", "level")
-    rows = read_raw_acs(spark, paths, multi_line)
+    by = ["table_id", "year", "level"]
+    headers = file_headers(spark, paths)
+    seen = Observation()
+    rows = _keyed(spark, read_by_header(spark, paths, multi_line, headers)).observe(seen, F.count("_surplus").alias("surplus"))
+    rows = rows.where(F.col("_surplus").isNull()).select(*RAW_COLUMNS)
     writer = rows.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*by).parquet(target)
+    beside = rejects or f"{target.rstrip('/')}_rejects"
+    files = spark.createDataFrame([(f,) for own in headers.values() for f in own], "file string")
+    for table_id, year, level in files.select(*_told(F.col("file"))).distinct().collect():
+        delete(spark, f"{beside}/table_id={table_id}/year={year}/level={level}")
+    if headers.get(()) or (seen.get["surplus"] if any(headers) else 0):
+        lost = rejected_rows(spark, paths, multi_line, headers).select("*", *_told(F.col("file")))
+        lost.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(beside)
     return spark.read.schema(rows.schema).parquet(target)
 
 
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """The rejects that landings left at `path`; none if no landing had any."""
+    schema = f"{REJECTS}, table_id string, year int, level string"
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
+
+
 def variable_names(spark: SparkSession, names: list[str]) -> list[str]:
     """Those of the names that name data variables."""
     rows = spark.createDataFrame([(i, c) for i, c in enumerate(names)], "i int, c string")
@@ -160,18 +141,54 @@ def explode_meta(docs: DataFrame) -> DataFrame:
     )
 
 
+def _numbered(names: Column) -> Column:
+    """Names of a header; one met again gets a number after a dot, and one that is missing is empty."""
+    def fresh(array: Column) -> Column:
+        def name(x: Column, i: Column) -> Column:
+            before = F.size(F.filter(F.slice(array, F.lit(1), i), lambda y: y == x))
+            return F.when(before > 0, F.concat(x, F.lit("."), before.cast("string"))).otherwise(x)
+
+        return F.transform(array, name)
+
+    # Twice, as a number may make a name that the header has itself.
+    return fresh(fresh(F.transform(names, lambda x: F.coalesce(x, F.lit("")))))
+
+
+def _matrix(df: DataFrame, payload: str, keep: list[str]) -> DataFrame:
+    parsed = df.select(*keep, F.col(payload).alias("_text"), F.from_json(payload, "array<array<string>>").alias("_m"))
+    width = F.size(F.element_at("_m", 1))
+    fits = F.when(F.size("_m") > 0, F.coalesce(F.forall(F.slice("_m", 2, F.greatest(F.size("_m") - 1, F.lit(0))), lambda r: F.size(r) <= width), F.lit(False)))
+    return parsed.withColumn("_reason", F.when(F.col("_m").isNull(), "no array of rows").when(F.size("_m") == 0, "no header").when(~fits, SURPLUS))
+
+
 def explode_matrix(df: DataFrame, payload: str, keep: list[str] | None = None) -> DataFrame:
-    """Array-of-arrays responses as rows: a map from the first row's names to the values."""
-    parsed = df.select(*(keep or []), F.from_json(payload, "array<array<string>>").alias("_m"))
+    """Array-of-arrays responses as rows: a map from the first row's names to the values.
+
+    A name met again gets a number after a dot; values that a short row lacks are NULL. Responses
+    that are no such array, or have a row with more values than names, are left out whole;
+    `rejected_matrices` has them.
+    """
+    keep = keep or []
+    parsed = _matrix(df, payload, keep).where("_reason is null")
     rows = parsed.select(
-        *(keep or []), F.element_at("_m", 1).alias("_header"),
+        *keep, _numbered(F.element_at("_m", 1)).alias("_header"),
         F.posexplode(F.slice("_m", F.lit(2), F.greatest(F.size("_m") - 1, F.lit(0)))).alias("row_number", "_row"),
     )
-    return rows.select(*(keep or []), "row_number", F.map_from_arrays("_header", "_row").alias("record"))
+    value = F.transform("_header", lambda name, i: F.struct(name, F.get("_row", i)))
+    return rows.select(*keep, "row_number", F.map_from_entries(value).alias("record"))
+
+
+def rejected_matrices(df: DataFrame, payload: str, keep: list[str] | None = None) -> DataFrame:
+    """Responses that `explode_matrix` leaves out, with the reason and their text."""
+    keep = keep or []
+    return _matrix(df, payload, keep).where("_reason is not null").select(*keep, F.col("_reason").alias("reason"), F.col("_text").alias("record"))
 
 
 def flatten_series(df: DataFrame, payload: str, catalogue: DataFrame) -> DataFrame:
-    """Nested series responses as long rows with the catalogue's titles; only succeeded ones."""
+    """Nested series responses as long rows with the catalogue's titles; only succeeded ones.
+
+    `rejected_responses` has the others.
+    """
     parsed = df.select(F.from_json(payload, RESPONSE_SCHEMA).alias("r")).filter("r.status = 'REQUEST_SUCCEEDED'")
     series = parsed.select(F.explode("r.Results.series").alias("s"))
     rows = series.select(F.coalesce("s.seriesID", F.lit("")).alias("series_id"), F.explode("s.data").alias("d"))
@@ -183,6 +200,25 @@ def flatten_series(df: DataFrame, payload: str, catalogue: DataFrame) -> DataFra
     return lookup(long, titles, ["series_id"], measure=True).fillna("", ["series_description"])
 
 
+def rejected_responses(df: DataFrame, payload: str, keep: list[str] | None = None) -> DataFrame:
+    """Responses that `flatten_series` takes no rows from, with the reason and their text.
+
+    A response is broken if it is no JSON of the expected shape, failed if its status says so, and
+    empty if it succeeded without any value.
+    """
+    shape = RESPONSE_SCHEMA.strip().removeprefix("struct<").removesuffix(">")
+    parsed = F.from_json(payload, f"struct<{shape}, _broken: string>", {"columnNameOfCorruptRecord": "_broken"})
+    rows = df.select(*(keep or []), F.col(payload).alias("record"), parsed.alias("_r"))
+    values = F.coalesce(F.aggregate("_r.Results.series", F.lit(0), lambda n, s: n + F.greatest(F.coalesce(F.size(s["data"]), F.lit(0)), F.lit(0))), F.lit(0))
+    reason = (
+        F.when(F.col("_r").isNull() | F.col("_r._broken").isNotNull(), "broken")
+        .when(F.col("_r.status").isNull(), "no status")
+        .when(F.col("_r.status") != "REQUEST_SUCCEEDED", F.concat(F.lit("failed: "), "_r.status"))
+        .when(values == 0, "empty")
+    )
+    return rows.select(*(keep or []), reason.alias("reason"), "record").where("reason is not null")
+
+
 SERIES_SCHEMA = """
     struct<title: string, periodicity: string, seasonal: string, disa_code: int, sexs_code: int, ages_code: int,
         race_code: int, orig_code: int, lfst_code: int, occupation_code: int, indy_code: int, class_code: int>

@@ -3,18 +3,24 @@
 from __future__ import annotations
 
 import re
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.fixed import NULL_TOKENS, PUBLISHED_COLUMNS, SURVEY_TABLES, SURVEY_YEARS
 from tallyloom.functions.numbers import to_number, to_year
+from tallyloom.operators.catalogue import upsert
 from tallyloom.operators.relational import combine_years, missing_in
 from tallyloom.operators.shape import sanitize_columns
 from tallyloom.operators.quality import availability
-from tallyloom.sources.raw import read_by_header, route_files
+from tallyloom.session import children, delete, exists, materialise
+from tallyloom.sources.headers import read_by_header, sound
+from tallyloom.sources.raw import route_files
 
+VERSION = "version-"  # how folders of published versions begin
 # Columns that hold numbers: the published measures and the value of a series.
 NUMBERS = frozenset(["value", *[name for columns in PUBLISHED_COLUMNS.values() for name in columns.values()]])
 
@@ -22,18 +28,20 @@ NUMBERS = frozenset(["value", *[name for columns in PUBLISHED_COLUMNS.values() f
 def clean_tokens(df: DataFrame) -> DataFrame:
     """NULL for the texts that stand for a missing value."""
     texts = [c for c, kind in df.dtypes if kind == "string"]
-    return df.withColumns({c: F.when(~F.col(c).isin(NULL_TOKENS), F.col(c)) for c in texts})
+    return df.withColumns({c: F.when(~F.col(f"`{c}`").isin(NULL_TOKENS), F.col(f"`{c}`")) for c in texts})
 
 
 def read_cleaned(spark: SparkSession, path: str | list[str], numbers: frozenset[str] | None = None, multi_line: bool = True) -> DataFrame:
     """Cleaned CSV files, each read by its own header, as one table with all their columns.
 
     `numbers` (by default the published measures) become doubles and the year an int; everything else stays text, as do values that
-    folders such as `table_id=S1811` tell. A column that a file lacks is NULL in its rows.
+    folders such as `table_id=S1811` tell. A column that a file lacks is NULL in its rows; names that
+    differ in case only are one column across files, and numbered within one. Rows with more fields
+    than their header are left out; `rejected_rows` has them.
     """
     numbers = NUMBERS if numbers is None else numbers
     frames = []
-    for df in read_by_header(spark, path, multi_line):
+    for df in map(sound, read_by_header(spark, path, multi_line)):
         folders = _folder_values(df)
         told = {k: F.url_decode(F.regexp_extract("_path", f"/{k}=([^/]*)/", 1)) for k in folders}
         told = {k: F.when(v != "__HIVE_DEFAULT_PARTITION__", v) for k, v in told.items()}
@@ -41,6 +49,7 @@ def read_cleaned(spark: SparkSession, path: str | list[str], numbers: frozenset[
     if not frames:
         return spark.createDataFrame([], "year int")
     raw = combine_years(frames)
+    raw = raw.withColumnsRenamed({c: "year" for c in raw.columns if c.lower() == "year"})
     typed = {c: to_year(F.col(c)) if c == "year" else to_number(F.col(c)) for c in raw.columns if c == "year" or c in numbers}
     return raw.withColumns(typed)
 
@@ -75,22 +84,118 @@ def union_for_publish(frames: list[DataFrame]) -> DataFrame:
 
 
 def publish(frames: list[DataFrame], name: str, path: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
-    """Replace a table by the by-name union of the frames, in folders of `by`; returns its rows and bytes."""
+    """Replace a table by the by-name union of the frames, in folders of `by`; returns its rows and bytes.
+
+    The rows go to a new folder, below `path` or beside the tables of the database, and are counted
+    there against what was written. Only then the table takes the new folder: the finished table is
+    registered under a name of its own, and names are swapped. So a write that fails, or finds too
+    few rows, leaves the table as it was. The version before stays for readers under way; older ones go.
+    """
     spark = frames[0].sparkSession
-    rows = union_for_publish(frames)
-    writer = (rows.hint("rebalance", *by) if by else rows).write.mode("overwrite").format("parquet")
-    if by:
-        writer = writer.partitionBy(*by)
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
-    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
-    text = spark.sql(f"DESCRIBE EXTENDED {name}").filter("col_name = 'Statistics'").select(
+    _recover(spark, name)
+    base = path or _home(spark, name)
+    folder, staged = f"{base.rstrip('/')}/{VERSION}{uuid.uuid4().hex}", f"{name}__next"
+    spark.sql(f"DROP TABLE IF EXISTS {staged}")
+    seen = Observation()
+    rows = union_for_publish(frames).observe(seen, F.count(F.lit(1)).alias("n"))
+    writer = (rows.hint("rebalance", *by) if by else rows).write.format("parquet").option("path", folder)
+    try:
+        (writer.partitionBy(*by) if by else writer).saveAsTable(staged)
+        written = spark.read.parquet(folder).count() if rows.columns else 0
+        if written != seen.get["n"]:
+            raise RuntimeError(f"{name}: {written} of {seen.get['n']} rows were written")
+        spark.sql(f"ANALYZE TABLE {staged} COMPUTE STATISTICS")
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        delete(spark, folder)
+        raise
+    before = _location(spark, name) if spark.catalog.tableExists(name) else None
+    _swap(spark, name, staged)
+    for old in _versions(spark, base):
+        if old not in (folder.rsplit("/", 1)[-1], (before or "").rstrip("/").rsplit("/", 1)[-1]):
+            delete(spark, f"{base.rstrip('/')}/{old}")
+    return spark.sql(f"DESCRIBE EXTENDED {name}").filter("col_name = 'Statistics'").select(
         F.lit(name).alias("table_name"),
         F.regexp_extract("data_type", r"(\d+) rows", 1).cast("bigint").alias("row_count"),
         F.regexp_extract("data_type", r"(\d+) bytes", 1).cast("bigint").alias("byte_count"),
     )
-    return text
+
+
+def _swap(spark: SparkSession, name: str, staged: str) -> None:
+    """Give the staged table the name; renaming touches the catalogue only. If it fails halfway the old table is back."""
+    kept = f"{name}__old"
+    spark.sql(f"DROP TABLE IF EXISTS {kept}")
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} RENAME TO {kept}")
+    try:
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    except BaseException:
+        _recover(spark, name)
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {kept}")
+
+
+def _recover(spark: SparkSession, name: str) -> None:
+    """Bring back a table that a publication gave up between its two renames."""
+    if not spark.catalog.tableExists(name) and spark.catalog.tableExists(f"{name}__old"):
+        spark.sql(f"ALTER TABLE {name}__old RENAME TO {name}")
+
+
+def _home(spark: SparkSession, name: str) -> str:
+    database, _, table = name.rpartition(".")
+    place = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    return f"{place.rstrip('/')}/{table}_versions"
+
+
+def _location(spark: SparkSession, name: str) -> str | None:
+    row = spark.sql(f"DESCRIBE EXTENDED {name}").filter("col_name = 'Location'").first()
+    return row["data_type"] if row else None
+
+
+def _versions(spark: SparkSession, base: str) -> list[str]:
+    return [name for name in children(spark, base) if name.startswith(VERSION)]
+
+
+def merge_table(spark: SparkSession, path: str, new: DataFrame, key: list[str], by: list[str]) -> list[tuple]:
+    """Merge rows into a Parquet table in folders of `by`, rewriting only folders that change; returns those.
+
+    Columns of `new` that are not NULL win over those of the row with the same key; a key is NULL-safe
+    and of a key met twice, on either side, the last row counts. A row whose key lies in another folder moves. Folders
+    that hold no row any more go. Columns that the table lacks are added, for readers that merge schemas. Touched folders are found from the keys alone, merged in one shuffle and written
+    beside the table before they replace what is there; all others keep their files.
+    """
+    new = materialise(new, "merge")
+    if not exists(spark, path):
+        new_rows = upsert(new.limit(0), new, key)
+        write_cleaned(new_rows, path, tuple(by))
+        return sorted({tuple(r) for r in new_rows.select(*by).distinct().collect()}, key=repr)
+    found = spark.read.parquet(path).schema
+    kinds = {f.name: f.dataType for f in new.schema if f.name in by}  # names of folders tell no types
+    old = spark.read.schema(T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in found])).parquet(path)
+    places = new.select(*by).distinct()
+    if not set(by) <= set(key):
+        # Keys alone are read of the old table, to find where those of the new rows lie.
+        keys = new.select(*[F.col(c).alias(f"_{c}") for c in key]).distinct()
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key]
+        places = places.unionByName(old.join(keys, same, "left_semi").select(*by)).distinct()
+    touched = sorted({tuple(r) for r in places.collect()}, key=repr)  # folders of a table, whose names the driver lists anyhow
+    if not touched:
+        return []
+    hit = reduce(Column.__or__, [reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(v).cast(old.schema[c].dataType)) for c, v in zip(by, place)]) for place in touched])
+    merged = materialise(upsert(old.where(hit), new, key), "merge")
+    write_cleaned(merged, path, tuple(by))
+    full = {tuple(r) for r in merged.select(*by).distinct().collect()}
+    for place in touched:
+        if place not in full:
+            names = [f"{c}={_folder_text(v)}" for c, v in zip(by, place)]
+            delete(spark, "/".join([path.rstrip("/"), *names]))
+    return touched
+
+
+def _folder_text(value) -> str:
+    """A value as the names of folders have it."""
+    text = "__HIVE_DEFAULT_PARTITION__" if value is None or value == "" else str(value)
+    return "".join(f"%{ord(c):02X}" if c in "\"#%'*/:=?\\{[]^" or ord(c) < 32 or ord(c) == 127 else c for c in text)
 
 
 def table_inventory(spark: SparkSession, database: str) -> DataFrame:

@@ -135,3 +135,34 @@ def test_work_folders_go_with_their_workspace(spark):
     assert kept.count() == 10
     import os
     assert not os.path.exists(path.removeprefix("file://"))
+
+
+def test_ten_batches_are_one_shuffle(spark):
+    batches = [spark.range(6).filter(F.col("id") != i).select(F.col("id").alias("state"), F.lit(f"n{i}").alias("NAME"), F.col("id").alias(f"v{i}")) for i in range(10)]
+    merged = R.merge_batches(batches, ["state"])
+    assert merged._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    got = {r["state"]: tuple(r)[1:] for r in merged.collect()}
+    assert got == {k: (None if k == 0 else "n0", *[None if k == i else k for i in range(10)]) for k in range(6)}
+
+
+def test_merged_batches_refuse_what_they_cannot_place(spark):
+    a = spark.createDataFrame([(None, 1), ("x", 2)], "state string, v int")
+    b = spark.createDataFrame([(None, 3), (None, 4)], "state string, w int")
+    with pytest.raises(Exception, match="repeats a key"):
+        R.merge_batches([a, b], ["state"]).collect()
+    with pytest.raises(ValueError, match="several batches"):
+        R.merge_batches([a, a], ["state"])
+    got = {r["state"]: (r["v"], r["w"]) for r in R.merge_batches([a, b.limit(1)], ["state"]).collect()}
+    assert got == {None: (1, 3), "x": (2, None)}
+
+
+def test_upsert_folds_repeated_and_null_keys(spark):
+    schema = "k string, x int, y int"
+    old = spark.createDataFrame([("a", 1, 2), ("a", 3, 4), (None, 5, 6), ("z", 7, 8)], schema).coalesce(1)
+    new = spark.createDataFrame([("a", None, 9), ("a", None, 10), (None, 1, None), ("q", 0, 0)], schema).coalesce(1)
+    got = {r["k"]: (r["x"], r["y"]) for r in C.upsert(old, new, "k").collect()}
+    assert got == {"a": (3, 10), None: (1, 6), "z": (7, 8), "q": (0, 0)}
+    report = {r["change"]: r["n"] for r in C.change_report(old, new, "k").collect()}
+    assert report == {"changed": 2, "added": 1, "removed": 1}
+    same = {r["change"]: r["n"] for r in C.change_report(old, old, "k").collect()}
+    assert same == {"equal": 3}

@@ -1,11 +1,15 @@
 import json
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.fixed import PUBLISHED_COLUMNS, SERIES_COLUMNS
+from tallyloom.plans.folders import write_validation
 from tallyloom.plans.series import clean_series
 from tallyloom.plans.survey import clean_table, clean_year
+from tallyloom.sources import headers as H
 from tallyloom.sources import raw as W
 from tallyloom.sources import tables as T
 from tallyloom.streaming.landing import take_new_files
@@ -207,3 +211,185 @@ def test_routing(spark):
     df = W.route_files(spark.createDataFrame([(n,) for n in names], "file_name string"))
     assert [tuple(r)[1:] for r in df.collect()] == [
         ("S1810", 2022, "acs_s1810"), (None, None, "bls_cps_disability"), (None, None, "acs_b_1")]
+
+
+# headers and rejects
+
+def test_headers_with_breaks_cases_and_blank_lines(spark, tmp_path):
+    (tmp_path / "a%20b [1]{x}.csv").write_text('\n\n"two\nlines",Year,year,YEAR,,,"a ""q"", b"\n1,2,3,4,5,6,7\n')
+    (tmp_path / "bom.csv").write_bytes("\ufeffx,y\r\n1,2\r\n".encode())
+    (tmp_path / "open.csv").write_text('"never closed,b\n1,2\n')
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "blank.csv").write_text("\n\n\n")
+    got = {k: [os.path.basename(f) for f in v] for k, v in H.file_headers(spark, str(tmp_path)).items()}
+    assert got == {
+        ("two\nlines", "Year", "year.1", "YEAR.2", "_c4", "_c5", 'a "q", b'): ["a%20b [1]{x}.csv"], ("x", "y"): ["bom.csv"],
+        ("never closed,b",): ["open.csv"], (): ["blank.csv", "empty.csv"]}
+    frame = next(f for f in H.read_by_header(spark, str(tmp_path)) if "two\nlines" in f.columns)
+    assert tuple(frame.drop("_path").first()) == ("1", "2", "3", "4", "5", "6", "7", None)
+
+
+def test_only_the_start_of_a_large_file_is_read(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(H, "SMALL", 1000)
+    for name in ("large.csv", "larger.csv"):
+        (tmp_path / name).write_text("a,b\n" + "1,2\n" * 200_000)
+    (tmp_path / "small.csv").write_text("a,c\n1,2\n")
+    got = {k: len(v) for k, v in H.file_headers(spark, str(tmp_path)).items()}
+    assert got == {("a", "b"): 2, ("a", "c"): 1}
+    taken = []
+
+    class Batch(dict):
+        def __getitem__(self, name):
+            taken.append(name)
+            return self
+
+        def to_pylist(self):
+            return ["a,b", "1,2"] if taken[-1] == "value" else ["f", "f"]
+
+    def endless():
+        while True:
+            yield Batch()
+
+    assert [b.to_pylist() for b in H._first_records(True)(endless())] == [[{"path": "f", "header": "a,b"}]]
+
+
+def test_many_small_files(spark, tmp_path):
+    for i in range(10_000):
+        (tmp_path / f"acs_S1811_{i}_cleaned.csv").write_text(f"year,fips{i % 3}\n2010,01\n")
+    begin = time.time()
+    got = H.file_headers(spark, str(tmp_path))
+    assert {k: len(v) for k, v in got.items()} == {("year", "fips0"): 3334, ("year", "fips1"): 3333, ("year", "fips2"): 3333}
+    assert time.time() - begin < 120
+
+
+def test_surplus_fields_are_rejected_not_lost(spark, tmp_path):
+    (tmp_path / "acs_S1811_2012_raw.csv").write_text(
+        'NAME,S1811_C01_001E,state,county\n"A, ""x""",5,01,001\nB,6,01,003,EXTRA\nC,7,01\n"D\nd",8,01,007,"more, yet",\nE,9,01,009,\n')
+    (tmp_path / "acs_S1810_2012_raw.csv").write_text("")
+    path = str(tmp_path / "*.csv")
+    rows = W.read_raw_acs(spark, path)
+    assert sorted(r["name"] for r in rows.collect()) == ['A, "x"', "C"]
+    assert rows.count() == 2 and rows.select("state").where("county is null").collect()[0]["state"] == "01"
+    lost = sorted((os.path.basename(r["file"]), r["reason"], r["record"]) for r in H.rejected_rows(spark, path).collect())
+    assert lost == [("acs_S1810_2012_raw.csv", H.BROKEN, None), ("acs_S1811_2012_raw.csv", H.SURPLUS, '"D\nd",8,01,007,"more, yet",'),
+                    ("acs_S1811_2012_raw.csv", H.SURPLUS, "B,6,01,003,EXTRA"), ("acs_S1811_2012_raw.csv", H.SURPLUS, "E,9,01,009,")]
+    assert H.rejected_rows(spark, str(tmp_path / "acs_S1811*"), multi_line=False).count() >= 2
+
+
+def test_landing_keeps_rejects_beside_it(spark, tmp_path):
+    file, target = tmp_path / "acs_S1811_2012_raw.csv", str(tmp_path / "landing")
+    other = tmp_path / "acs_S1811_2013_raw.csv"
+    file.write_text("NAME,S1811_C01_001E\nA,5\nB,6,EXTRA\n")
+    other.write_text("NAME,S1811_C01_001E\nA,5,MORE\n")
+    W.land_raw(spark, str(tmp_path / "*.csv"), target)
+    beside = f"{target}_rejects"
+    assert sorted((r["year"], r["record"]) for r in W.read_rejects(spark, beside).collect()) == [(2012, "B,6,EXTRA"), (2013, "A,5,MORE")]
+    file.write_text("NAME,S1811_C01_001E\nA,5\nB,6\n")
+    assert W.land_raw(spark, str(file), target).count() == 2
+    assert [(r["year"], r["record"]) for r in W.read_rejects(spark, beside).collect()] == [(2013, "A,5,MORE")]
+    assert W.read_rejects(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_matrix_with_repeated_names_and_rejects(spark):
+    texts = ['[["A","A","A.1",null],["1","2","3","4"],["5"]]', '[["A"],["1","2"]]', "oops", "[]", None, '[["A"],null]']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, p string")
+    got = [r["record"] for r in W.explode_matrix(df, "p", ["i"]).orderBy("i", "row_number").collect()]
+    assert got == [{"A": "1", "A.1": "2", "A.1.1": "3", "": "4"}, {"A": "5", "A.1": None, "A.1.1": None, "": None}]
+    lost = {r["i"]: r["reason"] for r in W.rejected_matrices(df, "p", ["i"]).collect()}
+    assert lost == {1: H.SURPLUS, 2: "no array of rows", 3: "no header", 4: "no array of rows", 5: H.SURPLUS}
+
+
+def test_responses_without_rows_are_told(spark):
+    texts = ['{"status":"REQUEST_SUCCEEDED","Results":{"series":[{"seriesID":"A","data":[{"year":"2020"}]}]}}', '{"status":"REQUEST_FAILED"}',
+             '{"status":"REQUEST_SUCC', "oops", None, '{"status":"REQUEST_SUCCEEDED"}', '{"status":"REQUEST_SUCCEEDED","Results":{"series":[{"seriesID":"A","data":[]}]}}', "{}"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, p string")
+    got = {r["i"]: r["reason"] for r in W.rejected_responses(df, "p", ["i"]).collect()}
+    assert got == {1: "failed: REQUEST_FAILED", 2: "broken", 3: "broken", 4: "broken", 5: "empty", 6: "empty", 7: "no status"}
+
+
+def test_names_that_differ_in_case_only(spark, tmp_path):
+    (tmp_path / "a_cleaned.csv").write_text("Year,fips,FIPS,remark,remark\n2010,01,x,NA,b\n2011,02,y,c,d,SURPLUS\n")
+    (tmp_path / "b_cleaned.csv").write_text("fips,year\n03,2012\n")
+    df = T.read_cleaned(spark, str(tmp_path))
+    got = sorted((r["year"], r["fips"], r["FIPS.1"], r["remark"], r["remark.1"]) for r in df.collect())
+    assert got == [(2010, "01", "x", None, "b"), (2012, "03", None, None, None)]
+
+
+# publishing and merging
+
+def test_a_failing_publication_leaves_the_table(spark, tmp_path):
+    T.ensure_database(spark, "atomic_test")
+    good = spark.createDataFrame([(1, 2010), (2, 2011)], "x int, year int")
+    T.publish([good], "atomic_test.kept", str(tmp_path / "kept"), by=("year",))
+    broken = good.withColumn("x", F.when(F.col("x") == 2, F.raise_error(F.lit("lost")).cast("int")).otherwise(F.col("x")))
+    with pytest.raises(Exception, match="lost"):
+        T.publish([broken], "atomic_test.kept", str(tmp_path / "kept"), by=("year",))
+    assert sorted(tuple(r) for r in spark.table("atomic_test.kept").collect()) == [(1, 2010), (2, 2011)]
+    assert len(list((tmp_path / "kept").iterdir())) == 1
+    assert [t.name for t in spark.catalog.listTables("atomic_test")] == ["kept"]
+    reader = spark.table("atomic_test.kept")
+    report = T.publish([good.withColumn("more", F.lit("m"))], "atomic_test.kept", str(tmp_path / "kept"), by=("year",)).first()
+    assert report["row_count"] == 2 and report["table_name"] == "atomic_test.kept"
+    assert reader.count() == 2 and set(spark.table("atomic_test.kept").columns) == {"x", "more", "year"}
+    for _ in range(2):
+        T.publish([good], "atomic_test.kept", str(tmp_path / "kept"))
+    assert len(list((tmp_path / "kept").iterdir())) == 2  # the version before stays
+
+
+def test_a_publication_given_up_between_renames_is_mended(spark, tmp_path, monkeypatch):
+    T.ensure_database(spark, "atomic_test")
+    good = spark.createDataFrame([(1,)], "x int")
+    T.publish([good], "atomic_test.named", str(tmp_path))
+    plain = spark.sql
+
+    def failing(text, *rest):
+        if "__next RENAME TO" in text:
+            raise RuntimeError("gone")
+        return plain(text, *rest)
+
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *rest, **named: failing(text, *rest))
+    with pytest.raises(RuntimeError, match="gone"):
+        T.publish([good.union(good)], "atomic_test.named", str(tmp_path))
+    monkeypatch.undo()
+    assert spark.table("atomic_test.named").count() == 1
+    spark.sql("ALTER TABLE atomic_test.named RENAME TO atomic_test.named__old")
+    T.publish([good.union(good)], "atomic_test.named", str(tmp_path))
+    assert spark.table("atomic_test.named").count() == 2
+
+
+def test_merge_rewrites_touched_folders_only(spark, tmp_path):
+    path = tmp_path / "table"
+    schema = "id string, x int, y int, place string"
+    old = [("a", 1, 1, "01"), ("b", 2, 2, "01"), ("c", 3, 3, "02"), ("d", 4, 4, "0:3"), (None, 5, 5, "02"), ("e", 6, 6, "04")]
+    assert len(T.merge_table(spark, str(path), spark.createDataFrame(old, schema), ["id"], ["place"])) == 4
+
+    def files():
+        return {f: f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+
+    before = files()
+    new = [("c", 30, None, "01"), ("d", -1, -1, "0:3"), ("d", 40, None, "01"), (None, None, 50, "02"), ("f", 7, 7, "05")]
+    touched = T.merge_table(spark, str(path), spark.createDataFrame(new, schema).coalesce(1), ["id"], ["place"])
+    assert {t[0] for t in touched} == {"01", "02", "0:3", "05"}
+    read = spark.read.schema(schema).parquet(str(path))
+    assert sorted(map(str, (tuple(r) for r in read.collect()))) == sorted(map(str, [
+        ("a", 1, 1, "01"), ("b", 2, 2, "01"), ("c", 30, 3, "01"), ("d", 40, 4, "01"), (None, 5, 50, "02"), ("e", 6, 6, "04"), ("f", 7, 7, "05")]))
+    after = files()
+    assert {f for f in before if "place=04" in str(f)} <= {f for f in after if after[f] == before.get(f)}
+    assert not [f for f in after if "0%3A3" in str(f)]  # its only row moved
+    assert T.merge_table(spark, str(path), spark.createDataFrame([], schema), ["id"], ["place"]) == []
+
+
+def test_validation_reports(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "acs_S1811_2010_cleaned.csv").write_text("year,fips,dis_employed\n2010,01,-5\n2010,01,-5\n2010,,7\n")
+    (tmp_path / "in" / "bls_cps_cleaned.csv").write_text("year,value\n2010,1\n")
+    (tmp_path / "in" / "empty_cleaned.csv").write_text("")
+    write_validation(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    rows = spark.read.csv(str(tmp_path / "out" / "validation_summary"), header=True).collect()
+    got = {r["file"]: (r["status"], r["duplicate_rows"], r["missing_fips"], r["negative_cols"], r["error"]) for r in rows}
+    assert got == {"acs_S1811_2010_cleaned.csv": ("WARN", "1", "1", "dis_employed", None), "bls_cps_cleaned.csv": ("OK", "0", None, None, None),
+                   "empty_cleaned.csv": ("ERROR", None, None, None, "no header could be read")}
+    detail = spark.read.csv(str(tmp_path / "out" / "validation_column_detail"), header=True)
+    assert [(r["file"], r["column"], r["null_pct"]) for r in detail.orderBy("file", "position").collect()] == [
+        ("acs_S1811_2010_cleaned.csv", "year", "0.0"), ("acs_S1811_2010_cleaned.csv", "fips", "33.33"), ("acs_S1811_2010_cleaned.csv", "dis_employed", "0.0"),
+        ("bls_cps_cleaned.csv", "year", "0.0"), ("bls_cps_cleaned.csv", "value", "0.0")]

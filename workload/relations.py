@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from tallyloom.operators import catalogue as C
 from tallyloom.operators import relational as R
 from tallyloom.operators.shape import drop_all_null
+from tallyloom.session import materialise, work_folder
+from tallyloom.sources import tables as T
 from workload import query, table
 from workload.scalars import PART_ID, SERIES, VARIABLE_ID, series_list
 
@@ -110,8 +112,10 @@ def f10(spark, sf):
     b as (select o_custkey as state, count(*) as v2 from orders where o_orderstatus = 'F' group by 1),
     c as (select o_custkey as state, count(*) as v3 from orders where o_orderstatus = 'O' group by 1),
     ab as (select coalesce(a.state, b.state) as state, NAME, v1, v2 from a full join b on a.state = b.state)
-    select coalesce(ab.state, c.state) as state, NAME, v1, v2, v3 from ab full join c on ab.state = c.state""")
+    select coalesce(ab.state, c.state) as state, NAME, v1, v2, v3 from ab full join c on ab.state = c.state
+    union all select null, 'nowhere', 0.5, null, 7""")
 def j1(spark, sf):
+    """Batches that lack some places each; the first and the last also have a row without a place."""
     customer, orders = table(spark, sf, "customer"), table(spark, sf, "orders")
 
     def batch(status, out):
@@ -122,7 +126,10 @@ def j1(spark, sf):
     first = customer.filter("c_custkey % 3 <> 0").select(
         F.col("c_custkey").alias("state"), F.col("c_name").alias("NAME"), F.col("c_acctbal").alias("v1")
     )
-    return R.merge_batches([first, batch("F", "v2"), batch("O", "v3")], ["state"])
+    nowhere = table(spark, sf, "region").filter("r_regionkey = 0").withColumn("state", F.lit(None).cast("bigint"))
+    first = first.unionByName(nowhere.select("state", F.lit("nowhere").alias("NAME"), F.lit(0.5).alias("v1")))
+    last = batch("O", "v3").unionByName(nowhere.select("state", F.lit(7).cast("bigint").alias("v3"), F.lit("repeated").alias("NAME")))
+    return R.merge_batches([first, batch("F", "v2"), last], ["state"])
 
 
 @query("j3_join_state_year", """
@@ -224,15 +231,44 @@ def u2(spark, sf):
     new as (select o_custkey as c_custkey, max(o_totalprice) as balance, min(o_orderpriority) as priority
             from orders where o_orderstatus = 'P' group by 1)
     select coalesce(old.c_custkey, new.c_custkey) as c_custkey, c_name, coalesce(new.balance, old.balance) as balance,
-        priority from old full join new on old.c_custkey = new.c_custkey""")
+        priority from old full join new on old.c_custkey = new.c_custkey
+    union all select null, 'no key', 2, 'last'""")
 def u4(spark, sf):
+    """Both sides also hold a row without a key, and the new one a key several times, of which the last counts."""
     old = table(spark, sf, "customer").filter("c_custkey % 4 <> 0").select(
         "c_custkey", "c_name", F.col("c_acctbal").alias("balance")
     )
     new = table(spark, sf, "orders").filter("o_orderstatus = 'P'").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.max("o_totalprice").alias("balance"), F.min("o_orderpriority").alias("priority")
     )
-    return C.upsert(old, new, "c_custkey")
+    none = table(spark, sf, "region").filter("r_regionkey = 0").select(F.lit(None).cast("bigint").alias("c_custkey"))
+    old = old.unionByName(none.select("c_custkey", F.lit("no key").alias("c_name"), F.lit(1.0).alias("balance"))).withColumn("at", F.lit(0))
+    first = new.select("c_custkey", F.lit(-1.0).alias("balance"), F.lit("first").alias("priority"), F.lit(1).alias("at"))
+    keyless = none.select("c_custkey", F.lit(2.0).alias("balance"), F.lit("last").alias("priority"), F.lit(2).alias("at"))
+    return C.upsert(old, first.unionByName(new.withColumn("at", F.lit(2))).unionByName(keyless), "c_custkey", "at").drop("at")
+
+
+@query("u4_merge_table", """
+    with old as (select o_orderkey, cast(year(o_orderdate) as integer) as year, o_totalprice as price, o_orderstatus as status from orders),
+    new as (select o_orderkey + case when o_orderkey % 3 = 0 then 100000000 else 0 end as o_orderkey, o_totalprice + 1 as price, 1996 as year
+            from orders where year(o_orderdate) in (1995, 1996) and o_orderkey % 5 = 0)
+    select coalesce(new.year, old.year) as year, count(*) as n, cast(sum(cast(round(coalesce(new.price, old.price) * 100) as bigint)) as bigint) as cents,
+        count(status) as with_status, coalesce(new.year, old.year) in (1995, 1996) as rewritten
+    from old full join new on old.o_orderkey = new.o_orderkey group by 1""")
+def u4_table(spark, sf):
+    """A table in folders of its year takes rows of two years: new ones, and known ones of which some move to another year."""
+    path = work_folder(spark, "merged")
+    orders = table(spark, sf, "orders").withColumn("year", F.year("o_orderdate"))
+    T.write_cleaned(orders.select("o_orderkey", F.col("o_totalprice").alias("price"), F.col("o_orderstatus").alias("status"), "year"), path, ("year",))
+    written = F.max(F.col("_metadata.file_modification_time")).alias("at")
+    before = materialise(spark.read.parquet(path).groupBy("year").agg(written.alias("before")), "times")
+    new = orders.filter("year in (1995, 1996) and o_orderkey % 5 = 0").select(
+        F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderkey") + 100000000).otherwise(F.col("o_orderkey")).alias("o_orderkey"),
+        (F.col("o_totalprice") + 1).alias("price"), F.lit(1996).alias("year"))
+    T.merge_table(spark, path, new, ["o_orderkey"], ["year"])
+    now = spark.read.parquet(path).groupBy("year").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("price") * 100).cast("bigint")).alias("cents"), F.count("status").alias("with_status"), written)
+    return now.join(before, "year").select("year", "n", "cents", "with_status", (F.col("at") > F.col("before")).alias("rewritten"))
 
 
 @query("u5_change_report", f"""with {SERIES},

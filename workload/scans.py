@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyloom.plans.folders import profile_folder, publish_folder
+from tallyloom.plans.folders import profile_folder, publish_folder, validate_folder
 from tallyloom.session import work_folder
 from tallyloom.sources import raw as W
 from tallyloom.sources import tables as T
@@ -20,10 +20,17 @@ from workload.scalars import PART_ID
         lateral (select k.id as var_id, case when k.id like '%C01%' then cast(c_acctbal as varchar)
             else case when c_custkey % 3 = 0 then null else c_mktsegment end end as value) v
     union all select 'S1810', 2011, 'state', n_name, cast(n_nationkey as varchar), null, 'S1810_C02_001E',
-        cast(n_regionkey as varchar) from nation
+        cast(n_regionkey as varchar) from nation where n_nationkey % 5 <> 0
     union all select 'B18120', 2012, 'county', s_name || chr(10) || 'second, line', cast(s_nationkey as varchar), cast(s_suppkey as varchar),
         'B18120_001PE', cast(s_acctbal as varchar) from supplier""")
 def s1(spark, sf):
+    rows = W.land_raw(spark, f"{_raw_folder(spark, sf)}/*", work_folder(spark, "landing"))
+    return rows.select("table_id", "year", "level", "name", "state", "county", F.explode("vars").alias("var_id", "value"))
+
+
+def _raw_folder(spark, sf):
+    """Raw files of three shapes: a header with a quoted line break and a name met again, rows that are short or have
+    surplus fields, values with quotes and line breaks, a file without a line."""
     folder = work_folder(spark, "raw")
     customers = table(spark, sf, "customer").select(
         F.concat(F.col("c_name"), F.lit(', Land "'), F.col("c_mktsegment"), F.lit('"')).alias("NAME"),
@@ -31,18 +38,31 @@ def s1(spark, sf):
         F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")).alias("S1810_C02_001E"),
         F.lit("stale").alias("NAME.1"), F.col("c_nationkey").alias("state"), F.col("c_custkey").alias("county"),
     )
-    line = F.concat_ws(",", "n_nationkey", "n_name", "n_regionkey", F.lit("again"))
+    line = F.concat_ws(",", "n_nationkey", "n_name", "n_regionkey", F.lit("again"), F.when(F.col("n_nationkey") % 5 == 0, F.lit("extra,more")))
     nations = table(spark, sf, "nation").agg(F.collect_list(line).alias("lines")).select(F.concat(
-        F.lit("state,NAME,S1810_C02_001E,NAME\n\n"), F.array_join("lines", "\n\n")))
+        F.lit('\nstate,NAME,S1810_C02_001E,NAME,"two\nlines"\n\n'), F.array_join("lines", "\n\n")))
     nations.write.text(f"{folder}/acs_S1810_2011_state_raw.csv")
     suppliers = table(spark, sf, "supplier").select(
         F.concat("s_name", F.lit("\nsecond, line")).alias("NAME"), F.col("s_acctbal").cast("string").alias("B18120_001PE"),
         F.col("s_nationkey").alias("state"), F.col("s_suppkey").alias("county"),
     )
+    table(spark, sf, "region").filter("false").select("r_name").coalesce(1).write.text(f"{folder}/acs_S1811_2013_raw.csv")
     for name, df in {"acs_s1810_2011_raw.csv": customers, "acs_B18120_2012_raw.csv": suppliers}.items():
         df.write.csv(f"{folder}/{name}", header=True, escape='"')
-    rows = W.land_raw(spark, f"{folder}/*", work_folder(spark, "landing"))
-    return rows.select("table_id", "year", "level", "name", "state", "county", F.explode("vars").alias("var_id", "value"))
+    return folder
+
+
+@query("s1_rejected_rows", """
+    select 'S1810' as table_id, 2011 as year, 'state' as level, 'more fields than the header' as reason, count(*) as n,
+        min(n_nationkey || ',' || n_name || ',' || n_regionkey || ',again,extra,more') as first_record
+        from nation where n_nationkey % 5 = 0
+    union all select 'S1811', 2013, 'county', 'no header could be read', 1, null""")
+def s1_rejects(spark, sf):
+    """What a landing of raw files leaves beside it."""
+    beside = work_folder(spark, "rejects")
+    W.land_raw(spark, f"{_raw_folder(spark, sf)}/*", work_folder(spark, "landing"), rejects=beside)
+    return W.read_rejects(spark, beside).groupBy("table_id", "year", "level", "reason").agg(
+        F.count(F.lit(1)).alias("n"), F.min("record").alias("first_record"))
 
 
 @query("s2_read_acs_meta", """
@@ -71,27 +91,54 @@ def s2(spark, sf):
 
 @query("s3_explode_matrix", """
     select p_partkey, v.* from part, lateral (
-        select 0 as row_number, p_name as name, cast(p_size as varchar) as state
-        union all select 1, null, p_brand where p_partkey % 2 = 0) v""")
+        select 0 as row_number, p_name as name, cast(p_size as varchar) as state, p_type as name_again
+        union all select 1, null, p_brand, null where p_partkey % 2 = 0) v where p_partkey % 5 <> 0""")
 def s3(spark, sf):
-    header = F.array(F.lit("NAME"), F.lit("state"))
-    first = F.array(F.col("p_name"), F.col("p_size").cast("string"))
+    return W.explode_matrix(_matrices(spark, sf), "payload", ["p_partkey"]).select(
+        "p_partkey", "row_number", *[F.try_element_at("record", F.lit(c)).alias(c.lower().replace(".1", "_again")) for c in ("NAME", "state", "NAME.1")])
+
+
+def _matrices(spark, sf):
+    """Responses whose header repeats a name, with short rows; every fifth is broken or has a row that is too long."""
+    header = F.array(F.lit("NAME"), F.lit("state"), F.lit("NAME"))
+    first = F.array(F.col("p_name"), F.col("p_size").cast("string"), F.col("p_type"))
     second = F.array(F.lit(None).cast("string"), F.col("p_brand"))
-    matrix = F.when(F.col("p_partkey") % 2 == 0, F.array(header, first, second)).otherwise(F.array(header, first))
-    payload = table(spark, sf, "part").select("p_partkey", F.to_json(matrix).alias("payload"))
-    return W.explode_matrix(payload, "payload", ["p_partkey"]).select(
-        "p_partkey", "row_number", F.try_element_at("record", F.lit("NAME")).alias("name"),
-        F.try_element_at("record", F.lit("state")).alias("state"),
-    )
+    third = F.array(*[F.lit(c) for c in "abcd"])
+    key = F.col("p_partkey")
+    matrix = F.when(key % 10 == 5, F.array(header, first, third)).when(key % 2 == 0, F.array(header, first, second)).otherwise(F.array(header, first))
+    payload = F.when(key % 10 == 0, F.concat(F.lit("oops "), key.cast("string"))).otherwise(F.to_json(matrix))
+    return table(spark, sf, "part").select("p_partkey", payload.alias("payload"))
+
+
+@query("s3_rejected_matrices", """
+    select p_partkey, case when p_partkey % 10 = 0 then 'no array of rows' else 'more fields than the header' end as reason
+    from part where p_partkey % 5 = 0""")
+def s3_rejects(spark, sf):
+    return W.rejected_matrices(_matrices(spark, sf), "payload", ["p_partkey"]).select("p_partkey", "reason")
 
 
 @query("s4_flatten_series", """
-    with e as (select * from events where event_id % 7 <> 0)
+    with e as (select * from events where event_id % 7 <> 0 and event_id % 13 <> 0 and event_id % 17 <> 0)
     select 'LNU0' || user_id as series_id, coalesce(c_name, '') as series_description, cast(year(ts) as varchar) as year,
         v.period, v.value, v.footnotes from e left join customer on c_custkey = user_id and c_custkey % 4 <> 0,
         lateral (select 'M01' as period, cast(event_id as varchar) as value, event_type || '; b' as footnotes
                  union all select 'A01', '', '') v""")
 def s4(spark, sf):
+    catalogue = table(spark, sf, "customer").filter("c_custkey % 4 <> 0").select(
+        F.concat(F.lit("LNU0"), F.col("c_custkey").cast("string")).alias("series_id"), F.col("c_name").alias("title")
+    )
+    return W.flatten_series(_responses(spark, sf), "payload", catalogue)
+
+
+@query("s4_rejected_responses", """
+    select case when event_id % 13 = 0 then 'broken' when event_id % 17 = 0 then 'empty' else 'failed: REQUEST_FAILED' end as reason,
+        count(*) as n from events where event_id % 7 = 0 or event_id % 13 = 0 or event_id % 17 = 0 group by 1""")
+def s4_rejects(spark, sf):
+    """Responses that failed, are cut off, or hold no value."""
+    return W.rejected_responses(_responses(spark, sf), "payload").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _responses(spark, sf):
     events = table(spark, sf, "events")
     year = F.year("ts").cast("string").alias("year")
 
@@ -112,10 +159,8 @@ def s4(spark, sf):
             F.concat(F.lit("LNU0"), F.col("user_id").cast("string")).alias("seriesID"), F.array(first, second).alias("data"),
         )).alias("series")).alias("Results"),
     ))
-    catalogue = table(spark, sf, "customer").filter("c_custkey % 4 <> 0").select(
-        F.concat(F.lit("LNU0"), F.col("c_custkey").cast("string")).alias("series_id"), F.col("c_name").alias("title")
-    )
-    return W.flatten_series(events.select(payload.alias("payload")), "payload", catalogue)
+    cut = F.when(F.col("event_id") % 13 == 0, F.substring(payload, 1, 30)).when(F.col("event_id") % 17 == 0, '{"status": "REQUEST_SUCCEEDED"}')
+    return events.select(F.coalesce(cut, payload).alias("payload"))
 
 
 @query("s5_read_catalogue", """
@@ -158,10 +203,12 @@ _TOKEN = """case c_custkey % 9 when 0 then '' when 1 then 'NA' when 2 then 'N/A'
 @query("s7_read_cleaned", f"""
     select case when c_custkey % 9 < 7 then null else c_name end as state, '0' || c_custkey as fips,
         2000 + c_nationkey as year, case when c_custkey % 9 < 7 then null else c_acctbal end as dis_employed,
-        'S' || c_nationkey % 3 as table_id, null as pop_16_plus, null as remark from customer
-    union all select null, '0' || s_suppkey, 2000 + s_nationkey, s_acctbal, 'T1', cast(s_suppkey as double), s_name from supplier""")
+        'S' || c_nationkey % 3 as table_id, null as pop_16_plus, null as remark, null as two_lines, null as year_again from customer
+    union all select null, '0' || s_suppkey, 2000 + s_nationkey, s_acctbal, 'T1', cast(s_suppkey as double), s_name, null, null from supplier
+    union all select null, cast(n_nationkey as varchar), 2010, null, 'T2', null, null, n_name, '1999' from nation where n_nationkey % 4 <> 0""")
 def s7(spark, sf):
-    """Files whose columns differ in number and order, with a text column of no table, in folders that tell the table."""
+    """Files whose columns differ in number, order and case, with a text column of no table, a header with a line break and
+    rows with surplus fields, in folders that tell the table."""
     path = f"{work_folder(spark, 'cleaned')}/acs_S1811_cleaned.csv"
     T.write_cleaned(table(spark, sf, "customer").select(
         F.expr(_TOKEN.format("c_name")).alias("state"), F.concat(F.lit("0"), F.col("c_custkey").cast("string")).alias("fips"),
@@ -173,7 +220,10 @@ def s7(spark, sf):
         (F.col("s_nationkey") + 2000).alias("year"), F.col("s_name").alias("remark"), F.col("s_suppkey").alias("pop_16_plus"),
         F.col("s_acctbal").alias("dis_employed"), F.concat(F.lit("0"), F.col("s_suppkey").cast("string")).alias("fips"), F.lit("T1").alias("table_id"),
     ), path, by=("table_id",), kind="csv")
-    return T.read_cleaned(spark, path)
+    line = F.concat_ws(",", "n_nationkey", "n_name", F.lit("2010,1999"), F.when(F.col("n_nationkey") % 4 == 0, F.lit("surplus")))
+    table(spark, sf, "nation").agg(F.collect_list(line).alias("lines")).select(F.concat(
+        F.lit('fips,"two\nlines",Year,year\n'), F.array_join("lines", "\n"))).write.text(f"{path}/table_id=T2")
+    return T.read_cleaned(spark, path).withColumnsRenamed({"two\nlines": "two_lines", "year.1": "year_again"})
 
 
 def orders_by_table(spark, sf):
@@ -345,20 +395,50 @@ def e4(spark, sf):
     return publish_folder(spark, f"{_folder(spark, sf)}/*", "folder_published").select("table_name", "row_count")
 
 
-@query("e5_profile_folder", """
-    select 'acs_S1811_2010_cleaned.csv' as file, count(*) as row_count, 3 as column_count, count(*) - count(distinct (c_custkey % 5 = 0, case when c_custkey % 5 <> 0 then c_custkey end, c_acctbal)) as duplicate_rows,
-        count_if(c_custkey % 5 = 0) as missing_fips, 2010 as year_min, 2010 as year_max, count_if(c_custkey % 5 = 0) as total_nulls, null as error
-        from customer where c_custkey % 2 = 0
-    union all select 'acs_S1811_2011_cleaned.csv', count(*), 3, greatest(count_if(c_custkey % 5 = 0) - 1, 0), count_if(c_custkey % 5 = 0), 2011, 2011, count(*) + count_if(c_custkey % 5 = 0), null
-        from customer where c_custkey % 2 = 1
-    union all select 'bls_cps_cleaned.csv', count(*), 3, 0, null, 2012, 2012, 0, null from supplier
-    union all select 'empty_cleaned.csv', null, null, null, null, null, null, null, 'no header could be read'""")
+_NEGATIVE = "case when count_if({0} < 0) > 0 then '{1}' else '' end"
+
+
+@query("e5_profile_folder", f"""
+    with f as (
+        select 'acs_S1811_2010_cleaned.csv' as file, count(*) as row_count, 3 as column_count, count(*) - count(distinct (c_custkey % 5 = 0, case when c_custkey % 5 <> 0 then c_custkey end, c_acctbal)) as duplicate_rows,
+            count_if(c_custkey % 5 = 0) as missing_fips, 2010 as year_min, 2010 as year_max, count_if(c_custkey % 5 = 0) as total_nulls, '' as high_null_cols,
+            {_NEGATIVE.format('c_acctbal', 'dis_employed')} as negative_cols from customer where c_custkey % 2 = 0
+        union all select 'acs_S1811_2011_cleaned.csv', count(*), 3, greatest(count_if(c_custkey % 5 = 0) - 1, 0), count_if(c_custkey % 5 = 0), 2011, 2011, count(*) + count_if(c_custkey % 5 = 0),
+            'pop_16_plus', '' from customer where c_custkey % 2 = 1
+        union all select 'bls_cps_cleaned.csv', count(*), 3, 0, null, 2012, 2012, 0, '', {_NEGATIVE.format('s_acctbal', 'value')} from supplier)
+    select *, case when duplicate_rows > 0 or high_null_cols <> '' or negative_cols <> '' then 'WARN' else 'OK' end as status, null as error from f
+    union all select 'empty_cleaned.csv', null, null, null, null, null, null, null, null, null, 'ERROR', 'no header could be read'""")
 def e5(spark, sf):
     path = _folder(spark, sf)
     table(spark, sf, "nation").filter("false").select("n_name").coalesce(1).write.text(f"{path}/empty_cleaned.csv")
     return profile_folder(spark, f"{path}/*")
 
 
+def _detail(file, position, column, value, source):
+    text = f"cast({value} as varchar)"
+    return f"""select '{file}' as file, {position} as position, '{column}' as "column", count(*) - count({text}) as null_count,
+        round((count(*) - count({text})) / count(*) * 100, 2) as null_pct, count(distinct {text}) as unique_count, cast(min({value}) as double) as min,
+        cast(max({value}) as double) as max, case when count({text}) > 0 then count_if({value} < 0) end as negative_count, round(avg({value}), 4) as mean from {source}"""
+
+
+_FIPS = "case when c_custkey % 5 <> 0 then c_custkey end"
+
+
+@query("e5_validation_detail", " union all ".join([
+    _detail("acs_S1811_2010_cleaned.csv", 0, "year", "2010", "customer where c_custkey % 2 = 0"),
+    _detail("acs_S1811_2010_cleaned.csv", 1, "fips", _FIPS, "customer where c_custkey % 2 = 0"),
+    _detail("acs_S1811_2010_cleaned.csv", 2, "dis_employed", "c_acctbal", "customer where c_custkey % 2 = 0"),
+    _detail("acs_S1811_2011_cleaned.csv", 0, "fips", _FIPS, "customer where c_custkey % 2 = 1"),
+    _detail("acs_S1811_2011_cleaned.csv", 1, "year", "2011", "customer where c_custkey % 2 = 1"),
+    _detail("acs_S1811_2011_cleaned.csv", 2, "pop_16_plus", "cast(null as integer)", "customer where c_custkey % 2 = 1"),
+    _detail("bls_cps_cleaned.csv", 0, "series_id", "s_suppkey", "supplier"),
+    _detail("bls_cps_cleaned.csv", 1, "year", "2012", "supplier"),
+    _detail("bls_cps_cleaned.csv", 2, "value", "s_acctbal", "supplier")]))
+def e5_detail(spark, sf):
+    """Every column of every file of a folder."""
+    return validate_folder(spark, f"{_folder(spark, sf)}/*")[0].drop("dtype").withColumn("mean", F.round("mean", 4))
+
+
 @query("s9_publish_report", """select 'published.reported' as table_name, count(*) as row_count, true as has_bytes from orders""")
 def s9_report(spark, sf):
     """What publishing reports of a table that is written in folders of its year."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.numbers import round_even, to_number
 from tallyloom.operators.relational import lookup
+from tallyloom.session import materialise
 
 _NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 
@@ -58,6 +59,61 @@ def profile_columns(
     )
 
 
+# Accuracy of the sketches of distinct values (a relative error of about 0.7 percent), and the estimate up to
+# which values are counted exactly instead.
+SKETCH_BITS = 14
+FEW = 1000
+
+
+def column_states(df: DataFrame, by: list[str], blank_as_null: bool = True, few: int = FEW) -> DataFrame:
+    """What profiles of columns are made of, per group and column, in a form that merges.
+
+    Counts, sums and extremes add up; distinct values are a sketch, so no value is shuffled. Only of
+    columns with at most `few` of them in every group they are counted exactly too, in a second pass over those columns.
+    """
+    found = cells(df, by, blank_as_null).groupBy(*by, "position").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_if(F.col("text").isNull()).alias("null_count"),
+        F.count("number").alias("number_count"), F.count_if(F.col("number") < 0).alias("negative_count"),
+        F.sum("number").alias("sum"), F.min("number").alias("min"), F.max("number").alias("max"),
+        F.hll_sketch_agg("text", SKETCH_BITS).alias("sketch"),
+    )
+    names, kinds = (F.array(*[F.lit(v) for v in values]) for values in zip(*df.dtypes))
+    place = F.col("position")
+    found = materialise(found.withColumns({"column": F.get(names, place), "dtype": F.get(kinds, place)}), "states")
+    widest = found.groupBy("column").agg(F.max(F.hll_sketch_estimate("sketch")).alias("n")).where(F.col("n") <= few)
+    small = [r["column"] for r in widest.collect()]  # names of columns
+    if not small:
+        return found.withColumn("distinct_count", F.lit(None).cast("bigint"))
+    some = df.select(*by, *[F.col(f"`{c}`") for c in small])
+    labels = F.array(*[F.lit(c) for c in some.columns])
+    exact = cells(some, by, blank_as_null).groupBy(*by, "position").agg(F.countDistinct("text").alias("distinct_count"))
+    keys = [f"_k{i}" for i in range(len(by) + 1)]
+    exact = exact.select(*[F.col(c).alias(k) for c, k in zip(by, keys)], F.get(labels, "position").alias(keys[-1]), "distinct_count")
+    same = [F.col(c).eqNullSafe(F.col(k)) for c, k in zip([*by, "column"], keys)]
+    return found.join(exact, same, "left").drop(*keys)
+
+
+def merge_states(states: DataFrame, by: list[str]) -> DataFrame:
+    """States of parts as states of the groups of `by`; of distinct values the sketch is left."""
+    return states.groupBy(*by, "column").agg(
+        F.min("position").alias("position"), F.max("dtype").alias("dtype"),
+        *[F.sum(c).alias(c) for c in ("row_count", "null_count", "number_count", "negative_count", "sum")],
+        F.min("min").alias("min"), F.max("max").alias("max"), F.hll_union_agg("sketch", True).alias("sketch"),
+        F.lit(None).cast("bigint").alias("distinct_count"),
+    )
+
+
+def profile_states(states: DataFrame, by: list[str]) -> DataFrame:
+    """Profiles from states, as `profile_columns` gives them; `unique_exact` tells whether distinct values were counted."""
+    share = F.col("null_count") / F.greatest(F.col("row_count"), F.lit(1)) * 100
+    return states.select(
+        *by, "position", "column", "dtype", "null_count", round_even(share, 2).alias("null_pct"),
+        F.coalesce("distinct_count", F.hll_sketch_estimate("sketch")).alias("unique_count"), F.col("distinct_count").isNotNull().alias("unique_exact"),
+        "min", "max", F.when(F.col("number_count") > 0, F.col("negative_count")).alias("negative_count"),
+        round_even(F.try_divide("sum", F.col("number_count")), 4).alias("mean"),
+    )
+
+
 def duplicate_rows(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Rows that repeat an earlier row; NULL equals NULL. Copies are counted before any shuffle."""
     counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))

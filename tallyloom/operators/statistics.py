@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.significance import p_value
@@ -31,6 +32,43 @@ def pearson(df: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
     )
 
 
+def pearson_states(df: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
+    """Number, means and centred sums of the complete pairs of each group, which merge without the rows."""
+    return df.groupBy(*by).agg(
+        F.regr_count(y, x).alias("n"), F.regr_avgx(y, x).alias("mean_x"), F.regr_avgy(y, x).alias("mean_y"),
+        F.regr_sxx(y, x).alias("sxx"), F.regr_syy(y, x).alias("syy"), F.regr_sxy(y, x).alias("sxy"),
+    )
+
+
+def merge_pearson(states: DataFrame, by: list[str]) -> DataFrame:
+    """States of parts as states of the groups of `by`.
+
+    Centred sums of the parts are added to what their means lie apart from the common one; raw sums of
+    squares, which cancel, are never taken. One shuffle.
+    """
+    all_parts = Window.partitionBy(*by)
+    n = F.sum("n").over(all_parts)
+
+    def mean(c: str) -> Column:
+        return F.try_divide(F.sum(F.col("n") * F.col(c)).over(all_parts), n)
+
+    near = states.withColumns({"_x": mean("mean_x"), "_y": mean("mean_y")})
+    dx, dy = F.col("mean_x") - F.col("_x"), F.col("mean_y") - F.col("_y")
+    return near.groupBy(*by).agg(
+        F.sum("n").alias("n"), F.any_value("_x").alias("mean_x"), F.any_value("_y").alias("mean_y"),
+        F.sum(F.col("sxx") + F.col("n") * dx * dx).alias("sxx"), F.sum(F.col("syy") + F.col("n") * dy * dy).alias("syy"),
+        F.sum(F.col("sxy") + F.col("n") * dx * dy).alias("sxy"),
+    )
+
+
+def pearson_of(states: DataFrame, by: list[str]) -> DataFrame:
+    """As `pearson`, from states."""
+    r = F.try_divide("sxy", F.sqrt("sxx") * F.sqrt("syy"))
+    bounded = F.when((F.col("n") >= 3) & r.isNotNull(), F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)))
+    found = states.withColumn("pearson_r", bounded)
+    return found.select(*by, "pearson_r", p_value(F.col("pearson_r"), F.col("n")).alias("p_value"), "n")
+
+
 def fit_line(df: DataFrame, x: str, y: str, points: int = 100) -> DataFrame:
     """Least-squares line at evenly spaced places of the range of x."""
     pairs = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
@@ -50,17 +88,27 @@ def correlation_summary(studies: list[tuple[str, DataFrame, dict[str, str], str,
     A study is (name, data, {column: label of x}, column of y, label of y). Its columns are
     unpivoted in the scan's own pass and correlated by one aggregation for all studies.
     """
+    return pearson(stacked_pairs(studies), STUDY, "x", "y")
+
+
+STUDY = ["analysis", "x_variable", "y_variable"]
+
+
+def stacked_pairs(studies: list[tuple[str, DataFrame, dict[str, str], str, str]], keep: list[str] | None = None) -> DataFrame:
+    """All pairs of all studies as rows: analysis, x_variable, y_variable, x, y and the columns to keep."""
     def long(name: str, data: DataFrame, xs: dict[str, str], y: str, y_label: str) -> DataFrame:
         pairs = [F.struct(F.lit(label).alias("x_variable"), F.col(c).cast("double").alias("x")) for c, label in xs.items()]
         return data.select(
-            F.lit(name).alias("analysis"), F.lit(y_label).alias("y_variable"),
+            *(keep or []), F.lit(name).alias("analysis"), F.lit(y_label).alias("y_variable"),
             F.col(y).alias("y"), F.inline(F.array(*pairs)),
         )
 
-    stacked, *rest = [long(*study) for study in studies]
-    for other in rest:
-        stacked = stacked.unionByName(other)
-    return pearson(stacked, ["analysis", "x_variable", "y_variable"], "x", "y")
+    return reduce(DataFrame.unionByName, [long(*study) for study in studies])
+
+
+def correlation_states(studies: list[tuple[str, DataFrame, dict[str, str], str, str]], part: str = "year") -> DataFrame:
+    """States of every correlation of the studies in each part."""
+    return pearson_states(stacked_pairs(studies, [part]), [*STUDY, part], "x", "y")
 
 
 def _around(share: float, rows: int) -> list[float]:

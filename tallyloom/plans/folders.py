@@ -8,9 +8,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.operators.quality import profile_columns, profile_file, quality_flags
-from tallyloom.session import materialise
-from tallyloom.sources.headers import BROKEN, file_headers, read_by_header, sound
+from tallyloom.operators.quality import column_states, profile_columns, profile_file, quality_flags
+from tallyloom.operators.relational import lookup
+from tallyloom.session import configured, exists, materialise
+from tallyloom.sources.headers import BROKEN, escaped, file_headers, listing, read_by_header, sound
 from tallyloom.sources.raw import route_files
 from tallyloom.sources.tables import clean_tokens, ensure_database, publish, read_cleaned
 
@@ -73,3 +74,28 @@ def write_validation(spark: SparkSession, paths: str | list[str], target: str) -
     detail, summary = validate_folder(spark, paths)
     for name, df, order in (("validation_column_detail", detail, ("file", "position")), ("validation_summary", summary, ("file",))):
         df.sort(*order).write.mode("overwrite").csv(f"{target.rstrip('/')}/{name}", header=True, escape='"')
+
+
+def refresh_profiles(spark: SparkSession, paths: str | list[str], store: str) -> DataFrame:
+    """States of the columns of all files there are, per file: path and what `column_states` gives.
+
+    States are kept at `store` with the time and size of their file. Files that have theirs are not read again; new
+    and changed ones are, and states of files that are gone or were changed count no more. `profile_states`
+    makes profiles of the result, and `merge_states` before it, of all files at once.
+    """
+    kept = ["uri", "modified", "bytes"]
+    with configured(spark, listing(spark)):
+        files = spark.read.format("binaryFile").load(paths).select(
+            F.col("_metadata.file_path").alias("uri"), "path", F.col("modificationTime").alias("modified"), F.col("length").alias("bytes"))
+        files = materialise(files, "listing")
+    have = exists(spark, store)
+    fresh = files.join(spark.read.parquet(store).select(*kept).distinct(), kept, "left_anti") if have else files
+    new = [r["path"] for r in fresh.select("path").collect()]
+    # One list of files goes into the readers; it is as long as there is new work.
+    for df in map(sound, read_by_header(spark, new, headers=file_headers(spark, [escaped(f) for f in new])) if new else []):
+        named = clean_tokens(df.withColumnRenamed("_path", "uri"))
+        states = column_states(named, ["uri"])
+        lookup(states, fresh.select(*kept), ["uri"], "inner").write.mode("append").parquet(store)
+    if not exists(spark, store):
+        return spark.createDataFrame([], "path string, position int, column string")
+    return lookup(spark.read.parquet(store), files, kept, "inner").drop(*kept)

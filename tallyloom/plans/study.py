@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.numbers import log_column, rate
 from tallyloom.operators.relational import any_not_null, at_level, join_state_year, not_null
-from tallyloom.operators.statistics import correlation_summary
+from tallyloom.operators.statistics import STUDY, correlation_states, correlation_summary, merge_pearson, pearson_of
 
 # Studies, labels and columns of the published summary.
 EDUCATION = {
@@ -64,12 +64,30 @@ def talent_pool(s1810: DataFrame, s1811: DataFrame) -> DataFrame:
     )
 
 
-def summary(s1810: DataFrame, s1811: DataFrame, b18120: DataFrame) -> DataFrame:
-    """The thirteen correlations of the three studies."""
-    return correlation_summary([
+def studies(s1810: DataFrame, s1811: DataFrame, b18120: DataFrame) -> list[tuple]:
+    return [
         ("Education vs Employment Rate", education(s1811),
          {out: label for out, (_, label) in EDUCATION.items()}, "employment_rate", RATE_16),
         ("Disability Type vs Employment Rate", disability_type(b18120, s1810),
          {f"{c}_prevalence": label for c, label in TYPES.items()}, "employment_rate", RATE_18),
         ("Talent Pool Size vs Employment Rate", talent_pool(s1810, s1811), POOL, "employment_rate", RATE_16),
-    ])
+    ]
+
+
+def summary(s1810: DataFrame, s1811: DataFrame, b18120: DataFrame) -> DataFrame:
+    """The thirteen correlations of the three studies."""
+    return correlation_summary(studies(s1810, s1811, b18120))
+
+
+def refresh_states(store: str, years: list[int], s1810: DataFrame, s1811: DataFrame, b18120: DataFrame) -> DataFrame:
+    """Replace the states of the given years at `store` and return those of all years; only these years' rows are read."""
+    tables = [df.where(F.col("year").isin(years)) for df in (s1810, s1811, b18120)]
+    spark = s1810.sparkSession
+    states = correlation_states(studies(*tables))
+    states.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(store)
+    return spark.read.schema(states.schema).parquet(store)
+
+
+def summary_of(states: DataFrame) -> DataFrame:
+    """The correlations over all years, from the states of each."""
+    return pearson_of(merge_pearson(states, STUDY), STUDY)

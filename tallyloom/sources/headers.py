@@ -74,7 +74,7 @@ def file_headers(spark: SparkSession, paths: str | list[str]) -> dict[tuple[str,
     do; a name met again gets a number after a dot. Files without a line, or that cannot be read, are
     listed under the empty header.
     """
-    with configured(spark, _listing(spark)):
+    with configured(spark, listing(spark)):
         listed = spark.read.format("binaryFile").load(paths)
         sizes = listed.select("path", "length").collect()
         # Files without a byte are not scanned.
@@ -87,8 +87,8 @@ def file_headers(spark: SparkSession, paths: str | list[str]) -> dict[tuple[str,
         split = str(ALONE if alone else 64 << 20)
         settings = {"spark.sql.files.maxPartitionBytes": split, "spark.sql.files.openCostInBytes": split if alone else str(64 << 10),
                     "spark.sql.files.ignoreCorruptFiles": "true"}
-        with configured(spark, {**settings, **_listing(spark)}):
-            lines = spark.read.schema("value string").text([_escaped(f) for f in files]).select("value", "_metadata.file_path")
+        with configured(spark, {**settings, **listing(spark)}):
+            lines = spark.read.schema("value string").text([escaped(f) for f in files]).select("value", "_metadata.file_path")
             records = lines.mapInArrow(_first_records(alone), "path string, header string").collect()
         found.update((_plain(unquote(r.path)), r.header) for r in records)
     headers: dict[tuple[str, ...], list[str]] = {}
@@ -98,7 +98,7 @@ def file_headers(spark: SparkSession, paths: str | list[str]) -> dict[tuple[str,
     return headers
 
 
-def _listing(spark: SparkSession) -> dict[str, str]:
+def listing(spark: SparkSession) -> dict[str, str]:
     """Lists many files by a few tasks a core instead of by a task each."""
     return {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(4 * spark.sparkContext.defaultParallelism)}
 
@@ -108,7 +108,7 @@ def _plain(path: str) -> str:
     return path.replace("file:///", "file:/")
 
 
-def _escaped(path: str) -> str:
+def escaped(path: str) -> str:
     """A path that no character of makes a pattern."""
     return "".join(f"\\{c}" if c in "*?[]{}\\" else c for c in path)
 
@@ -136,8 +136,8 @@ def read_by_header(
         # Without pruning, so that a row's fields are counted whatever columns are asked for.
         reader = spark.read.schema(kinds).options(
             header=True, escape='"', multiLine=multi_line, maxColumns=2 * len(names) + 20_000, columnNameOfCorruptRecord="_record", columnPruning=False)
-        with configured(spark, _listing(spark)):
-            rows = reader.csv([_escaped(f) for f in files])
+        with configured(spark, listing(spark)):
+            rows = reader.csv([escaped(f) for f in files])
         cells = [F.col(f"c{i}").alias(name) for i, name in enumerate(names)]
         # The reader refuses queries of the raw record alone; so its length is asked along with some field's.
         none = F.length(F.substring(F.coalesce("c0", F.lit("")), 1, 0))

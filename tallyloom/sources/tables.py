@@ -16,7 +16,7 @@ from tallyloom.operators.catalogue import upsert
 from tallyloom.operators.relational import combine_years, missing_in
 from tallyloom.operators.shape import sanitize_columns
 from tallyloom.operators.quality import availability
-from tallyloom.session import children, delete, exists, materialise
+from tallyloom.session import children, configured, delete, exists, materialise
 from tallyloom.sources.headers import read_by_header, sound
 from tallyloom.sources.raw import route_files
 
@@ -198,17 +198,65 @@ def _folder_text(value) -> str:
     return "".join(f"%{ord(c):02X}" if c in "\"#%'*/:=?\\{[]^" or ord(c) < 32 or ord(c) == 127 else c for c in text)
 
 
+def _from_footers(spark: SparkSession) -> dict[str, str]:
+    """Settings under which counts and extremes of Parquet files are read from their footers."""
+    first = spark.conf.get("spark.sql.sources.useV1SourceList")
+    others = ",".join(kind for kind in first.split(",") if kind.strip() != "parquet")
+    return {"spark.sql.sources.useV1SourceList": others, "spark.sql.parquet.aggregatePushdown": "true"}
+
+
+def footer_counts(spark: SparkSession, path: str, by: list[str] | None = None, columns: list[str] | None = None) -> DataFrame:
+    """Rows, and values of each of `columns`, per folder of `by`, of a Parquet table, from footers and folder names alone.
+
+    `by` are columns that folders tell, all of them or none. The result has as many rows as there are folders.
+    """
+    with configured(spark, _from_footers(spark)):
+        df = spark.read.parquet(path)
+        counts = [F.count(F.lit(1)).alias("row_count"), *[F.count(c).alias(c) for c in columns or []]]
+        found = (df.groupBy(*by) if by else df).agg(*counts)
+        return spark.createDataFrame(found.collect(), found.schema)
+
+
+def availability_of(spark: SparkSession, path: str, columns: list[str], year: str = "year") -> DataFrame:
+    """As `availability`, for columns of a Parquet table in folders of its year: first and last year with values."""
+    counts = footer_counts(spark, path, [year], columns)
+    each = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("n")) for c in columns]))
+    return counts.select(F.col(year).alias("year"), each).where("n > 0").groupBy("column").agg(
+        F.min("year").alias("first_year"), F.max("year").alias("last_year"), F.sum("n").alias("value_count"))
+
+
+def coverage_of(spark: SparkSession, path: str, by: list[str]) -> DataFrame:
+    """As `coverage`, for a Parquet table in folders of `by`."""
+    return footer_counts(spark, path, by)
+
+
 def table_inventory(spark: SparkSession, database: str) -> DataFrame:
-    """Tables of a database with rows and the time of the last load."""
-    counted = [
-        spark.table(f"{database}.{t.name}").select("*", "_metadata.file_modification_time").agg(
-            F.count(F.lit(1)).alias("row_count"), F.max("file_modification_time").alias("last_loaded")
-        ).select(F.lit(t.name).alias("table_name"), "row_count", "last_loaded")
-        for t in spark.catalog.listTables(database) if not t.isTemporary
-    ]
-    if not counted:
-        return spark.createDataFrame([], "table_name string, row_count bigint, last_loaded timestamp")
-    return reduce(DataFrame.unionByName, counted)
+    """Tables of a database with rows and the time of the last load.
+
+    Of Parquet tables both come from footers and the list of files, of views and other tables by reading them.
+    """
+    schema = "table_name string, row_count bigint, last_loaded timestamp"
+    found = []
+    for t in spark.catalog.listTables(database):
+        if t.isTemporary:
+            continue
+        told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {database}.`{t.name}`").collect()}
+        if told.get("Provider") == "parquet" and told.get("Location"):
+            rows = footer_counts(spark, told["Location"]).first()["row_count"]
+            files = spark.read.format("binaryFile").load(told["Location"]).agg(F.max("modificationTime").alias("at"))
+            found.append((t.name, rows, files.first()["at"]))
+        else:
+            found.append((t.name, spark.table(f"{database}.`{t.name}`").count(), None))
+    return spark.createDataFrame(found, schema)
+
+
+def write_colocated(df: DataFrame, name: str, path: str, keys: tuple[str, ...] = ("state_fips", "year"), buckets: int = 64) -> None:
+    """A table in sorted buckets of `keys`: two of them with as many buckets are joined and grouped by the keys without a shuffle.
+
+    One task writes a bucket, so `buckets` follows the size of the table and is the same for tables that are joined.
+    """
+    rows = df.repartition(buckets, *keys)
+    rows.write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
 
 
 def load_preview(files: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ from tallyloom.operators import quality as Q
 from tallyloom.operators import relational as R
 from tallyloom.operators import statistics as S
 from tallyloom.plans import study
+from tallyloom.session import work_folder
+from tallyloom.sources.tables import availability_of, coverage_of, write_cleaned
 from workload import query, table
 
 # Orders by year as files, with missing, blank and negative cells put in by projection.
@@ -60,6 +62,18 @@ def a7(spark, sf):
     return Q.profile_columns(files(spark, sf), ["file"])
 
 
+@query("a7_profile_states", f"""with {_FILES} select file, position, "column", dtype, null_count, null_pct, min, max, negative_count, mean, true as unique_close
+    from ({_profile_sql()})""")
+def a7_states(spark, sf):
+    """Profiles merged from states of the files' parts; distinct values within three percent of the exact count."""
+    df = files(spark, sf).withColumn("part", F.pmod(F.xxhash64("fips", "code"), F.lit(5)))
+    merged = Q.profile_states(Q.merge_states(Q.column_states(df, ["file", "part"]), ["file"]), ["file"])
+    exact = Q.profile_columns(files(spark, sf), ["file"]).select("file", "column", F.col("unique_count").alias("exact"))
+    close = F.abs(F.col("unique_count") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * 0.03)
+    return merged.join(exact, ["file", "column"]).select(
+        "file", "position", "column", "dtype", "null_count", "null_pct", "min", "max", "negative_count", "mean", close.alias("unique_close"))
+
+
 @query("a8_duplicate_rows", """
     with d as (select l_quantity, l_discount, l_tax, l_returnflag, l_linestatus, count(*) as n from lineitem group by all)
     select l_returnflag, l_linestatus, cast(sum(n - 1) as bigint) as duplicate_rows from d group by 1, 2""")
@@ -215,6 +229,15 @@ def a13(spark, sf):
     return rounded(study.summary(**state_tables(spark, sf)))
 
 
+@query("a13_from_states", f"""with {_STATES}, correlated as ({_study_sql()}), {_CORRELATED}
+    select analysis, x_variable, y_variable, round(pearson_r, 8) as pearson_r, round(p, 6) as p_value, n from finished""")
+def a13_states(spark, sf):
+    """The study from the states of each year: first all years, then one of them anew."""
+    tables, store = state_tables(spark, sf), work_folder(spark, "study")
+    study.refresh_states(store, list(range(1990, 2010)), **tables)
+    return rounded(study.summary_of(study.refresh_states(store, [1997], **tables)))
+
+
 @query("e3_education_rows", f"""with {_STATES}
     select 'N' || state_fips as state, state_fips, year, dis_employed_total / nullif(dis_pop_16_plus, 0) as employment_rate,
         {', '.join(f'{c} / nullif(dis_edu_pop_25_plus, 0) as {out}' for out, (c, _) in study.EDUCATION.items())}
@@ -296,3 +319,28 @@ def a18(spark, sf):
 def a19(spark, sf):
     df = table(spark, sf, "orders").withColumn("year", F.year("o_orderdate"))
     return Q.coverage(df, ["o_orderstatus", "year"])
+
+
+def _by_status_and_year(spark, sf):
+    path = work_folder(spark, "covered")
+    write_cleaned(table(spark, sf, "orders").withColumn("year", F.year("o_orderdate")), path, ("o_orderstatus", "year"))
+    return path
+
+
+@query("a18_availability_of_files", """
+    with y as (select cast(year(o_orderdate) as integer) as year, * from orders)
+    select 'early' as "column", min(year) as first_year, max(year) as last_year, count(*) as value_count from y where year < 1998
+    union all select 'o_totalprice', min(year), max(year), count(*) from y""")
+def a18_files(spark, sf):
+    """Years in which columns hold values, from the footers of a table in folders of its year."""
+    path, year = work_folder(spark, "available"), F.year("o_orderdate")
+    write_cleaned(table(spark, sf, "orders").select(
+        year.alias("year"), "o_totalprice", F.when(year < 1998, 1).alias("early"), F.lit(None).cast("int").alias("never")), path, ("year",))
+    return availability_of(spark, path, ["o_totalprice", "early", "never"])
+
+
+@query("a19_coverage_of_files", """
+    select o_orderstatus, cast(year(o_orderdate) as integer) as year, count(*) as row_count from orders group by 1, 2""")
+def a19_files(spark, sf):
+    """Rows per folder, from the footers."""
+    return coverage_of(spark, _by_status_and_year(spark, sf), ["o_orderstatus", "year"])

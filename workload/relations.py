@@ -132,14 +132,16 @@ def j1(spark, sf):
     return R.merge_batches([first, batch("F", "v2"), last], ["state"])
 
 
-@query("j3_join_state_year", """
+_STATE_YEARS = """
     with o as (select c_nationkey as state_fips, year(o_orderdate) as year, count(*) as orders
                from orders join customer on o_custkey = c_custkey group by 1, 2),
     l as (select s_nationkey as state_fips, year(l_shipdate) as year, count(*) as items
           from lineitem join supplier on l_suppkey = s_suppkey group by 1, 2)
     select o.state_fips, cast(o.year as integer) as year, orders, items from o join l
-        on o.state_fips = l.state_fips and o.year = l.year""")
-def j3(spark, sf):
+        on o.state_fips = l.state_fips and o.year = l.year"""
+
+
+def _state_years(spark, sf):
     orders = (
         table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .groupBy(F.col("c_nationkey").alias("state_fips"), F.year("o_orderdate").alias("year"))
@@ -150,7 +152,21 @@ def j3(spark, sf):
         .groupBy(F.col("s_nationkey").alias("state_fips"), F.year("l_shipdate").alias("year"))
         .agg(F.count(F.lit(1)).alias("items"))
     )
-    return R.join_state_year(orders, items)
+    return orders, items
+
+
+@query("j3_join_state_year", _STATE_YEARS)
+def j3(spark, sf):
+    return R.join_state_year(*_state_years(spark, sf))
+
+
+@query("j3_join_colocated", _STATE_YEARS)
+def j3_colocated(spark, sf):
+    """The same over two tables in buckets of state and year, which are joined without a shuffle."""
+    T.ensure_database(spark, "colocated")
+    for name, df in zip(("orders_of_states", "items_of_states"), _state_years(spark, sf)):
+        T.write_colocated(df, f"colocated.{name}", f"{work_folder(spark, 'colocated')}/{name}", buckets=4)
+    return R.join_state_year(spark.table("colocated.orders_of_states"), spark.table("colocated.items_of_states"))
 
 
 @query("j6_insert_missing", f"""with {SERIES},

@@ -312,8 +312,8 @@ def s12(spark, sf):
 
 
 @query("s13_table_inventory", """
-    select 'nations' as table_name, count(*) as row_count from nation
-    union all select 'orders_of_customers', count(*) from orders join customer on o_custkey = c_custkey""")
+    select 'nations' as table_name, count(*) as row_count, true as loaded_now from nation
+    union all select 'orders_of_customers', count(*), true from orders join customer on o_custkey = c_custkey""")
 def s13(spark, sf):
     orders, customer = table(spark, sf, "orders"), table(spark, sf, "customer")
     T.ensure_database(spark, "inventory")
@@ -323,7 +323,8 @@ def s13(spark, sf):
     }
     for name, df in tables.items():
         T.publish([df], f"inventory.{name}", f"{work_folder(spark, 'inventory')}/{name}")
-    return T.table_inventory(spark, "inventory").select("table_name", "row_count")
+    lately = F.col("last_loaded").between(F.current_timestamp() - F.expr("interval 1 hour"), F.current_timestamp() + F.expr("interval 1 hour"))
+    return T.table_inventory(spark, "inventory").select("table_name", "row_count", lately.alias("loaded_now"))
 
 
 _WIDTH = "p_size + p_partkey % 10000 % 7"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import string
 
 from pyspark.sql import DataFrame, Window
@@ -19,8 +20,8 @@ BASE = {
 
 # Label, identifier as words, name as a pattern over words, and a word that every match of the name holds.
 NAMES = [
-    ("0bsd", "0bsd", "zero clause bsd license|bsd zero clause license|0 clause bsd license", "license"),
-    ("aal", "aal", "attribution assurance license", "license"),
+    ("0bsd", "0bsd", "zero clause bsd license|bsd zero clause license|0 clause bsd license", "bsd"),
+    ("aal", "aal", "attribution assurance license", "assurance"),
     ("afl", "afl(?: [123] [0-9])?", "academic free license(?: version| v)?(?: [123] [0-9])?", "academic"),
     ("agpl-3.0", "agpl 3 0(?: only| or later)?", "(?:gnu )?affero general public license(?: (?:version )?3(?: 0)?)?", "affero"),
     ("apache-1.1", "apache 1 1", "apache software license(?: version)? 1 1", "apache"),
@@ -28,7 +29,7 @@ NAMES = [
     ("apsl", "apsl(?: [12] [0-9])?", "apple public source license", "apple"),
     ("artistic-1.0", "artistic 1 0(?: perl)?", "artistic license(?: version)? 1 0", "artistic"),
     ("artistic-2.0", "artistic 2 0", "artistic license(?: version)?(?: 2 0)?", "artistic"),
-    ("beerware", "beerware", "beer ?ware license", "license"),
+    ("beerware", "beerware", "beer ?ware license", "beer|beerware"),
     ("blueoak", "blueoak 1 0 0", "blue oak model license(?: 1 0 0)?", "oak"),
     ("bsd-2-clause", "bsd 2 clause(?: patent)?", "(?:simplified|freebsd|bsd 2 clause|2 clause bsd|two clause bsd) licen[cs]e", "clause|simplified|freebsd"),
     ("bsd-3-clause", "bsd 3 clause(?: clear)?", "(?:new bsd|modified bsd|revised bsd|bsd 3 clause|3 clause bsd|three clause bsd) licen[cs]e", "bsd"),
@@ -116,18 +117,20 @@ TEXTS = [
 ]
 
 
-def rules() -> list[tuple[int, int, str, str, str, float]]:
-    """Rule number, priority, label, pattern, word and confidence, in the order in which rules win.
+def rules() -> list[tuple[int, int, str, str, str, str, float]]:
+    """Rule number, priority, label, pattern, words of which a match holds one, a word that it holds too, and
+    confidence, in the order in which rules win.
 
-    Between two words stand two blanks; an optional blank of a rule stands for both or none.
+    The first words are those of the identifier or name, the other is the frame's. Between two words stand two blanks; an optional blank of a rule stands for both or none.
     """
     found = []
     for priority, sure, frame, word in FRAMES:
         for label, identifier, name, own in NAMES:
-            found.append((priority, label, frame.format(id=identifier, name=name), word or own, sure))
-    found += [(3, label, text, word, sure) for label, text, word, sure in TEXTS]
+            first = "|".join(re.match("[a-z0-9]+", some)[0] for some in re.sub(r"\([^()]*\)\??", "", identifier).split("|"))
+            found.append((priority, label, frame.format(id=identifier, name=name), first if "{id}" in frame else own, word, sure))
+    found += [(3, label, text, word, "", sure) for label, text, word, sure in TEXTS]
     found.sort(key=lambda r: r[0])
-    return [(i, p, label, f" (?:{text}) ".replace(" ?", "(?: )?").replace(" ", "  ")[1:-1], word, sure) for i, (p, label, text, word, sure) in enumerate(found)]
+    return [(i, p, label, f" (?:{text}) ".replace(" ?", "(?: )?").replace(" ", "  ")[1:-1], own, word, sure) for i, (p, label, text, own, word, sure) in enumerate(found)]
 
 
 def words_of(text):
@@ -144,17 +147,19 @@ def blanks(text):
 def detections(docs: DataFrame, key_col: str, words_col: str) -> DataFrame:
     """Columns key, rule, label, sure, first, last (words, from 0): what is left of all rules' matches.
 
-    Rules are joined to a text by the words in it that they need, so a text without such words meets
-    no pattern. A match within another match is suppressed; of equal ones the first rule's stays.
+    Rules are joined to a text by the words in it that they need, those of the name and that of the frame,
+    so a text meets only patterns all of whose words it holds. A match within another match is suppressed; of equal ones the first rule's stays.
     """
     spark = docs.sparkSession
-    each = [(i, p, label, text, w, sure) for i, p, label, text, word, sure in rules() for w in word.split("|")]
-    known = spark.createDataFrame(each, "rule int, priority int, label string, pattern string, word string, sure double")
-    needed = sorted({w for *_, w, _ in each})
-    gate = " (" + "|".join(needed) + ") "
+    each = [(i, p, label, text, w, also, sure) for i, p, label, text, word, also, sure in rules() for w in word.split("|")]
+    known = spark.createDataFrame(each, "rule int, priority int, label string, pattern string, word string, also string, sure double")
+    own, frames = {w for *_, w, _, _ in each}, {also for *_, also, _ in each if also}
+    gate, told = (" (" + "|".join(sorted(some)) + ") " for some in (own, own | frames))
     rows = docs.select(F.col(key_col).alias("key"), F.col(words_col).alias("words")).where(F.rlike("words", F.lit(gate)))
-    rows = rows.withColumn("word", F.explode(F.array_distinct(F.regexp_extract_all("words", F.lit(gate), F.lit(1)))))
-    hits = rows.join(F.broadcast(known), "word").where(F.rlike("words", F.col("pattern")))
+    rows = rows.withColumn("held", F.array_distinct(F.regexp_extract_all("words", F.lit(told), F.lit(1))))
+    rows = rows.withColumn("word", F.explode("held"))
+    hits = rows.join(F.broadcast(known), "word").where((F.col("also") == "") | F.array_contains("held", F.col("also")))
+    hits = hits.where(F.rlike("words", F.col("pattern")))
     hits = hits.select("key", "rule", "label", "sure", F.posexplode(F.arrays_zip(
         F.transform(F.split("words", F.col("pattern"), -1), blanks).alias("before"),
         F.transform(F.regexp_extract_all("words", F.col("pattern"), F.lit(0)), blanks).alias("own"))).alias("place", "hit"))
@@ -203,7 +208,7 @@ def op6_licenses(spark, folder: str) -> DataFrame:
 
 
 def _sql() -> str:
-    values = ", ".join(f"({i}, '{label}', '{text}', '{word}', {sure})" for i, _, label, text, word, sure in rules())
+    values = ", ".join(f"({i}, '{label}', '{text}', '{word}', {sure})" for i, _, label, text, word, _, sure in rules())
     base = ", ".join(f"('{' ' + p.replace(' ', '  ') + ' '}', '{label}', {len(p.split())})" for p, label in BASE.items())
     return rf"""
 with rules(rule, label, pattern, word, sure) as (values {values}),

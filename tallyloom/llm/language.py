@@ -14,7 +14,7 @@ from tallyloom.llm.quality import fold
 TEXTS = 64  # labelled texts taken per language, the bound of what is learned from
 CHARS = 1000  # characters taken of each
 BYTES = 192 << 10  # bytes of labelled text over all languages, shared evenly
-MANY = 1000  # languages at most, in order of their names
+LEAST = 256  # bytes of a language's share at least, however many languages there are
 EASE = 8
 LANES = 4096  # pieces parsed in step
 PIECE = 1024  # bytes of a piece
@@ -128,36 +128,39 @@ def fit_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
                   chars: int = CHARS, total: int = BYTES) -> dict[str, bytes]:
     """Labelled text per language: at most `texts` texts of `chars` characters and an even share of `total` bytes.
 
-    The texts are those with the smallest hash, counted once each, so that copies and the order of
-    the input do not matter. Null or blank texts and null languages teach nothing.
+    Every language is learned; past total / LEAST of them each has LEAST bytes, so what workers hold is bounded by
+    the languages that labels name. The texts are those with the smallest hash, counted once each, so that copies and
+    the order of the input do not matter. Null or blank texts and null languages teach nothing.
     """
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.substring(text_col, 1, chars).alias("text"))
     rows = rows.where("lang is not null and trim(text) <> ''").withColumn("h", F.shiftrightunsigned(F.xxhash64("text"), 1))
     # Only hashes that can be among the smallest are ranked: some EASE times as many as are wanted.
-    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).orderBy("lang").limit(MANY)
-    close = rows.join(F.broadcast(sizes), "lang").where(F.col("h") <= F.lit(EASE * texts * 2.0**63) / F.col("n"))
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
+    close = rows.join(sizes, "lang").where(F.col("h") <= F.lit(EASE * texts * 2.0**63) / F.col("n"))
     ranked = close.select("lang", "h").distinct().withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
     least = ranked.where(F.col("r") <= texts).drop("r")
-    chosen = rows.join(F.broadcast(least), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    chosen = rows.join(least, ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
     chosen = chosen.orderBy("lang", "h")
     found: dict[str, list[bytes]] = {}
     for lang, text in chosen.select("lang", "text").toLocalIterator():
         found.setdefault(lang, []).append(normal(text))
-    share = total // max(1, len(found))
+    share = max(LEAST, total // max(1, len(found)))
     return {lang: b" \n ".join(parts)[:share] for lang, parts in found.items() if b"".join(parts)}
 
 
 def identify(docs: DataFrame, samples: dict[str, bytes], text_col: str = "text", lang_into: str = "lang_pred",
-             score_into: str = "score") -> DataFrame:
+             score_into: str = "score", rate_into: str | None = None) -> DataFrame:
     """`docs` with the language whose text parses each whole text into the fewest phrases per byte.
 
     The score is s / (b + s) for the fewest b and second fewest s phrases, so 0.5 for a draw and
     towards 1 the clearer the choice; with one learned language it is 1. Draws go to the first name
-    in order. A text that is null or without letters, or any text when nothing was learned, is `und` with score 0. Rows
-    and all other columns stay as they are.
+    in order. A text that is null or without letters, or any text when nothing was learned, is `und` with score 0. With
+    `rate_into` there is also b, less the phrase that the text's end cuts off, per byte: low where the text is in the
+    language, whatever its length, and 0 for `und`. Rows and all other columns stay as they are.
     """
     ship(docs.sparkSession.sparkContext)
     shared = docs.sparkSession.sparkContext.broadcast(samples)
+    names_added = [lang_into, score_into, *([rate_into] if rate_into else [])]
 
     def run(batches):
         parse = parser(shared.value)
@@ -165,22 +168,25 @@ def identify(docs: DataFrame, samples: dict[str, bytes], text_col: str = "text",
         for batch in batches:
             texts = [normal(t.as_py() or "") for t in batch[text_col]]
             counted = parse.phrases(texts) if names else np.zeros((len(texts), 0))
-            langs, scores = [], []
+            langs, scores, rates = [], [], []
             for text, row in zip(texts, counted):
                 if not text or not names:
                     langs.append(UNKNOWN)
                     scores.append(0.0)
+                    rates.append(0.0)
                     continue
                 best = int(np.argmin(row))
                 second = np.delete(row, best).min() if len(row) > 1 else None
                 langs.append(names[best])
+                rates.append(float(row[best] - 1) / len(text))
                 scores.append(float(second / (row[best] + second)) if second is not None else 1.0)
-            kept = batch.drop_columns([c for c in (lang_into, score_into) if c in batch.schema.names])
-            kept = kept.append_column(lang_into, pa.array(langs, pa.string()))
-            yield kept.append_column(score_into, pa.array(scores, pa.float64()))
+            kept = batch.drop_columns([c for c in names_added if c in batch.schema.names])
+            for name, values, kind in zip(names_added, (langs, scores, rates), (pa.string(), pa.float64(), pa.float64())):
+                kept = kept.append_column(name, pa.array(values, kind))
+            yield kept
 
-    kept = [f for f in docs.schema.fields if f.name not in (lang_into, score_into)]
-    added = [T.StructField(lang_into, T.StringType()), T.StructField(score_into, T.DoubleType())]
+    kept = [f for f in docs.schema.fields if f.name not in names_added]
+    added = [T.StructField(c, T.StringType() if c == lang_into else T.DoubleType()) for c in names_added]
     return docs.mapInArrow(run, T.StructType([*kept, *added]))
 
 

@@ -12,8 +12,13 @@ from pyspark.sql import types as T
 from tallyloom.llm.common import held, ship, table, tidy
 
 SAMPLE = 4000  # labelled documents that vote, the bound of what the driver and every task hold
-FEATURES = 1024  # hashed counts of a document
+SHAPE = 1024  # hashed counts of a document's shape: classes of its bytes, lengths and repeats of its words
+WORDS = 2048  # hashed counts of its words, and
+GRAMS = 1024  # of four letters in a row
+FEATURES = SHAPE + WORDS + GRAMS
+TERMS = 0.5  # weight of words and letters beside the shape
 RANK = 48  # latent dimensions
+TURNS = 6  # rounds of the search for them
 NEIGHBOURS = 25
 BLOCK = 512  # documents whose products are held at once
 SHARPNESS = 8  # power of the similarity that weighs a vote
@@ -32,14 +37,55 @@ def _classes() -> np.ndarray:
 CLASSES = _classes()
 
 
+def _lower() -> np.ndarray:
+    """Bytes in lower case; blanks and line ends are 32, other bytes that are no part of a word 0."""
+    code = np.arange(256, dtype=np.uint32)
+    for c in range(128):
+        x = chr(c)
+        code[c] = ord(x.lower()) if x.isalnum() else 32 if x.isspace() else 0
+    return code
+
+
+LOWER = _lower()
+PIECE = 1 << 20  # bytes whose terms are hashed at once
+ODD = 2654435769  # multiplies hashes; an odd number near 2^32 over the golden ratio
+
+
+def terms(raw: bytes, out: np.ndarray) -> None:
+    """Add hashed counts of words, in lower case, and of four letters in a row to `out`. A word longer than PIECE is hashed in parts."""
+    at = 0
+    while at < len(raw):
+        end = min(len(raw), at + PIECE)
+        if end < len(raw) and (cut := max(raw.rfind(b" ", at, end), raw.rfind(b"\n", at, end))) > at:
+            end = cut
+        code = LOWER[np.frombuffer(raw[at:end], np.uint8)]
+        at = end
+        inside = code > 32
+        letters = np.flatnonzero(inside)
+        if not len(letters):
+            continue
+        begins = np.flatnonzero(np.diff(letters, prepend=-2) > 1)
+        size = np.diff(np.append(begins, len(letters)))
+        place = (np.arange(len(letters)) - np.repeat(begins, size)).astype(np.uint32)
+        # The letters of a word, each turned by its place, added up.
+        mixed = (code[letters] + np.uint32(1)) * ((place * np.uint32(2) + np.uint32(1)) * np.uint32(40503) ^ np.uint32(ODD))
+        named = np.add.reduceat(mixed, begins) * np.uint32(ODD) >> np.uint32(12)
+        out[:WORDS] += np.bincount(named % np.uint32(WORDS), minlength=WORDS)
+        if len(code) > 3:
+            four = ((code[:-3] * np.uint32(257) + code[1:-2]) * np.uint32(257) + code[2:-1]) * np.uint32(257) + code[3:]
+            some = (inside[:-3] & inside[1:-2] & inside[2:-1] & inside[3:])
+            gram = (four[some] * np.uint32(ODD)) >> np.uint32(12)
+            out[WORDS:] += np.bincount(gram % np.uint32(GRAMS), minlength=GRAMS)
+
+
 def counts(text: str | None) -> np.ndarray:
-    """Hashed counts over the whole text: triples of byte classes, and how words repeat.
+    """Hashed counts over the whole text: triples of byte classes, how words repeat, the words and their letters.
 
     Words count as repeating their neighbour, as repeating any earlier word, and by length.
     """
     raw = (text or "").encode("utf-8", "replace")
     out = np.zeros(FEATURES, np.float32)
-    half = FEATURES - 64
+    half = SHAPE - 64
     for at in range(0, len(raw), 1 << 20):
         code = CLASSES[np.frombuffer(raw[at:at + (1 << 20) + 2], np.uint8)]
         if len(code) > 2:
@@ -52,32 +98,47 @@ def counts(text: str | None) -> np.ndarray:
         out[half + 32] = sum(map(bytes.__eq__, words, words[1:]))
         out[half + 33] = len(words) - len(set(words))
         out[half + 34] = len(words)
+    terms(raw, out[SHAPE:])
     return out
 
 
 def weighted(rows: np.ndarray, rarity: np.ndarray) -> np.ndarray:
     """Shares of a document's counts, dampened and weighted by rarity."""
-    total = np.maximum(rows[:, :FEATURES - 64].sum(1, keepdims=True), 1)
-    words = np.maximum(rows[:, [FEATURES - 30]], 1)
-    shares = np.concatenate([rows[:, :FEATURES - 64] / total, rows[:, FEATURES - 64:] / words], axis=1)
-    return np.sqrt(shares) * rarity
+    half, found = SHAPE - 64, []
+    words = np.maximum(rows[:, [half + 34]], 1)
+    for low, high, weight in ((0, half, 1.0), (half, SHAPE, 1.0), (SHAPE, SHAPE + WORDS, TERMS), (SHAPE + WORDS, FEATURES, TERMS)):
+        part = rows[:, low:high]
+        total = words if low == half else np.maximum(part.sum(1, keepdims=True), 1)
+        found.append(np.sqrt(part / total) * np.float32(weight))
+    return np.concatenate(found, axis=1) * rarity
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
 
 
+def latent(x: np.ndarray) -> np.ndarray:
+    """Directions in which the rows of `x` are longest, by rounds of multiplying a random start; the same every time."""
+    found = np.random.default_rng(5).standard_normal((x.shape[1], 2 * RANK))
+    for _ in range(TURNS):
+        found = np.linalg.qr(x.T @ (x @ found))[0]
+    values, turn = np.linalg.eigh((x @ found).T @ (x @ found))
+    return (found @ turn[:, np.argsort(-values, kind="stable")[:RANK]]).astype(np.float32)
+
+
 def fit(rows: np.ndarray, labels: np.ndarray) -> dict:
     """Latent space of the labelled counts, and the labelled documents' unit vectors in it."""
     rarity = np.log((1 + len(rows)) / (1 + (rows > 0).sum(0))).astype(np.float32) + 1
-    x = weighted(rows, rarity)
-    values, axes = np.linalg.eigh((x.T @ x).astype(np.float64))
-    axes = axes[:, np.argsort(values)[::-1][:RANK]].astype(np.float32)
-    return {"rarity": rarity, "axes": axes, "vectors": unit(x @ axes), "labels": labels.astype(np.float32)}
+    x = weighted(rows, rarity).astype(np.float64)
+    axes = latent(x)
+    return {"rarity": rarity, "axes": axes, "vectors": unit((x @ axes).astype(np.float32)), "labels": labels.astype(np.float32)}
 
 
 def vote(model: dict, rows: np.ndarray) -> np.ndarray:
-    """Share of label 1 among the nearest labelled documents, weighted by similarity; exact, in blocks."""
+    """Share of label 1 among the nearest labelled documents, weighted by similarity; exact, in blocks.
+
+    Of labelled documents equally near, to six digits, those of smaller id vote.
+    """
     labels = model["labels"]
     if not len(labels):
         return np.full(len(rows), 0.5)
@@ -85,7 +146,12 @@ def vote(model: dict, rows: np.ndarray) -> np.ndarray:
     scores = []
     for at in range(0, len(rows), BLOCK):
         like = unit(weighted(rows[at:at + BLOCK], model["rarity"]) @ model["axes"]) @ model["vectors"].T
-        best = np.argpartition(-like, near - 1, axis=1)[:, :near]
+        # Rounded, so that products of equal vectors are equal in every block; votes are in the order of ids.
+        like = np.round(like, 6)
+        bound = np.partition(like, -near, axis=1)[:, [-near]]
+        above, level = like > bound, like == bound
+        level &= np.cumsum(level, 1) <= near - above.sum(1, keepdims=True)
+        best = np.nonzero(above | level)[1].reshape(len(like), near)
         weight = np.clip(np.take_along_axis(like, best, 1), 1e-6, 1).astype(np.float64) ** SHARPNESS
         scores.append((weight * labels[best]).sum(1) / weight.sum(1))
     return np.clip(np.concatenate(scores), 0, 1) if scores else np.zeros(0)
@@ -127,9 +193,11 @@ def score_quality(docs: DataFrame, model: dict, text_col: str = "text", into: st
     def run(batches):
         held("quality", dict)
         for batch in batches:
-            rows = np.array([counts(t.as_py()) for t in batch[text_col]], np.float32).reshape(-1, FEATURES)
-            kept = batch.drop_columns([into]) if into in batch.schema.names else batch
-            yield kept.append_column(into, pa.array(vote(shared.value, rows), pa.float64()))
+            for at in range(0, len(batch), BLOCK):
+                part = batch.slice(at, BLOCK)
+                rows = np.array([counts(t.as_py()) for t in part[text_col]], np.float32).reshape(-1, FEATURES)
+                kept = part.drop_columns([into]) if into in part.schema.names else part
+                yield kept.append_column(into, pa.array(vote(shared.value, rows), pa.float64()))
         tidy()
 
     kept = [f for f in docs.schema.fields if f.name != into]

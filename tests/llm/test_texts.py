@@ -1,6 +1,7 @@
 """Quality, language, packing, licenses, pages and pieces on small tables and odd rows."""
 
 import math
+import re
 import zlib
 from collections import Counter
 
@@ -43,6 +44,42 @@ def test_votes_equal_brute_force():
         assert score == pytest.approx((weight * labels[near]).sum() / weight.sum(), abs=1e-3)
 
 
+def twin(text, seed):
+    """The text with other letters: the same shape, other words."""
+    rng = np.random.default_rng(seed)
+    other = {c: chr(97 + k) for c, k in zip("abcdefghijklmnopqrstuvwxyz", rng.permutation(26))}
+    return "".join(other.get(c, c) for c in text)
+
+
+def test_words_decide_between_texts_of_one_shape():
+    good = [prose(i, 80) for i in range(40)]
+    bad = [twin(t, 1) for t in good]
+    shape = slice(0, quality.SHAPE)
+    assert all((quality.counts(a)[shape] == quality.counts(b)[shape]).all() for a, b in zip(good[:5], bad))
+    model = quality.fit(np.array([quality.counts(t) for t in good[:30] + bad[:30]]), np.array([1] * 30 + [0] * 30))
+    scores = quality.vote(model, np.array([quality.counts(t) for t in good[30:] + bad[30:]]))
+    assert (scores[:10] > 0.7).all() and (scores[10:] < 0.3).all()
+
+
+def test_equally_near_documents_vote_by_their_order():
+    rows = np.array([quality.counts("one two three")] * 40 + [quality.counts(prose(3, 50))] * 5)
+    labels = np.array([1] * quality.NEIGHBOURS + [0] * 20)
+    model = quality.fit(rows, labels)
+    assert quality.vote(model, rows[:1])[0] == 1.0
+    many = quality.vote(model, np.concatenate([rows[:1]] * 700 + [rows[-1:]] * 3 + [rows[:1]]))
+    assert (many[:700] == 1.0).all() and many[-1] == 1.0
+
+
+def test_terms_of_long_texts():
+    text = ("Some words, and MORE words " * 60_000).encode()
+    whole, parts = np.zeros(quality.WORDS + quality.GRAMS, np.float32), np.zeros(quality.WORDS + quality.GRAMS, np.float32)
+    quality.terms(text, whole)
+    quality.terms(b"some words and more words ", parts)
+    assert np.array_equal(whole[:quality.WORDS], parts[:quality.WORDS] * 60_000) and parts[:quality.WORDS].sum() == 5
+    quality.terms(b"x" * 3_000_000, whole)
+    quality.terms(b"", whole)
+
+
 def test_odd_rows_of_quality(spark, odd, nothing):
     labels = spark.createDataFrame(
         [(i, i % 2, None) for i in range(12)] + [(3, 1, None), (5, None, None), (None, 1, None), (999, 0, None)], "doc_id long, quality int, toxic int")
@@ -88,6 +125,20 @@ def test_held_out_languages(spark):
     assert sum(held) / len(held) >= 0.98
 
 
+def test_every_language_is_learned(spark):
+    rows = spark.range(1200).select(F.format_string("l%05d", "id").alias("lang"), F.concat(F.lit("words of "), F.col("id")).alias("text"))
+    found = language.fit_languages(rows, total=1 << 10)
+    assert set(found) == {f"l{i:05}" for i in range(1200)} and all(found.values())
+
+
+def test_rates_tell_strange_texts(spark):
+    samples = {"xx": prose(1, 2000).encode()}
+    texts = ["q", prose(2, 3), prose(2, 500), "Привет как дела", "Привет как дела " * 500, "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rate = {r.doc_id: r.rate for r in language.identify(df, samples, rate_into="rate").collect()}
+    assert rate[0] == rate[5] == rate[6] == 0 and max(rate[1], rate[2]) < 0.3 and min(rate[3], rate[4]) > 0.8
+
+
 def test_odd_rows_of_languages(odd, nothing, spark):
     samples = {"xx": b"loren midal rasil", "yy": b"quick brown fox"}
     found = language.identify(odd, samples)
@@ -104,6 +155,23 @@ def test_odd_rows_of_languages(odd, nothing, spark):
 
 # packing
 
+def test_ids_equal_the_library():
+    import random
+
+    from tallyloom.llm.tokens import Encoder, ranks
+
+    encoder = Encoder(packing.vocabulary())
+    assert encoder.ranked is not None
+    rng = random.Random(7)
+    parts = [" ", "  ", "\n", "\t", "\r\n", "\u00a0", "a", "é", "日本", "'s", "'LL", "12", "٣", "!", "<|endoftext|>", "\U0001F600", "\u0301", "\x1c", "\ufeff", "Z"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(14))) for _ in range(3000)]
+    texts += ["a" * 50_000, " " * 50_000, "\n" * 30_000, "word " * 20_000 + " " * 5_000 + "end", "x <|endoftext|>y", prose(1, 30_000)]
+    want = [np.array(encoder.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert encoder.encode(texts) == want
+    assert np.frombuffer(encoder.encode(["a<|endoftext|>"])[0], "<u4")[-1] == 50256
+    assert ranks({"model": {"type": "WordPiece"}}) is None
+
+
 def check_packing(rows, texts, window):
     from tokenizers import Tokenizer
 
@@ -195,7 +263,12 @@ def test_words_written_as_one(spark, one, two):
 
 def test_every_rule_has_its_words():
     found = licenses.rules()
-    assert len(found) > 300 and all(word for *_, word, _ in found)
+    assert len(found) > 300 and all(own for _, _, _, _, own, _, _ in found)
+    texts = {label: name.split("|")[0] for label, _, name, _ in licenses.NAMES if "(" not in name and "?" not in name}
+    for _, _, label, pattern, own, also, _ in found:
+        if label in texts and (match := re.search(pattern, f"  licensed  under  {texts[label].replace(' ', '  ')}  ".join("  "))):
+            held = match[0].split()
+            assert set(own.split("|")) & set(held) and (not also or also in held)
 
 
 # pages

@@ -14,8 +14,8 @@ from pyspark.sql import types as T
 
 from tallyloom.llm.common import held, ship, table
 
-HELD = 1 << 20  # words, and pairs of pieces, that a worker remembers
-STEP = 256  # texts encoded at once
+HELD = 1 << 18  # words, and pairs of pieces, that a worker remembers
+STEP = 1024  # texts whose words are sorted together
 MARK = "▁"  # stands for a blank
 WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # kinds of pieces in a model file (fixed values)
@@ -56,8 +56,8 @@ class Pieces:
             self.raw.append(text)
         tails: dict[str, set[int]] = {}
         for piece in self.ids:
-            if len(piece) > 2:
-                tails.setdefault(piece[-3:], {2, 1}).add(len(piece))
+            if len(piece) > 3:
+                tails.setdefault(piece[-4:], {3, 2}).add(len(piece))
         self.tails = {tail: sorted(sizes, reverse=True) for tail, sizes in tails.items()}
         self.worst = min(self.scores.values(), default=0.0) - 10.0
         self.fits: dict[tuple[str, str], bool] = {}
@@ -90,27 +90,32 @@ class Pieces:
         return found
 
     def extend(self, word: str, last: list[str], best: list[float]) -> None:
-        """States for the prefixes of `word` past those there are."""
+        """States for the prefixes of `word` past those there are.
+
+        Without a longer piece that fits, the last piece is the last character.
+        """
         ids, scores, tails, fits = self.ids, self.scores, self.tails, self.fits
-        for end in range(len(last), len(word) + 1):
-            chosen, top = word[end - 1], 0.0
-            # Sizes of the pieces with these last three characters, longest first.
-            sizes = tails.get(word[max(0, end - 3):end], (2, 1))
-            if self.unigram:
+        if self.unigram:
+            for end in range(len(last), len(word) + 1):
+                chosen = word[end - 1]
                 top = best[end - 1] + scores.get(chosen, self.worst)
-                for size in sizes:
+                for size in tails.get(word[max(0, end - 4):end], (3, 2)):
                     score = scores.get(word[end - size:end]) if size <= end else None
                     if score is not None and best[end - size] + score > top:
                         chosen, top = word[end - size:end], best[end - size] + score
-            else:
-                for size in sizes:
-                    if size <= end and (piece := word[end - size:end]) in ids:
-                        fit = fits.get((last[end - size], piece))
-                        if self.follows(last[end - size], piece) if fit is None else fit:
-                            chosen = piece
-                            break
+                last.append(chosen)
+                best.append(top)
+            return
+        for end in range(len(last), len(word) + 1):
+            chosen = word[end - 1]
+            # Sizes of the pieces with these last four characters, longest first.
+            for size in tails.get(word[end - 4:end] if end > 3 else word[:end], (3, 2)):
+                if size <= end and (piece := word[end - size:end]) in ids:
+                    fit = fits.get((last[end - size], piece))
+                    if fit or fit is None and self.follows(last[end - size], piece):
+                        chosen = piece
+                        break
             last.append(chosen)
-            best.append(top)
 
     def learn(self, words: list[str]) -> None:
         """Remember the ids of sorted distinct words."""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyloom.llm.common import held, ship, table
+from tallyloom.llm.common import held, light, ship, stored, table
 from tallyloom.llm.quality import fold
 
 TEXTS = 64  # labelled texts taken per language, the bound of what is learned from
@@ -136,10 +136,10 @@ def fit_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     rows = rows.where("lang is not null and trim(text) <> ''").withColumn("h", F.shiftrightunsigned(F.xxhash64("text"), 1))
     # Only hashes that can be among the smallest are ranked: some EASE times as many as are wanted.
     sizes = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
-    close = rows.join(sizes, "lang").where(F.col("h") <= F.lit(EASE * texts * 2.0**63) / F.col("n"))
+    close = rows.join(light(stored(sizes, "sizes")), "lang").where(F.col("h") <= F.lit(EASE * texts * 2.0**63) / F.col("n"))
     ranked = close.select("lang", "h").distinct().withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
     least = ranked.where(F.col("r") <= texts).drop("r")
-    chosen = rows.join(least, ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    chosen = rows.join(light(stored(least, "least")), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
     chosen = chosen.orderBy("lang", "h")
     found: dict[str, list[bytes]] = {}
     for lang, text in chosen.select("lang", "text").toLocalIterator():

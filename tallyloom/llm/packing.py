@@ -8,7 +8,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import light, stored, table
+from tallyloom.llm.common import light, stored, table, tidy
 from tallyloom.llm.tokens import encoder
 
 WINDOW = 2048
@@ -148,6 +148,7 @@ def encoded(docs: DataFrame, path: str, end: int, window: int) -> DataFrame:
                     full += n // window
                 columns = [pa.array(c, k) for c, k in zip(zip(*rows), (pa.binary(), *[pa.int64()] * 5))]
                 yield pa.RecordBatch.from_arrays([part["id"], *columns], names=["id", "ids", "tokens", "rest", "task", "rank", "full"])
+            tidy()
 
     kind = docs.schema["id"].dataType.simpleString()
     return docs.mapInArrow(run, f"id {kind}, ids binary, tokens long, rest long, task long, rank long, full long")

@@ -13,8 +13,8 @@ from tallyloom.llm.common import held, ship, table, tidy
 
 SAMPLE = 4000  # labelled documents that vote, the bound of what the driver and every task hold
 SHAPE = 1024  # hashed counts of a document's shape: classes of its bytes, lengths and repeats of its words
-WORDS = 2048  # hashed counts of its words, and
-GRAMS = 1024  # of four letters in a row
+WORDS = 1024  # hashed counts of its words, and
+GRAMS = 512  # of four letters in a row
 FEATURES = SHAPE + WORDS + GRAMS
 TERMS = 0.5  # weight of words and letters beside the shape
 RANK = 48  # latent dimensions
@@ -119,19 +119,20 @@ def unit(rows: np.ndarray) -> np.ndarray:
 
 def latent(x: np.ndarray) -> np.ndarray:
     """Directions in which the rows of `x` are longest, by rounds of multiplying a random start; the same every time."""
-    found = np.random.default_rng(5).standard_normal((x.shape[1], 2 * RANK))
+    found = np.random.default_rng(5).standard_normal((x.shape[1], 2 * RANK)).astype(np.float32)
     for _ in range(TURNS):
-        found = np.linalg.qr(x.T @ (x @ found))[0]
-    values, turn = np.linalg.eigh((x @ found).T @ (x @ found))
+        found = np.linalg.qr((x.T @ (x @ found)).astype(np.float64))[0].astype(np.float32)
+    reached = (x @ found).astype(np.float64)
+    values, turn = np.linalg.eigh(reached.T @ reached)
     return (found @ turn[:, np.argsort(-values, kind="stable")[:RANK]]).astype(np.float32)
 
 
 def fit(rows: np.ndarray, labels: np.ndarray) -> dict:
     """Latent space of the labelled counts, and the labelled documents' unit vectors in it."""
     rarity = np.log((1 + len(rows)) / (1 + (rows > 0).sum(0))).astype(np.float32) + 1
-    x = weighted(rows, rarity).astype(np.float64)
+    x = weighted(rows, rarity)
     axes = latent(x)
-    return {"rarity": rarity, "axes": axes, "vectors": unit((x @ axes).astype(np.float32)), "labels": labels.astype(np.float32)}
+    return {"rarity": rarity, "axes": axes, "vectors": unit(x @ axes), "labels": labels.astype(np.float32)}
 
 
 def vote(model: dict, rows: np.ndarray) -> np.ndarray:

@@ -7,6 +7,7 @@ import os
 import sys
 from array import array
 from collections.abc import Iterable
+from functools import cached_property
 
 from tallyloom.llm.common import held
 
@@ -50,10 +51,7 @@ class Encoder:
     """
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as f:
             vocabulary = json.load(f)
         self.added = [t["content"] for t in vocabulary.get("added_tokens", [])]
@@ -63,6 +61,14 @@ class Encoder:
 
             self.ranked = tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=found, special_tokens={})
 
+    @cached_property
+    def tokenizer(self):
+        """The library's own, loaded for the first text that needs it."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def whole(self, text: str) -> bool:
         """Whether the library has to encode a text."""
         if self.ranked is None or any(t in text for t in self.added):

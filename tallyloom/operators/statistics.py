@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.significance import p_value
+from tallyloom.session import materialise, workspace
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -17,6 +18,7 @@ QUARTILES = (0.25, 0.5, 0.75)
 FINISH_ROWS = 200_000
 SKETCH_ACCURACY = 100_000
 SKETCH_SLACK = 3e-5
+RANGES = 64  # ranges of about equal row counts that a written column is cut into
 
 
 def pearson(df: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
@@ -161,26 +163,62 @@ def order_statistics(values: DataFrame, ranks: list[int], bounds: dict[int, tupl
     return found
 
 
+def _range(v: Column, cuts: list[float], first: int = 0) -> Column:
+    """Number of the range of a value: odd for a cut point itself, even for what lies between two."""
+    if not cuts:
+        return F.lit(2 * first)
+    mid = len(cuts) // 2
+    below, above = _range(v, cuts[:mid], first), _range(v, cuts[mid + 1:], first + mid + 1)
+    return F.when(v < cuts[mid], below).when(v > cuts[mid], above).otherwise(F.lit(2 * (first + mid) + 1))
+
+
+def ranked_values(values: DataFrame, ranks: list[int], cuts: list[float]) -> dict[int, float]:
+    """Values of column `v` at 0-based ranks, exact at any size; `values` is read once.
+
+    The column is written alone, a folder per range between sorted cut points and one per cut point.
+    Counts of the ranges tell in which a rank lies: a frequent value fills a range of its own and is
+    found at once, and no other range is read again than one that holds a rank.
+    """
+    by_range = materialise(values.withColumn("range", _range(F.col("v"), cuts)).hint("rebalance", "range"), "ranges", by=("range",))
+    sizes = by_range.groupBy("range").agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    found, few, many, before = {}, {}, {}, 0
+    for r in sizes.sort("range").collect():  # twice the cut points at most
+        places = {rank - before: rank for rank in ranks if before <= rank < before + r["n"]}
+        before += r["n"]
+        if r["lo"] == r["hi"]:
+            found.update(dict.fromkeys(places.values(), r["lo"]))
+        elif places:
+            (few if r["n"] <= FINISH_ROWS else many)[r["range"]] = (places, (r["lo"], r["hi"]))
+    if few:
+        listed = by_range.where(F.col("range").isin(list(few))).groupBy("range").agg(F.sort_array(F.collect_list("v")).alias("v"))
+        wanted = [F.when(F.col("range") == k, F.array(*[F.col("v")[p] for p in places])) for k, (places, _) in few.items()]
+        for r in listed.select("range", F.coalesce(*wanted).alias("at")).collect():
+            found.update(zip(few[r["range"]][0].values(), r["at"]))
+    for k, (places, ends) in many.items():
+        at = order_statistics(by_range.where(F.col("range") == k).select("v"), list(places), dict.fromkeys(places, ends))
+        found.update({rank: at[place] for place, rank in places.items()})
+    return found
+
+
 def describe(df: DataFrame, col: str) -> DataFrame:
-    """Count, mean, sample deviation, minimum, linear quartiles and maximum, one row."""
+    """Count, mean, sample deviation, minimum, linear quartiles and maximum, one row.
+
+    The rows are read twice whatever their values: for the moments and cut points, and to write the column by ranges.
+    """
     values = df.select(F.col(col).cast("double").alias("v")).filter("v is not null")
     basics = {
         "count": F.count("v"), "mean": F.avg("v"), "std": F.stddev_samp("v"), "min": F.min("v"), "max": F.max("v"),
     }
-    near = [p for q in QUARTILES for p in _around(q, FINISH_ROWS)]
     head = values.agg(
         *[expression.alias(name) for name, expression in basics.items()],
-        F.percentile_approx("v", near, SKETCH_ACCURACY).alias("near"),
+        F.percentile_approx("v", [k / RANGES for k in range(1, RANGES)], SKETCH_ACCURACY).alias("cuts"),
     ).first()
     n, quartiles = head["count"], dict.fromkeys(["q25", "q50", "q75"])
     if n:
         places = {name: (n - 1) * q for name, q in zip(quartiles, QUARTILES)}
-        ranks = sorted({f(place) for place in places.values() for f in (math.floor, math.ceil)} | {0, n - 1})
-        bounds = {0: (head["min"], head["max"]), n - 1: (head["min"], head["max"])}
-        for i, place in enumerate(places.values()):
-            for rank in (math.floor(place), math.ceil(place)):
-                bounds.setdefault(rank, (head["near"][2 * i], head["near"][2 * i + 1]))
-        at = order_statistics(values, ranks, bounds)
+        ranks = sorted({f(place) for place in places.values() for f in (math.floor, math.ceil)})
+        with workspace(df.sparkSession):
+            at = ranked_values(values, ranks, sorted(set(head["cuts"])))
         for name, place in places.items():
             low, high = at[math.floor(place)], at[math.ceil(place)]
             quartiles[name] = low + (high - low) * (place - math.floor(place))

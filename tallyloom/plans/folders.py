@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators.quality import column_states, profile_columns, profile_file, quality_flags
 from tallyloom.operators.relational import lookup
-from tallyloom.session import configured, exists, materialise
+from tallyloom.session import configured, exists, materialise, workspace
 from tallyloom.sources.headers import BROKEN, escaped, file_headers, listing, read_by_header, sound
 from tallyloom.sources.raw import route_files
 from tallyloom.sources.tables import clean_tokens, ensure_database, publish, read_cleaned
@@ -71,9 +71,10 @@ def profile_folder(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 def write_validation(spark: SparkSession, paths: str | list[str], target: str) -> None:
     """Both reports as CSV folders below `target`."""
-    detail, summary = validate_folder(spark, paths)
-    for name, df, order in (("validation_column_detail", detail, ("file", "position")), ("validation_summary", summary, ("file",))):
-        df.sort(*order).write.mode("overwrite").csv(f"{target.rstrip('/')}/{name}", header=True, escape='"')
+    with workspace(spark):
+        detail, summary = validate_folder(spark, paths)
+        for name, df, order in (("validation_column_detail", detail, ("file", "position")), ("validation_summary", summary, ("file",))):
+            df.sort(*order).write.mode("overwrite").csv(f"{target.rstrip('/')}/{name}", header=True, escape='"')
 
 
 def refresh_profiles(spark: SparkSession, paths: str | list[str], store: str) -> DataFrame:

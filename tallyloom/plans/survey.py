@@ -12,7 +12,8 @@ from tallyloom.operators import naming as N
 from tallyloom.operators.geography import fill_geo, geo_keys
 from tallyloom.operators.relational import lookup
 from tallyloom.operators.shape import TABLE_YEAR, drop_all_null, pack_names, publish_columns
-from tallyloom.session import materialise
+from tallyloom.session import materialise, workspace
+from tallyloom.sources.tables import write_cleaned
 
 
 def variables_in_use(rows: DataFrame, meta: DataFrame) -> DataFrame:
@@ -93,3 +94,15 @@ def clean_year(rows: DataFrame, meta: DataFrame, table: str, year: int) -> DataF
     chosen = rows.filter(F.col("year") == year)
     cleaned = clean_table(chosen, meta.filter(F.col("year") == year), table)
     return drop_all_null(materialise(cleaned, "year"))
+
+
+def write_table(rows: DataFrame, meta: DataFrame, table: str, path: str, **options) -> None:
+    """`clean_table` written by `write_cleaned`, which takes the options; no work folder is left."""
+    with workspace(rows.sparkSession):
+        write_cleaned(clean_table(rows, meta, table), path, **options)
+
+
+def write_year(rows: DataFrame, meta: DataFrame, table: str, year: int, path: str, **options) -> None:
+    """`clean_year` written likewise."""
+    with workspace(rows.sparkSession):
+        write_cleaned(clean_year(rows, meta, table, year), path, **options)

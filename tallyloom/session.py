@@ -57,22 +57,22 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="run-")
 
 
-def materialise(df: DataFrame, purpose: str) -> DataFrame:
-    """Write `df` to the work folder and read it back.
+def materialise(df: DataFrame, purpose: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Write `df` to the work folder, in folders by the columns of `by`, and read it back.
 
     Cuts the lineage with files that outlive any executor, so that a later loss re-reads the
     files instead of repeating the work.
     """
-    return weighed(df, purpose)[0]
+    return weighed(df, purpose, by)[0]
 
 
-def weighed(df: DataFrame, purpose: str) -> tuple[DataFrame, int]:
+def weighed(df: DataFrame, purpose: str, by: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
     """As `materialise`, with an upper guess of what the rows take in memory.
 
     Columnar files are smaller than rows in memory; UNPACKED times their size errs towards too much.
     """
     spark, path = df.sparkSession, work_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     written = spark.read.schema(df.schema).parquet(path)
     return written, UNPACKED * plan_bytes(written)
 
@@ -122,10 +122,16 @@ def configured(spark: SparkSession, settings: dict[str, str]):
 
 @contextmanager
 def workspace(spark: SparkSession):
-    """Removes, at its end, the work folders made within it; their tables must be used up by then."""
-    before = len(_MADE)
+    """Removes, at its end, the work folders made within it; their tables must be used up by then.
+
+    Folders added to the set it yields stay, and belong to the workspace around this one.
+    """
+    before, kept = len(_MADE), set()
     try:
-        yield
+        yield kept
     finally:
-        while len(_MADE) > before:
-            delete(spark, _MADE.pop())
+        made = _MADE[before:]
+        _MADE[before:] = [path for path in made if path in kept]
+        for path in reversed(made):
+            if path not in kept:
+                delete(spark, path)

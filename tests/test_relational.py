@@ -137,6 +137,19 @@ def test_work_folders_go_with_their_workspace(spark):
     assert not os.path.exists(path.removeprefix("file://"))
 
 
+def test_a_workspace_hands_what_it_keeps_to_the_one_around(spark):
+    from tallyloom import session
+
+    with session.workspace(spark):
+        with session.workspace(spark) as kept:
+            rows = session.materialise(spark.range(5), "kept")
+            lost = session.materialise(spark.range(5), "lost")
+            folder, gone = (df.inputFiles()[0].rsplit("/", 1)[0] for df in (rows, lost))
+            kept.add(session._MADE[-2])
+        assert rows.count() == 5 and not session.exists(spark, gone)
+    assert not session.exists(spark, folder)
+
+
 def test_ten_batches_are_one_shuffle(spark):
     batches = [spark.range(6).filter(F.col("id") != i).select(F.col("id").alias("state"), F.lit(f"n{i}").alias("NAME"), F.col("id").alias(f"v{i}")) for i in range(10)]
     merged = R.merge_batches(batches, ["state"])

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tallyloom.fixed import PUBLISHED_COLUMNS, SERIES_COLUMNS
 from tallyloom.plans.folders import write_validation
 from tallyloom.plans.series import clean_series
-from tallyloom.plans.survey import clean_table, clean_year
+from tallyloom import session
+from tallyloom.plans.survey import clean_table, clean_year, write_table, write_year
 from tallyloom.sources import headers as H
 from tallyloom.sources import raw as W
 from tallyloom.sources import tables as T
@@ -62,6 +63,16 @@ def test_survey_end_to_end(spark, landed):
         "dis_employed_total", "dis_ind_construction", "dis_ind_manufacturing"]
 
 
+def test_written_tables_leave_no_work_folder(spark, landed):
+    rows = W.read_raw_acs(spark, str(landed / "acs_*_raw.csv"))
+    meta = W.read_acs_meta(spark, str(landed / "*_variables.json"))
+    before = list(session._MADE)
+    write_table(rows, meta, "S1811", str(landed / "all"), order=("fips",))
+    write_year(rows, meta, "S1811", 2013, str(landed / "one"))
+    assert session._MADE == before
+    assert spark.read.parquet(str(landed / "all")).count() == 8 and spark.read.parquet(str(landed / "one")).count() == 4
+
+
 def test_a_table_without_published_columns_keeps_its_rows(spark, landed):
     rows = W.read_raw_acs(spark, str(landed / "acs_S1811_2012_raw.csv")).withColumn("table_id", F.lit("B18121"))
     meta = W.read_acs_meta(spark, str(landed / "*_2012_variables.json")).withColumn("table_id", F.lit("B18121"))

@@ -98,6 +98,32 @@ def test_describe_by_narrowing_is_exact(spark, monkeypatch, kind):
             assert narrowed[name] == pytest.approx(value, rel=1e-12, abs=1e-12), (name, finish)
 
 
+@pytest.mark.parametrize("finish", [200_000, 50])
+def test_describe_reads_the_rows_twice(spark, monkeypatch, finish):
+    monkeypatch.setattr(S, "FINISH_ROWS", finish)
+    monkeypatch.setattr(S, "SKETCH_ACCURACY", 20)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    df = spark.range(6000).select(F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.sqrt("id")).alias("x"))
+    found = S.describe(df.mapInPandas(counted, "x double"), "x").first()
+    assert read.value == 2 * 6000
+    want = df.agg(F.percentile("x", F.array(*map(F.lit, S.QUARTILES)))).first()[0]
+    assert [found["q25"], found["q50"], found["q75"]] == pytest.approx(list(want), rel=1e-12)
+
+
+def test_describe_leaves_no_folder(spark):
+    from tallyloom import session
+
+    before = list(session._MADE)
+    S.describe(spark.range(100).select(F.col("id").alias("x")), "x").collect()
+    assert session._MADE == before
+
+
 def test_describe_empty(spark):
     row = S.describe(spark.createDataFrame([(None,)], "x double"), "x").first()
     assert row["count"] == 0 and row["q50"] is None and row["min"] is None

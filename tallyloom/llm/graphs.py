@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -11,15 +13,16 @@ from tallyloom.llm.caps import valid
 from tallyloom.llm.common import ship, stored, table
 
 SHARDS = 8  # at least
-VECTORS = 1 << 16  # vectors of a shard
+VECTORS = 1 << 14  # vectors of a shard
 NUMBERS = 1 << 24  # components of a shard
+CLASS = 1.25  # factor between the norms of a shard, but of shards with fewer vectors than a search holds
 DEGREE = 32  # out-neighbours after pruning
 ROOM = 64  # out-neighbours before a vertex is pruned again
 BEAM = 96  # vertices a search holds
 WIDE = 4  # vertices expanded in one step
 RELAXED = 1.2  # factor by which a detour must be shorter to replace an edge
 BATCH = 256  # vertices inserted, or queries searched, together
-BLOCKS = 16  # query blocks that one task runs over a copy of a shard's graph
+ASKED = 1 << 22  # components of the queries that one copy of a shard's graph meets
 
 
 def lifted(vectors: np.ndarray) -> np.ndarray:
@@ -166,6 +169,29 @@ def upto(n: int):
     return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
 
 
+def norm_class():
+    """Number of the class of norms of `vector`, with the norm 1 in the middle of a class."""
+    squares = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x)
+    return F.coalesce(F.floor(F.log(squares) / (2 * math.log(CLASS)) + 0.5).cast("long"), F.lit(0).cast("long"))
+
+
+def shards_of(classes: list[tuple[int, int]], per: int) -> list[tuple[int, int, int]]:
+    """For each class of norms, given in order with its number of vectors, its first shard and number of shards.
+
+    Neighbouring classes that a search holds whole share a shard.
+    """
+    out, shard, room = [], -1, 0
+    for number, count in classes:
+        if count <= room:
+            out.append((number, shard, 1))
+            room -= count
+        else:
+            own = -(-count // per)
+            out.append((number, shard + 1, own))
+            shard, room = shard + own, max(0, min(BEAM, per) - count)
+    return out
+
+
 def nearest(rows: DataFrame, queries: DataFrame, top: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """Columns query_id, rank, id, score: for each query the `top` rows found with the largest inner product.
 
@@ -173,8 +199,8 @@ def nearest(rows: DataFrame, queries: DataFrame, top: int = 20, id_col: str = "v
     returned. Vectors that are null, zero, or hold null or non-finite components take no part, nor
     do null ids; a row that is repeated counts once. Equal vectors are one vertex with its `top` + 1
     smallest ids, which is all that a result can need of them. Every other vector is a vertex of its
-    own, in one of as many shards as keep a graph within a task's memory. Blocks of queries meet
-    every shard; what the shards find is ranked by the exact product in double precision.
+    own, in a shard of vectors with about its norm, small enough for a task's memory and for the beam to find what
+    is near. Blocks of queries meet every shard; what the shards find is ranked by the exact product in double precision.
     """
     ship(rows.sparkSession.sparkContext)
     def some(df):
@@ -187,7 +213,11 @@ def nearest(rows: DataFrame, queries: DataFrame, top: int = 20, id_col: str = "v
     ids = ids.withColumn("r", place).where(F.col("r") <= top + 1).groupBy("key").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     vertices = stored(keyed.groupBy("key").agg(F.any_value("vector").alias("vector")).join(ids, "key"), "vertices")
     count, size = vertices.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
-    shards = max(SHARDS, -(-count // max(1, min(VECTORS, NUMBERS // max(size or 1, 1)))))
+    per = max(1, min(VECTORS, NUMBERS // max(size or 1, 1), -(-count // SHARDS)))
+    sized = vertices.groupBy(norm_class().alias("class")).agg(F.count(F.lit(1)).alias("n")).sort("class")
+    placed = shards_of([(r["class"], r["n"]) for r in sized.collect()], per)  # a double's range has some 6 400 classes
+    shards = max((first + own for _, first, own in placed), default=1)
+    classes = F.broadcast(rows.sparkSession.createDataFrame(placed, "class long, first long, own long"))
 
     def build(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("key")
@@ -201,7 +231,8 @@ def nearest(rows: DataFrame, queries: DataFrame, top: int = 20, id_col: str = "v
                         np.concatenate(listed).astype(np.int64).tobytes(), np.array([len(x) for x in listed]).tobytes()))
         return pd.DataFrame(out, columns=["shard", "size", "vectors", "out", "room", "entry", "ids", "counts"])
 
-    sharded = vertices.withColumn("shard", F.pmod(F.xxhash64(F.lit(3), "key"), F.lit(shards)))
+    sharded = vertices.withColumn("class", norm_class()).join(classes, "class")
+    sharded = sharded.select("key", "vector", "ids", (F.col("first") + F.pmod(F.xxhash64(F.lit(3), "key"), F.col("own"))).alias("shard"))
     graphs = sharded.groupBy("shard").applyInPandas(
         build, "shard long, size long, vectors binary, out binary, room long, entry long, ids binary, counts binary")
     graphs = stored(graphs, "graphs")
@@ -219,7 +250,9 @@ def nearest(rows: DataFrame, queries: DataFrame, top: int = 20, id_col: str = "v
 
     asked = some(queries).dropDuplicates(["id"])
     blocks = stored(asked.mapInPandas(block, "block long, size long, ids binary, vectors binary"), "blocks")
-    groups = max(1, -(-blocks.count() // BLOCKS))
+    # A copy of a graph is as heavy as the queries that it meets, unless more tasks are wanted than that gives.
+    many, wanted = blocks.count(), -(-2 * rows.sparkSession.sparkContext.defaultParallelism // shards)
+    groups = max(1, -(-many // max(1, ASKED // (BATCH * max(size or 1, 1)))), min(many, wanted))
     none = F.lit(None).cast("binary")
     spread = blocks.select(
         F.explode(upto(shards)).alias("shard"), "size", F.pmod(F.xxhash64("block"), F.lit(groups)).alias("part"),

@@ -5,7 +5,7 @@ import pytest
 
 from tallyloom.llm.caps import near_vectors
 from tallyloom.llm.common import forest
-from tallyloom.llm.graphs import Graph, answers, lifted, nearest
+from tallyloom.llm.graphs import CLASS, VECTORS, Graph, answers, lifted, nearest, shards_of
 
 
 @pytest.fixture(scope="module")
@@ -93,3 +93,40 @@ def test_draws_go_to_the_smaller_id(vectors):
     copies = [i for i in range(600, 640) if i != 620]
     some = [i for i in got if 600 <= i < 640]
     assert some and some == copies[:len(some)]
+
+
+def test_classes_of_norms_get_shards():
+    assert shards_of([], 100) == []
+    assert shards_of([(-2, 10), (-1, 250), (0, 90), (1, 6), (2, 1), (9, 400)], 100) == [
+        (-2, 0, 1), (-1, 1, 3), (0, 4, 1), (1, 4, 1), (2, 5, 1), (9, 6, 4)]
+
+
+def test_recall_over_six_magnitudes_of_norms(spark):
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((3000, 16))
+    x *= 10 ** rng.uniform(-3, 3, (3000, 1)) / np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found: dict[int, set] = {}
+    for r in nearest(df, df.where("vec_id % 20 = 0")).collect():
+        found.setdefault(r.query_id, set()).add(r.id)
+    hits = 0
+    for q in range(0, 3000, 20):
+        scores = x @ x[q]
+        scores[q] = -np.inf
+        hits += len(found[q] & set(np.argsort(-scores)[:20].tolist()))
+    assert hits / (20 * 150) >= 0.95
+
+
+def test_recall_at_the_largest_shard():
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((VECTORS, 24))
+    x *= rng.uniform(1, CLASS, (VECTORS, 1)) / np.linalg.norm(x, axis=1, keepdims=True)
+    graph = Graph(lifted(x)).build(np.random.default_rng(7))
+    some = range(0, VECTORS, 128)
+    found = answers(graph, x, [np.array([i]) for i in range(VECTORS)], x[some], np.array(some), 20)
+    hits = 0
+    for q in some:
+        scores = x @ x[q]
+        scores[q] = -np.inf
+        hits += len(set(found[found["query_id"] == q]["id"]) & set(np.argsort(-scores)[:20].tolist()))
+    assert hits / (20 * len(some)) >= 0.9

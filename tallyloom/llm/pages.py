@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -13,6 +14,9 @@ from tallyloom.llm.common import light, ship, stored, table
 
 MANY = 4  # distinct pages of a host at least that make a subtree part of its template
 SHARE = 0.1  # and that part of the host's pages
+MOST = 0.5  # the part of them for subtrees within articles, which revisions repeat too, and for shapes
+SMALL = 10  # an element with a shape holds at most the page's text by this number
+TEXTS, STORY, SHAPE = 0, 1, 2  # last two bits of a mark: digest of a subtree with texts, of one within an article, of a shape
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
@@ -35,19 +39,24 @@ NAMES = frozenset(
     " recommended widget toolbar skip ad-slot ad-banner ad-container cookie-banner cookie-notice cookie-consent main-nav site-nav main-menu"
     " nav-menu nav-bar site-footer page-footer main-footer left-sidebar right-sidebar sidebar-left sidebar-right social-links social-share"
     " share-buttons sharing-buttons share-links related-posts related-articles related-links comment-list comments-area comments-section"
-    " newsletter-signup skip-link".split())
+    " newsletter-signup skip-link user-comments reader-comments comment-section comment-thread comments-list comment-item comment-body"
+    " comment-form ad-unit ad-box ad-wrapper adsbygoogle".split())
+COMMENTS = frozenset(n for n in NAMES if "comment" in n)  # an article of such a name is a reader's
+LINKS = frozenset("widget skip related recommended share sharing".split())  # within an article only of elements that are mostly links
+PROSE = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6 li td th dd dt figure figcaption".split())  # no part of an article by name
 INNER_NAMES = NAMES - frozenset("social notice notices promotion alert".split())  # words of an article's own parts
 OUTER_NAMES = frozenset("header masthead topbar site-header page-header main-header".split())  # of the site, but of the text within an article
 
 
 class Node:
-    __slots__ = ("tag", "names", "role", "parts", "children", "mark", "size", "story")
+    __slots__ = ("tag", "names", "role", "parts", "children", "mark", "size", "story", "form")
 
     def __init__(self, tag: str, names: frozenset, role: str):
         self.tag, self.names, self.role = tag, names, role
         self.parts: list[str] = []  # what the mark is a digest of
         self.children: list = []  # texts and nodes, in order
         self.mark = 0
+        self.form: int | None = -1  # its shape, once asked for
         self.size = 0  # characters of text within
         self.story = tag in ("html", "body", "main", "article") or role == "main"  # or holds one
 
@@ -94,7 +103,7 @@ class Tree(HTMLParser):
         if tag in ENDS:
             self.end(*ENDS[tag])
         said = dict(attrs)
-        names = frozenset(f"{said.get('class') or ''} {said.get('id') or ''}".lower().replace("_", "-").split())
+        names = frozenset(re.sub("[_-]+", "-", f"{said.get('class') or ''} {said.get('id') or ''}".lower()).split())
         node = Node(tag, names, (said.get("role") or "").strip().lower())
         self.open[-1].children.append(node)
         self.open.append(node)
@@ -129,21 +138,57 @@ def nodes(root: Node, stop=lambda node: False):
         stack.extend(c for c in reversed(node.children) if isinstance(c, Node))
 
 
+def linked(node: Node) -> bool:
+    return 2 * sum(n.size for n in nodes(node, lambda n: n.tag == "a") if n.tag == "a") >= node.size
+
+
 def aside(node: Node, outer: bool, whole: int = 0) -> bool:
     """Whether an element is no part of a text by its tag, role or names, which are whole values of class and id.
 
-    Names tell nothing of elements that hold an article or over half of the page's `whole` text.
+    Names tell nothing of elements that hold an article or over half of the page's `whole` text, but
+    of readers' comments, nor of paragraphs and headings within an article.
     """
     if node.tag in NO_TEXT or node.role in ROLES or outer and node.tag == "header":
         return True
+    if outer and node.tag == "article":
+        return bool(node.names & COMMENTS) or 2 * node.size <= whole and bool(node.names & NAMES)
     if outer:
         return not node.story and 2 * node.size <= whole and bool(node.names & (NAMES | OUTER_NAMES))
-    return bool(node.names & INNER_NAMES)
+    names = node.names & INNER_NAMES
+    return bool(names) and node.tag not in PROSE and (not names <= LINKS or linked(node))
+
+
+def typed(mark: int, kind: int) -> int:
+    return mark & ~3 | kind
+
+
+def shape(node: Node, whole: int) -> int | None:
+    """Digest of the tags and names below a small element by depth, without texts, numbers and repeats; None without a name."""
+    from xxhash import xxh3_64_intdigest
+
+    if node.form != -1:
+        return node.form
+    node.form = None
+    if node.story or not (node.names or node.role) or not 0 < SMALL * node.size <= whole:
+        return None
+    said, stack = set(), [(0, node)]
+    while stack:
+        depth, n = stack.pop()
+        said.add(f"{depth} {n.tag} {n.role} {' '.join(sorted(re.sub('[0-9]+', '', x) for x in n.names))}")
+        stack += [(depth + 1, c) for c in n.children if isinstance(c, Node) and c.tag in BLOCKS]
+    node.form = typed(xxh3_64_intdigest("\n".join(sorted(said)).encode("utf-8", "replace")) - 2**63, SHAPE)
+    return node.form
 
 
 def marks(root: Node) -> list[int]:
-    """Digests of the elements outside of articles that hold text, each once."""
-    return sorted({n.mark for n in nodes(root, lambda n: n.tag == "article") if n.parts and n.tag not in ("article", "html", "body")})
+    """Marks of the elements that hold text, each once: outside of articles by texts and by shape, blocks within them by texts."""
+    found = set()
+    for n in nodes(root, lambda n: n.tag == "article"):
+        if n.tag == "article":
+            found |= {typed(c.mark, STORY) for c in nodes(n) if c.parts and c.tag in BLOCKS}
+        elif n.parts and n.tag not in ("html", "body"):
+            found |= {typed(n.mark, TEXTS), shape(n, root.size)}
+    return sorted(found - {None})
 
 
 def page_marks(html: str | None) -> tuple[int, list[int]]:
@@ -157,9 +202,9 @@ def page_marks(html: str | None) -> tuple[int, list[int]]:
 def main_text(html: str | None, template: frozenset) -> str:
     """Blocks of the main text, joined by blank lines.
 
-    Subtrees whose digest is in `template` go, outside of articles; so do elements that their tag,
-    role or names tell to be no text. The text is what is left of the articles, else of the main
-    element, else of the page. Where the template would leave nothing of a text, it is not applied.
+    Subtrees whose mark is in `template` go; so do elements that their tag, role or names tell to be
+    no text. The text is what is left of the articles, else of the main element, else of the page.
+    Where the template would leave nothing of a text, it is not applied.
     """
     root = Tree(html or "").root
     text = chosen_text(root, template)
@@ -168,13 +213,19 @@ def main_text(html: str | None, template: frozenset) -> str:
 
 def chosen_text(root: Node, template: frozenset) -> str:
     def gone(node):
-        return aside(node, True, root.size) or node.mark in template and node.tag != "article"
+        if node.tag != "article" and (typed(node.mark, TEXTS) in template or template and shape(node, root.size) in template):
+            return True
+        return aside(node, True, root.size)
+
+    def left_out(node):
+        return node.tag in BLOCKS and typed(node.mark, STORY) in template or aside(node, False)
+
     left = [n for n in nodes(root, lambda n: gone(n) or n.tag == "article") if not gone(n)]
     chosen = [n for n in left if n.tag == "article"]
     if not chosen:
         mains = [n for n in left if n.tag == "main" or n.role == "main"][:1]
         return "\n\n".join(blocks(mains or [root], gone))
-    return "\n\n".join(blocks(chosen, lambda n: aside(n, False)))
+    return "\n\n".join(blocks(chosen, left_out))
 
 
 def blocks(chosen: list[Node], gone) -> list[str]:
@@ -210,9 +261,11 @@ def host(url):
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """Columns host, template: digests of subtrees that stand on many distinct pages of the host.
+    """Columns host, template: marks of subtrees that stand on many distinct pages of the host.
 
-    Pages of the same main text are one page. Copies and sums are folded before the shuffle, so a host with
+    A subtree with its texts goes if a tenth of the pages have it (`SHARE`), within an article if half
+    of them do (`MOST`), as revisions and copies of passages repeat paragraphs too. A shape, which is
+    a small named subtree whatever its texts, also goes from half of them on. Pages of the same main text are one page. Copies and sums are folded before the shuffle, so a host with
     most of the pages is no heavy task. As a page has few elements and a template's stand on a tenth
     of the pages, a host's list is short.
     """
@@ -226,7 +279,8 @@ def templates(pages: DataFrame) -> DataFrame:
     sized = seen.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     each = seen.select("host", "page", F.explode("marks").alias("mark")).distinct()
     counted = each.groupBy("host", "mark").agg(F.count(F.lit(1)).alias("n"))
-    common = counted.where(F.col("n") >= MANY).join(sized, "host").where(F.col("n") >= SHARE * F.col("pages"))
+    share = F.when(F.pmod("mark", F.lit(4)) == TEXTS, SHARE).otherwise(MOST)
+    common = counted.where(F.col("n") >= MANY).join(sized, "host").where(F.col("n") >= share * F.col("pages"))
     return common.groupBy("host").agg(F.collect_list("mark").alias("template"))
 
 

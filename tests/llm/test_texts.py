@@ -319,6 +319,55 @@ def test_names_of_wrappers(html, want):
     assert pages.main_text(html, frozenset()) == want
 
 
+def site(story, side):
+    return [(100 * k + i, f"http://site{k}.example/{i}", page(i)) for k, page in enumerate([
+        lambda i: f"<body><article><h1>Story {i}</h1>{story(i)}{side(i)}<p>End of {i}</p></article></body>",
+        lambda i: f"<body><h1>Story {i}</h1>{story(i)}{side(i)}<p>End of {i}</p></body>"]) for i in range(8)]
+
+
+@pytest.mark.parametrize("side, inside", [
+    (lambda i: "<div class='x1'><p>Our letter brings the best of the week</p></div>", True),  # the same words everywhere
+    (lambda i: f"<div class='x1' id='unit-{i}'><ul>{f'<li>Offer {i}' * (1 + i % 3)}</ul></div>", False),  # one shape, other words
+])
+def test_templates_decide(spark, side, inside):
+    rows = site(lambda i: f"<p>{f'Words of {i} that only this page has. ' * 9}</p><p>More {i}</p>", side)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.id: r.text for r in pages.extract(df).collect()}
+    for number, _, html in rows:
+        i, bare = number % 100, pages.main_text(html, frozenset())
+        want = [f"Story {i}", ("Words of %d that only this page has. " % i * 9).strip(), f"More {i}", f"End of {i}"]
+        assert (bare != found[number]) == (inside or number >= 100)
+        if inside or number >= 100:
+            assert found[number].split("\n\n") == want
+
+
+def test_revisions_keep_their_paragraphs(spark):
+    """Paragraphs that fewer than half of a site's pages share stay in an article."""
+    rows = [(i, "http://a.example/", f"<article><h1>T{i}</h1><p>{'Shared by revisions' if i < 9 else i}</p></article>") for i in range(20)]
+    found = {r.id: r.text for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {i: f"T{i}\n\n{'Shared by revisions' if i < 9 else i}" for i in range(20)}
+
+
+@pytest.mark.parametrize("html, want", [
+    ("<article><p>Text</p></article><article class='comment'><p>A reader's long opinion of it all</p></article>", "Text"),
+    ("<div><p>Text</p><article class='Comments__list'>reader</article></div>", "Text"),
+    ("<article><p>Text</p><article class=comment>reader</article></article>", "Text"),
+    ("<article class='widget'><p>Text</p></article>", "Text"),
+    ("<p>A text of some words</p><div class='user-comments'>r</div><div class='comment-section'>r</div><div class='ad-unit'>r</div>",
+     "A text of some words"),
+    ("<article><p class=widget>A</p><div class=related><p>B</p></div><div class=share><a href=x>C</a></div><p class=comment>D</p></article>",
+     "A\n\nB\n\nD"),
+])
+def test_comments_and_names(html, want):
+    assert pages.main_text(html, frozenset()) == want
+
+
+def test_very_long_page(spark):
+    html = "<article>" + "".join(f"<p>Paragraph {i}</p>" for i in range(60000)) + "</article>"
+    df = spark.createDataFrame([(1, "http://a.example", html)], "page_id long, url string, html string")
+    assert pages.extract(df).first().text == "\n\n".join(f"Paragraph {i}" for i in range(60000))
+
+
 def test_given_pages(spark):
     import html as entities
     import re

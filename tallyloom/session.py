@@ -24,6 +24,12 @@ SETTINGS = {
 }
 
 UNPACKED = 8  # times that rows in memory may take the size of their files
+SMALL_INPUT = 4 << 20  # bytes of all sources below which a table is written by one job instead of one per shuffle
+ONE_JOB = {
+    "spark.sql.adaptive.enabled": "false",
+    "spark.sql.shuffle.partitions": "4",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+}
 _MADE: list[str] = []  # work folders, in the order they were named
 
 
@@ -70,9 +76,12 @@ def weighed(df: DataFrame, purpose: str, by: tuple[str, ...] = ()) -> tuple[Data
     """As `materialise`, with an upper guess of what the rows take in memory.
 
     Columnar files are smaller than rows in memory; UNPACKED times their size errs towards too much.
+    What comes from a few megabytes, as metadata does, is written by one job with a fixed plan: measuring
+    each of its shuffles in a job of its own would take longer than the work.
     """
     spark, path = df.sparkSession, work_folder(df.sparkSession, purpose)
-    df.write.partitionBy(*by).parquet(path)
+    with configured(spark, ONE_JOB if input_bytes(df) <= SMALL_INPUT else {}):
+        df.write.partitionBy(*by).parquet(path)
     written = spark.read.schema(df.schema).parquet(path)
     return written, UNPACKED * plan_bytes(written)
 
@@ -82,6 +91,12 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def input_bytes(df: DataFrame) -> int:
+    """What the optimizer takes the size of all sources of `df` to be."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size()))
+
+
 def _folder(spark: SparkSession, path: str):
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -15,6 +15,24 @@ def skewed(spark):
     return facts, table
 
 
+@pytest.mark.parametrize("bound, one", [(1 << 20, True), (0, False)])
+def test_small_tables_are_written_by_one_job(spark, monkeypatch, bound, one):
+    from tallyloom import session
+
+    monkeypatch.setattr(session, "SMALL_INPUT", bound)
+    few, group = session.materialise(spark.range(100), "few"), f"written-{bound}"
+    counted = few.groupBy((F.col("id") % 7).alias("k")).count().join(few, F.col("k") == F.col("id")).groupBy("count").agg(F.sum("id").alias("n"))
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        written = session.materialise(counted, "written")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert (len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == 1) == one
+    assert {(r["count"], r["n"]) for r in written.collect()} == {(15, 1), (14, 20)}
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+
+
+
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
 @pytest.mark.parametrize("way", ["hot keys", "nothing hot", "broadcast", "too heavy", "narrower key"])
 def test_lookup(spark, skewed, monkeypatch, how, way):

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from tallyloom.session import configured
 
 SMALL = 1 << 20  # bytes of a file up to which many are read by one task for their headers
+TOGETHER = 1 << 10  # files of that size that one task reads at most
 ALONE = 1 << 40  # a split that no file fills, so that a file is a task of its own
 LONGEST = 1 << 20  # characters of a header; a longer one has a quote that is never closed
 REJECTS = "file string, reason string, record string"
@@ -84,9 +85,9 @@ def file_headers(spark: SparkSession, paths: str | list[str]) -> dict[tuple[str,
         files = sorted(r.path for r in sizes if (r.length > SMALL) == alone)
         if not files:
             continue
-        split = str(ALONE if alone else 64 << 20)
-        settings = {"spark.sql.files.maxPartitionBytes": split, "spark.sql.files.openCostInBytes": split if alone else str(64 << 10),
-                    "spark.sql.files.ignoreCorruptFiles": "true"}
+        # Spark cuts no file that is smaller than the cost of opening one: the rest of a cut file would start with another record.
+        settings = {"spark.sql.files.maxPartitionBytes": str(ALONE if alone else TOGETHER * SMALL),
+                    "spark.sql.files.openCostInBytes": str(ALONE if alone else SMALL), "spark.sql.files.ignoreCorruptFiles": "true"}
         with configured(spark, {**settings, **listing(spark)}):
             lines = spark.read.schema("value string").text([escaped(f) for f in files]).select("value", "_metadata.file_path")
             records = lines.mapInArrow(_first_records(alone), "path string, header string").collect()

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.fixed import PUBLISHED_COLUMNS, SERIES_COLUMNS
-from tallyloom.plans.folders import write_validation
+from tallyloom.plans.folders import profile_folder, write_validation
 from tallyloom.plans.series import clean_series
 from tallyloom import session
 from tallyloom.plans.survey import clean_table, clean_year, write_table, write_year
@@ -404,3 +404,11 @@ def test_validation_reports(spark, tmp_path):
     assert [(r["file"], r["column"], r["null_pct"]) for r in detail.orderBy("file", "position").collect()] == [
         ("acs_S1811_2010_cleaned.csv", "year", "0.0"), ("acs_S1811_2010_cleaned.csv", "fips", "33.33"), ("acs_S1811_2010_cleaned.csv", "dis_employed", "0.0"),
         ("bls_cps_cleaned.csv", "year", "0.0"), ("bls_cps_cleaned.csv", "value", "0.0")]
+
+
+def test_a_small_file_is_not_cut_for_its_header(spark, tmp_path):
+    for name in ("bls_a_cleaned.csv", "bls_b_cleaned.csv"):
+        (tmp_path / name).write_text("series_id,value\n" + "LNU02,2503.74\n" * 40_000)
+    assert {k: len(v) for k, v in H.file_headers(spark, str(tmp_path)).items()} == {("series_id", "value"): 2}
+    assert {(r["file"], r["row_count"], r["status"]) for r in profile_folder(spark, str(tmp_path)).collect()} == {
+        ("bls_a_cleaned.csv", 40_000, "WARN"), ("bls_b_cleaned.csv", 40_000, "WARN")}

@@ -116,7 +116,7 @@ def profile_states(states: DataFrame, by: list[str]) -> DataFrame:
 
 def duplicate_rows(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Rows that repeat an earlier row; NULL equals NULL. Copies are counted before any shuffle."""
-    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    counted = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
     return counted.groupBy(*(by or [])).agg(
         F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows")
     )
@@ -138,7 +138,7 @@ def profile_file(df: DataFrame, by: list[str] | None = None, blank_as_null: bool
             empty = empty | (col == "")
         return F.when(empty, 1).otherwise(0)
 
-    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    counted = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
     nulls = sum((missing(c) for c in columns), F.lit(0))
     year = F.col("year").try_cast("int") if "year" in columns else F.lit(None).cast("int")
     fips = F.sum(F.col("_copies") * missing("fips")) if "fips" in columns else F.lit(None).cast("bigint")

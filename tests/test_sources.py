@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.fixed import PUBLISHED_COLUMNS, SERIES_COLUMNS
-from tallyloom.plans.folders import profile_folder, write_validation
+from tallyloom.plans.folders import profile_folder, validate_folder, write_validation
 from tallyloom.plans.series import clean_series
 from tallyloom import session
 from tallyloom.plans.survey import clean_table, clean_year, write_table, write_year
@@ -412,3 +412,10 @@ def test_a_small_file_is_not_cut_for_its_header(spark, tmp_path):
     assert {k: len(v) for k, v in H.file_headers(spark, str(tmp_path)).items()} == {("series_id", "value"): 2}
     assert {(r["file"], r["row_count"], r["status"]) for r in profile_folder(spark, str(tmp_path)).collect()} == {
         ("bls_a_cleaned.csv", 40_000, "WARN"), ("bls_b_cleaned.csv", 40_000, "WARN")}
+
+
+def test_files_with_a_repeated_name_are_profiled(spark, tmp_path):
+    (tmp_path / "acs_x_cleaned.csv").write_text("year,NAME,NAME\n2010,a,b\n2010,a,b\n2011,c,\n")
+    detail, summary = validate_folder(spark, str(tmp_path))
+    assert [tuple(r) for r in summary.select("row_count", "duplicate_rows", "total_nulls", "status").collect()] == [(3, 1, 1, "WARN")]
+    assert {r["column"]: r["null_count"] for r in detail.collect()} == {"year": 0, "NAME": 0, "NAME.1": 1}

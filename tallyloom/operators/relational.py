@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.labels import classify
-from tallyloom.session import materialise, plan_bytes, weighed
+from tallyloom.session import input_bytes, materialise, plan_bytes, weighed
 
 HOT_SHARE = 0.001
 BROADCAST_BYTES = 64 << 20
+TRUSTED = 256 << 10  # bytes of a table's files up to which Spark's guess of its size may decide the join
 SMALL_FACTS = 16 << 20
 
 
@@ -91,17 +92,20 @@ def lookup(
     """Join facts to a table that holds one row per key, whatever the key's share of the facts.
 
     `how` may be left, inner, left_semi or left_anti. With `measure` the table is first written
-    to the shared folder and weighed: below the bound it is broadcast, so that the facts are not
-    shuffled at all.
+    to the shared folder and weighed, its rows counted too: below the bound it is broadcast, so that
+    the facts are not shuffled at all.
 
-    Otherwise both sides are shuffled. The facts' rows of a hot key are cut into parts by a hash
+    Otherwise both sides are shuffled and merged: what Spark guesses from files that repeat much is
+    a hundredth of the rows, which it would hand whole to every task. The facts' rows of a hot key are cut into parts by a hash
     of their other columns, and only the table's rows of hot keys are repeated, once per part.
     Adaptive execution splits what is still skewed then (equal copies of one row).
     """
     if measure:
         table, size = weighed(table, "lookup")
-        if size <= BROADCAST_BYTES:
+        if size <= BROADCAST_BYTES and table.count() * (24 + 16 * len(table.columns)) <= BROADCAST_BYTES:
             return facts.join(F.broadcast(table), on, how)
+    if input_bytes(table) > TRUSTED:
+        table = table.hint("merge")
     # No key of facts this small is too heavy for one task, and Spark may broadcast them as they are.
     if plan_bytes(facts) <= SMALL_FACTS:
         return facts.join(table, on, how)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from tallyloom.operators import catalogue as C
 from tallyloom.operators import quality as Q
 from tallyloom.operators import relational as R
+from tallyloom.operators.naming import pe_parent
 
 
 @pytest.fixture()
@@ -197,3 +198,15 @@ def test_upsert_folds_repeated_and_null_keys(spark):
     assert report == {"changed": 2, "added": 1, "removed": 1}
     same = {r["change"]: r["n"] for r in C.change_report(old, old, "k").collect()}
     assert same == {"equal": 3}
+
+
+def test_a_table_of_repeating_files_is_not_broadcast_by_a_guess(spark, tmp_path):
+    spark.range(300_000).write.parquet(str(tmp_path / "ids"))
+    ids = spark.read.parquet(str(tmp_path / "ids"))
+    name = F.format_string("B%09d_001", "id")
+    meta = ids.select(F.lit("B18120").alias("table_id"), F.lit(2012).alias("year"),
+                      F.explode(F.array(F.concat(name, F.lit("E")), F.concat(name, F.lit("PE")))).alias("var_id"))
+    found = pe_parent(meta)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert found.where("pe_parent = replace(var_id, 'PE', 'E')").count() == 300_000

@@ -30,8 +30,9 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
-    return simhash.near_duplicates(docs)
+    """One document of each group of near copies: those whose SimHash fingerprints (op1's, of three-word shingles) differ in 3 bits
+    or fewer are linked, and those whose sets of five-word shingles are verified to have a similarity of 0.8 or more."""
+    return simhash.near_duplicates(docs, bits=3)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

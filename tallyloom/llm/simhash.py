@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -143,9 +145,9 @@ def close(batch: pd.DataFrame, keys: list[str], names: list[str], radius: int):
 
 
 def proposed(texts: DataFrame, names: list[str], radius: int) -> DataFrame:
-    """Columns a < b, apart: of all pairs that share a band and lie within the radius, a forest and each row's nearest ones.
+    """Columns a < b, apart, tree: of all pairs that share a band and lie within the radius, a forest and each row's nearest ones.
 
-    The forest has the components of all these pairs. The nearest partner of a row and its nearest
+    The forest, marked by `tree`, has the components of all these pairs. The nearest partner of a row and its nearest
     one with a smaller id are those that most likely are near copies.
     """
     index = texts.select(F.posexplode("bands").alias("seg", "key"), "id", *names)
@@ -160,14 +162,15 @@ def proposed(texts: DataFrame, names: list[str], radius: int) -> DataFrame:
                 row = np.concatenate([left, right])[at]
                 one, two = (row[np.searchsorted(hub, x)] for x in forest(ids[left], ids[right]))
                 far = np.bitwise_count(words[one] ^ words[two]).sum(1, dtype=np.int64)
-                found += [pd.DataFrame({"a": ids[one], "b": ids[two], "apart": far}), nearest(ids[left], ids[right], apart)]
+                found += [pd.DataFrame({"a": ids[one], "b": ids[two], "apart": far, "tree": True}),
+                          nearest(ids[left], ids[right], apart).assign(tree=False)]
             if found:
                 yield pd.concat(found, ignore_index=True)
         tidy()
 
     rows = tiles(index, None, ["seg", "key"], "id", MOST).repartition(*keys).sortWithinPartitions(*keys, "role")
-    found = rows.mapInPandas(run, "a long, b long, apart long")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "apart").distinct()
+    found = rows.mapInPandas(run, "a long, b long, apart long, tree boolean")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "apart", "tree").distinct()
 
 
 def nearest(one: np.ndarray, two: np.ndarray, apart: np.ndarray) -> pd.DataFrame:
@@ -177,6 +180,21 @@ def nearest(one: np.ndarray, two: np.ndarray, apart: np.ndarray) -> pd.DataFrame
     return pd.concat(kept)
 
 
+def print_links(texts: DataFrame, radius: int) -> DataFrame:
+    """Links a, b between ids of `texts` (unique id, print) whose fingerprints differ in `radius` (at most 3) bits.
+
+    Equal fingerprints are folded before the search: the rows of one are linked to the smallest id among
+    them, and the smallest ids of near ones to each other.
+    """
+    values = stored(texts.groupBy(F.col("print").alias("f0")).agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")), "values")
+    links = stored(near_links(values.select(F.col("f0").alias("id"), "f0"), 32, radius), "near")
+    many = values.where("n > 1").select(F.col("f0").alias("print"), "least")
+    same = texts.join(light(many), "print").where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b"))
+    near = links.join(values.select(F.col("f0").alias("a"), F.col("least").alias("one")), "a")
+    near = near.join(values.select(F.col("f0").alias("b"), F.col("least").alias("two")), "b")
+    return same.unionAll(near.select(F.col("one").alias("a"), F.col("two").alias("b")))
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3,
                    radius: int = 3) -> DataFrame:
     """Columns id, fingerprint (16 hex digits) and component for every row of `docs`.
@@ -245,21 +263,33 @@ def crowded(members: DataFrame, names: list[str], size: int, similarity: float,
     return rows.mapInPandas(run, "a long, b long")
 
 
+def between(links: DataFrame, parts: DataFrame) -> DataFrame:
+    """Links a, b as links between the parts (columns v, part) of their ends; an end in no part stands for itself."""
+    for end in ("a", "b"):
+        named = parts.select(F.col("v").alias(end), F.col("part").alias(f"{end}_part"))
+        links = links.join(named, end, "left")
+    return links.select(F.coalesce("a_part", "a").alias("a"), F.coalesce("b_part", "b").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
-                    similarity: float = 0.8, radius: int = 76) -> DataFrame:
+                    similarity: float = 0.8, radius: int = 76, bits: int | None = None) -> DataFrame:
     """The rows of `docs` without all but one of each group of near copies; all columns stay.
 
-    Two texts are linked when their sets of word shingles have a Jaccard similarity of at least
+    With `bits` two texts are linked as in `simhash_groups`, when their 64-bit fingerprints of three-word shingles,
+    repeats included, differ in at most so many (3 at most) bits; these links are found first. Two texts are linked too when their sets of word shingles have a Jaccard similarity of at least
     `similarity`. Candidates share one of 24 keys, each of four minima over the set, and the 256-bit
     fingerprints of their sets differ in at most `radius` bits. Sets of similarity 0.8 share no key
     with a chance of 3 in a million, and differ by 39 bits on average, short ones by up to 48 with a
-    deviation of 6. Candidates form crowds. The nearest partners are verified first; where
-    that leaves a crowd in several parts, all pairs of its texts within the radius and of different
-    parts are verified. Every link is verified exactly. Of each group the row
+    deviation of 6. The nearest partners are verified first,
+    which makes parts. Parts that candidates join form crowds, of which all pairs of texts within the
+    radius and of different parts are verified. Every link is verified exactly. Of each group the row
     with the smallest id stays, rows with a null id last; equal rows count as copies. Texts without words are copies of each other.
     """
     ship(docs.sparkSession.sparkContext)
+    if bits is not None and bits > 3:
+        raise ValueError("two segments with balls of radius one find at most three bits")
     key, words = unused(docs, "key"), ["f0", "f1", "f2", "f3"]
+    taken = words if bits is None else [*words, "print"]
     rows = docs.withColumn(key, F.xxhash64(F.lit(1), F.col(id_col), F.col(text_col)))
     last = F.lit(2**63 - 1)
     plain = rows.select(F.col(key).alias("key"), F.coalesce(F.col(id_col).cast("long"), last).alias("id"),
@@ -275,20 +305,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 text = text.as_py()
                 hashes = np.unique(shingle_hashes(text, size))
                 digests.append(xxh3_64_intdigest(b" ".join((text or "").encode("utf-8", "replace").lower().split())))
-                prints.append([majority(remixed(hashes, i)) for i in range(4)])
+                whole = [] if bits is None else [majority(shingle_hashes(text, 3))]
+                prints.append([*(majority(remixed(hashes, i)) for i in range(4)), *whole])
                 bands.append(minima(hashes))
-            values = np.array(prints, np.int64).reshape(-1, 4)
+            values = np.array(prints, np.int64).reshape(-1, len(taken))
             columns = [batch["key"], batch["id"], pa.array(np.array(digests, np.uint64).view(np.int64)), *map(pa.array, values.T),
                        pa.array(bands, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["key", "id", "digest", *words, "bands"])
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "id", "digest", *taken, "bands"])
         tidy()
 
-    prints = stored(plain.mapInArrow(run, "key long, id long, digest long, f0 long, f1 long, f2 long, f3 long, bands array<long>"), "prints")
+    kinds = ", ".join(f"{w} long" for w in taken)
+    prints = stored(plain.mapInArrow(run, f"key long, id long, digest long, {kinds}, bands array<long>"), "prints")
     texts = stored(prints.groupBy("digest").agg(
-        F.min("id").alias("id"), F.min_by("key", F.struct("id", "key")).alias("key"), *[F.min(w).alias(w) for w in words],
+        F.min("id").alias("id"), F.min_by("key", F.struct("id", "key")).alias("key"), *[F.min(w).alias(w) for w in taken],
         F.min("bands").alias("bands")), "texts")
+    known = [] if bits is None else [stored(print_links(texts.select(F.col("digest").alias("id"), "print"), bits), "known")]
     links = stored(proposed(texts.select(F.col("digest").alias("id"), *words, "bands"), words, radius), "links")
-    ends = links.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
+    # Components need the forest alone; a row's nearest partners differ from band to band, and are many.
+    trees = links.where("tree").select("a", "b")
+    ends = trees.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
     wanted = stored(ends.join(texts, "digest").select("digest", "key"), "wanted")
     bodies = stored(plain.select("key", "text").join(light(wanted), "key").groupBy("digest").agg(F.min("text").alias("text")), "held")
 
@@ -302,23 +337,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
         tidy()
 
-    both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"), "apart"))
+    pairs = links.select("a", "b", "apart")
+    both = pairs.unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "apart"))
     first, lower = F.struct("apart", "b"), F.when(F.col("b") < F.col("a"), F.struct("apart", "b"))
     close_by = both.groupBy("a").agg(F.array_distinct(F.array_compact(F.array(F.min(first)["b"], F.min(lower)["b"]))).alias("b"))
     pairs = close_by.select("a", F.explode("b").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = pairs.join(bodies.select(F.col("digest").alias("a"), F.col("text").alias("one")), "a")
     pairs = pairs.join(bodies.select(F.col("digest").alias("b"), F.col("text").alias("two")), "b")
     sure = stored(pairs.select("a", "b", "one", "two").mapInArrow(verify, "a long, b long"), "sure")
-    crowds = components(links.select("a", "b")).select("v", F.col("root").alias("crowd"))
-    split = crowds.join(components(sure).select("v", F.col("root").alias("part")), "v", "left")
-    split = stored(split.select("v", "crowd", F.coalesce("part", "v").alias("part")), "crowds")
-    torn = stored(split.groupBy("crowd").agg(F.min("part").alias("low"), F.max("part").alias("high"))
-                  .where("low < high").select("crowd"), "torn")
-    members = split.join(light(torn), "crowd").withColumnRenamed("v", "digest")
+    sure = reduce(DataFrame.unionAll, known, sure)
+    parts = components(sure).select("v", F.col("root").alias("part"))
+    # Candidates and links that are found later join parts, not texts: what is within a part is settled.
+    crowds = components(between(trees, parts)).select(F.col("v").alias("part"), F.col("root").alias("crowd"))
+    split = ends.join(parts, ends["digest"] == parts["v"], "left").select("digest", F.coalesce("part", "digest").alias("part"))
+    members = split.join(light(crowds), "part")
     members = members.join(texts.select("digest", *words), "digest").join(bodies, "digest").withColumnRenamed("digest", "id")
     more = crowded(stored(members, "members"), words, size, similarity, radius)
-    roots = components(sure.unionAll(more))
-    grouped = texts.join(roots, texts["digest"] == roots["v"], "left").withColumn("root", F.coalesce("root", "digest"))
+    roots = components(between(more, parts)).select(F.col("v").alias("part"), "root")
+    grouped = texts.join(parts, texts["digest"] == parts["v"], "left").withColumn("part", F.coalesce("part", "digest"))
+    grouped = grouped.join(light(roots), "part", "left").withColumn("root", F.coalesce("root", "part"))
     stay = grouped.groupBy("root").agg(F.min_by("key", F.struct("id", "key")).alias("key")).select("key")
     counts = prints.groupBy("key").count()
     gone = stored(counts.join(stay, "key", "left_anti").select(F.col("key").alias(key)), "gone")

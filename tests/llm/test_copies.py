@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import xxhash
 
+import corpus_pipeline
 from tallyloom.llm.common import components, forest
 from tallyloom.llm.recompression import symbols
 from tallyloom.llm.simhash import near_duplicates, near_links, simhash_groups
@@ -170,3 +171,26 @@ def test_symbols_depend_on_nothing_outside():
             inside = (low >= 30) & (high <= 90)
             found.append(set(zip(name[inside].tolist(), first[inside].tolist(), size[inside].tolist())))
         assert found[0] == found[1]
+
+
+def test_near_copies_by_fingerprints_too(spark):
+    """Long texts whose fingerprints lie within three bits and whose sets are less alike than 0.8, or are verified to be alike."""
+    line, rng = prose(530, 40), np.random.default_rng(5)
+    texts = [(line + " ") * 30 + prose(531 + k, 60 + 40 * (k % 3)) for k in range(12)] + [prose(560, 60), prose(560, 60) + " more", prose(561, 60)]
+    prints, sets = [fingerprint(t) for t in texts], [set(shingles(t, 5)) for t in texts]
+    alike = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    root = groups(range(len(texts)), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 3 or alike(a, b))
+    assert len(set(root)) < len(set(groups(range(len(texts)), alike))) and len(set(root)) > 1
+    order = rng.permutation(len(texts)).tolist()
+    df = spark.createDataFrame([(i, texts[i]) for i in order], "doc_id long, text string")
+    assert sorted(r.doc_id for r in near_duplicates(df, bits=3).collect()) == sorted(set(root))
+
+
+def test_a_stage_of_the_pipeline_links_fingerprints(spark):
+    """Without the links of op1 both would stay."""
+    line = prose(530, 40)
+    texts = [(line + " ") * 60 + prose(531 + k, 40) for k in range(2)]
+    assert (fingerprint(texts[0]) ^ fingerprint(texts[1])).bit_count() <= 3
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert near_duplicates(df).count() == 2
+    assert [r.doc_id for r in corpus_pipeline.without_near_copies(spark, df, "").collect()] == [0]

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.llm import rules
+from tallyloom.llm import licenses, rules
 from tallyloom.llm.rules import BASE, MEASURES, RULES, Rule
 
 FOLDER = "/root/testdata/sf0.01"
@@ -117,3 +117,12 @@ def test_labelled_documents(spark):
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet").where("quality is not null").collect()
     good = [kept[r.doc_id] for r in labels if r.quality == 1]
     assert all(good)  # beyond the base no rule takes a good document
+
+
+def test_the_words_of_a_text_are_made_once_for_all_rules(spark):
+    """A filter on them would be pushed down to the documents, where it makes them again."""
+    docs = spark.range(5).select(F.col("id").alias("doc_id"), F.concat(F.lit("Licensed under the MIT License "), "id").alias("text"))
+    found = licenses.scan(docs)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("Filter" in line and "regexp_replace" in line for line in plan.splitlines())
+    assert {r.labels for r in found.collect()} == {"mit"}
